@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracemill.llm import caps, crosssplit, segment
+from tracemill.llm import bpe, caps, crosssplit, langid, packing, segment
 from tracemill.plans.registry import Registry
-from tracemill.session import table
+from tracemill.session import materialize, table
 
 LLM = Registry()
 
@@ -92,10 +92,13 @@ def _overlaps(spark, d):
 
 _P4 = r"""
 WITH e AS (SELECT DISTINCT entry_id, manifest, domain, rtrim(regexp_replace(trim(lower(task_id), E' 	
-'), '\.json$', '')) AS k FROM task_manifest WHERE manifest IS NOT NULL AND task_id IS NOT NULL),
+
+'), '\.json$', '')) AS k FROM task_manifest WHERE manifest IS NOT NULL AND task_id IS NOT NULL),
 i AS (SELECT rtrim(regexp_replace(trim(lower(task_id), E' 	
-'), '\.json$', '')) AS k, trim(instruction, E' 	
-') AS text FROM rollout_run),
+
+'), '\.json$', '')) AS k, trim(instruction, E' 	
+
+') AS text FROM rollout_run),
 l AS (SELECT k, arg_max(text, (length(text), text)) AS text FROM i WHERE length(text) > 0 GROUP BY k),
 w AS (SELECT k, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS ws FROM l WHERE k IN (SELECT k FROM e)),
 x AS (SELECT k, len(ws) AS n, unnest(ws) AS word FROM w),
@@ -117,3 +120,74 @@ def p4_report(spark, d):
     m = table(spark, d, "task_manifest", "entry_id", "manifest", "domain").withColumnRenamed("entry_id", "b").distinct()
     found = _overlaps(spark, d).groupBy("b").agg(F.count("*").alias("n"))
     return found.join(m.filter("manifest <> 'training_set'"), "b").groupBy("manifest", "domain").agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_eval_entries"))
+
+
+# 6: token ids -----------------------------------------------------------------------
+
+
+@LLM.query("p6_ids")
+def p6_ids(spark, d):
+    return bpe.encode(table(spark, d, "documents", "doc_id", "text"))
+
+
+@LLM.query("p6_decoded", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def p6_decoded(spark, d):
+    """The texts back from their ids: the round trip must give every text again."""
+    return bpe.decode(bpe.encode(table(spark, d, "documents", "doc_id", "text")))
+
+
+# 7: containers ----------------------------------------------------------------------
+
+
+def _containers(spark, d):
+    sizes = materialize(bpe.count_tokens(table(spark, d, "documents", "doc_id", "text")), "sizes")
+    return packing.pack(sizes)
+
+
+@LLM.query("p7_found")
+def p7_found(spark, d):
+    """Documents that needed more than one container."""
+    return _containers(spark, d).groupBy("id").agg(F.countDistinct("container").alias("n")).filter("n > 1").select(F.col("id").alias("doc_id"))
+
+
+@LLM.query("p7_containers")
+def p7_containers(spark, d):
+    """Every document with its container; part counts the pieces of an oversized one."""
+    return _containers(spark, d).select(F.col("id").alias("doc_id"), "part", F.col("size").alias("n_tokens"), "container")
+
+
+@LLM.query("p7_fill")
+def p7_fill(spark, d):
+    """Containers used, the fewest that the tokens could need, and the room left."""
+    c = _containers(spark, d).groupBy("container").agg(F.sum("size").alias("size"))
+    total = F.sum("size")
+    return c.agg(F.count("*").alias("n_containers"), F.ceil(total / packing.CAPACITY).alias("lower_bound"), (1 - total / (F.count("*") * packing.CAPACITY)).alias("room_left"))
+
+
+# 8: languages -----------------------------------------------------------------------
+
+
+def _languages(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs, langid.train(docs), "doc_id", "text", "lang")
+
+
+@LLM.query("p8_found")
+def p8_found(spark, d):
+    rows = _languages(spark, d).select("doc_id", langid.canonical_label(F.col("lang")).alias("label"), langid.languages().alias("langs"))
+    case = (F.size("langs") > 1) | ((F.size("langs") == 1) & ~F.col("label").eqNullSafe(F.get("langs", F.lit(0))))
+    return rows.filter(case).select("doc_id", F.explode("langs").alias("lang"))
+
+
+@LLM.query("p8_documents")
+def p8_documents(spark, d):
+    """Main language and confidence of each document, beside what its label says."""
+    main = langid.main_language()
+    rows = _languages(spark, d).select("doc_id", langid.canonical_label(F.col("lang")).alias("label"), main.alias("m"))
+    status = F.when(F.col("m").isNull(), "no sentence").when(F.col("label").isNull(), "missing").when(F.col("label") == F.col("m.lang"), "right").otherwise("wrong")
+    return rows.select("doc_id", F.col("m.lang").alias("lang"), F.col("m.confidence").alias("confidence"), status.alias("label_status"))
+
+
+@LLM.query("p8_segments")
+def p8_segments(spark, d):
+    return langid.segment_rows(_languages(spark, d))
