@@ -33,6 +33,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -40,7 +41,7 @@ from pyspark.sql import Window as W
 from tracemill.session import ship_by_value
 
 DIM, SAMPLE, ROUNDS, WORDS, SIGNS, LETTERS = 8192, 300, 2, 3, 5, 8
-TEMPERATURE, MARGIN, FLOOR, KEPT = 25.0, 0.15, 0.25, 200_000
+TEMPERATURE, MARGIN, KEPT = 25.0, 0.15, 200_000
 
 # The languages, other codes and names, frequent function words.
 LANGUAGES = {
@@ -81,7 +82,7 @@ _NOISE = re.compile(
     r"|[\w\-]+\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()|[^\W\d_]*[\d_]\w*|\b[A-Za-z]+[a-z][A-Z]\w*"
 )
 _END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+|(?<=[。！？।])|[\r\n\x0b\x0c\x85  ]+|(?<=\s)[|•·](?=\s)|(?<=[;:])\s{2,}")
-_WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯऀ-ःऺ-ॏॢॣ]+[^\W\d_]*)*")
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _DENSE = re.compile(r"[぀-ヿ㐀-鿿]")
 
 
@@ -104,7 +105,7 @@ def is_sentence(cleaned: str) -> bool:
     if len(_DENSE.findall(cleaned)) >= SIGNS:
         return True
     words = cleaned.split()
-    return len(words) >= WORDS and sum(len(w) > 2 for w in words) >= 2 and sum(map(len, words)) >= LETTERS
+    return len(words) >= WORDS and sum(len(set(w)) > 2 for w in words) >= 2 and sum(map(len, words)) >= LETTERS
 
 
 def segments(text: str) -> list[tuple[int, int, str]]:
@@ -273,10 +274,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
 
 def label_segments(profiles: Profiles, text: str | None) -> list[tuple[int, int, str, float]]:
-    """``(start, end, lang, confidence)`` of each sentence; an unsure one gets the text's main language.
-
-    One that resembles no language with a confidence of FLOOR is no sentence.
-    """
+    """``(start, end, lang, confidence)`` of each sentence; an unsure one gets the text's main language."""
     found = segments(text) if text else []
     if not found:
         return []
@@ -286,7 +284,7 @@ def label_segments(profiles: Profiles, text: str | None) -> list[tuple[int, int,
         if m >= MARGIN:
             weight[k] += len(c)
     main = max(range(len(CODES)), key=weight.__getitem__) if any(weight) else None
-    return [(a, e, CODES[k if m >= MARGIN or main is None else main], conf) for (a, e, _), (k, conf, m) in zip(found, scored) if conf >= FLOOR]
+    return [(a, e, CODES[k if m >= MARGIN or main is None else main], conf) for (a, e, _), (k, conf, m) in zip(found, scored)]
 
 
 ship_by_value(sys.modules[__name__])
