@@ -30,14 +30,14 @@ def number_rows(df: DataFrame, *keys: str | Column) -> DataFrame:
     """
     part = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     mono = F.monotonically_increasing_id()
-    marked = materialize(part.withColumn("_pid", F.shiftright(mono, 33)).withColumn("_at", mono.bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
-    sizes = sorted((r[0], r[1]) for r in marked.groupBy("_pid").agg(F.max("_at") + 1).collect())
+    marked = materialize(part.withColumns({"__pid": F.shiftright(mono, 33), "__at": mono.bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
+    sizes = sorted((r[0], r[1]) for r in marked.groupBy("__pid").agg(F.max("__at") + 1).collect())
     upto, offsets = 0, []
     for pid, n in sizes:
         offsets.append((pid, upto))
         upto += n
-    off = df.sparkSession.createDataFrame(offsets, "_pid long, _off long")
-    return marked.join(F.broadcast(off), "_pid").withColumn(ROW, F.col("_at") + F.col("_off")).drop("_pid", "_at", "_off")
+    off = df.sparkSession.createDataFrame(offsets, "__pid long, __off long")
+    return marked.join(F.broadcast(off), "__pid").withColumn(ROW, F.col("__at") + F.col("__off")).drop("__pid", "__at", "__off")
 
 
 def from_columns(spark: SparkSession, columns: Mapping[str, Sequence], num_rows: int | None = None) -> DataFrame:

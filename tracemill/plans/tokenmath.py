@@ -83,11 +83,11 @@ CORE.query(
 bb AS (SELECT *, sum(mm) OVER (PARTITION BY g) / 3 AS b1, sum(acc) OVER (PARTITION BY g) / 3 AS b2 FROM b),
 p AS (SELECT t._row, pos, m, (CASE WHEN m > 0 THEN (r * 4 / 3 - b1) * 5.0 ELSE 0 END + CASE WHEN pos = len - 1 THEN (acc * 4 / 3 - b2) * 2.0 ELSE 0 END) * m AS f FROM t JOIN bb ON t._row = bb._row),
 g AS (SELECT _row, pos, m, sum(f) OVER (PARTITION BY _row ORDER BY pos DESC) AS a FROM p), {_G1}
-SELECT _row, pos, round({_G2}, 5) + 0.0 AS advantages, round(a, 6) + 0.0 AS returns FROM g, w2""",
+SELECT _row, pos, round({_G2}, 6) + 0.0 AS advantages, round(a, 6) + 0.0 AS returns FROM g, w2""",
 )(
     lambda s, d: long(
         adv.prime_rloo(token_batch(s, d).withColumn("acc_at_last", F.when(adv.score() > 0.2, 1.0).otherwise(0.0)), 4, {"rewards": 5.0, "acc_at_last": 2.0}), "advantages", "returns"
-    ).withColumn("advantages", F.round("advantages", 5) + 0.0)
+    )
 )
 CORE.query("adv_sppo", f"{_S}, sm AS (SELECT (ln(avg(exp(s * 2 - mx))) + any_value(mx)) / 2 AS soft FROM s, (SELECT max(s * 2) AS mx FROM s)) SELECT _row, round(s - soft, 6) + 0.0 AS seq_level_rewards FROM s, sm")(
     lambda s, d: adv.sppo(token_batch(s, d), beta=2.0).select("_row", (F.round("seq_level_rewards", 6) + 0.0).alias("seq_level_rewards"))
