@@ -262,7 +262,8 @@ def sampling_audit(before: DataFrame, after: DataFrame, id_col: str) -> DataFram
 def collate(df: DataFrame, *columns: str) -> DataFrame:
     """One row of arrays in row order (B20). The result is one row: for batches, not tables."""
     s = F.array_sort(F.collect_list(F.struct(ROW, *columns)))
-    return df.agg(s.alias("s")).select(*[F.transform("s", lambda x, c=c: x.getField(c)).alias(c) for c in columns])
+    pick = lambda c: F.transform("s", lambda x: x.getField(c)).alias(c)
+    return df.agg(s.alias("s")).select(*[pick(c) for c in columns])
 
 
 def size_report(df: DataFrame) -> DataFrame:
