@@ -10,6 +10,7 @@ import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracemill.session import ship_by_value
 
@@ -131,22 +132,27 @@ def accessibility_table(xml: str | None) -> str:
 ship_by_value(sys.modules[__name__])
 
 
-@F.pandas_udf("array<struct<reflection:string,thought:string,action_type:string,action_inputs:string>>")
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+
+@F.pandas_udf(T.ArrayType(_texts("reflection", "thought", "action_type", "action_inputs")))
 def structured_udf(text: pd.Series) -> pd.Series:
     return pd.Series([structured(t) for t in text])
 
 
-@F.pandas_udf("function string, args string")
+@F.pandas_udf(_texts("function", "args"))
 def parse_call_udf(text: pd.Series) -> pd.DataFrame:
     found = [parse_call(t) for t in text]
     return pd.DataFrame({"function": [f and f["function"] for f in found], "args": [json.dumps(f["args"], default=str) if f else None for f in found]})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_code_udf(action_type: pd.Series, inputs: pd.Series) -> pd.Series:
     return pd.Series([to_code(a, json.loads(i) if i else {}, 1920, 1080) for a, i in zip(action_type, inputs)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def accessibility_udf(xml: pd.Series) -> pd.Series:
     return pd.Series([accessibility_table(x) for x in xml])

@@ -13,6 +13,7 @@ import sys
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracemill.session import ship_by_value
 
@@ -21,7 +22,7 @@ FINAL_REPLACED = [("an ", ""), ("a ", ""), (".$", "$"), ("\\$", ""), ("\\ ", "")
 FINAL_REMOVED = [
     "square", "ways", "integers", "dollars", "mph", "inches", "hours", "km", "units", "\\ldots", "sue", "points", "feet", "minutes", "digits", "cents", "degrees", "cm", "gm",
     "pounds", "meters", "meals", "edges", "students", "childrentickets", "multiples", "\\text{s}", "\\text{.}", "\\text{\ns}", "\\text{}^2", "\\text{}^3", "\\text{\n}",
-    "\\text{}", "\\mathrm{th}", "^\\circ", "^{\\circ}", "\;", ",\\!", "{,}", '"', "\\dots",
+    "\\text{}", "\\mathrm{th}", "^\\circ", "^{\\circ}", "\\;", ",\\!", "{,}", '"', "\\dots",
 ]
 LATEX_REMOVED = ["\n", "\\!"]
 LATEX_DROPPED = ["\\left", "\\right", "^{\\circ}", "^\\circ", "\\$"]
@@ -343,7 +344,10 @@ def repetitive(text: str | None, limit: float = 0.2) -> bool:
 ship_by_value(sys.modules[__name__])
 
 
-def _two(f, kind: str):
+TEXT, NUMBER, TRUTH = T.StringType(), T.DoubleType(), T.BooleanType()
+
+
+def _two(f, kind: T.DataType):
     @F.pandas_udf(kind)
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([f(x, y) for x, y in zip(a, b)])
@@ -351,7 +355,7 @@ def _two(f, kind: str):
     return run
 
 
-def _one(f, kind: str):
+def _one(f, kind: T.DataType):
     @F.pandas_udf(kind)
     def run(a: pd.Series) -> pd.Series:
         return pd.Series([None if x is None else f(x) for x in a])
@@ -367,23 +371,23 @@ def _boxed_answer(text: str) -> str | None:
         return None
 
 
-last_boxed_udf = _one(last_boxed, "string")
-boxed_answer_udf = _one(_boxed_answer, "string")
-normal_latex_udf = _one(normal_latex, "string")
-final_answer_udf = _one(final_answer, "string")
-repetitive_udf = _one(repetitive, "boolean")
-math_score_udf = _two(math_score, "double")
-prime_score_udf = _two(prime_score, "double")
-geo_score_udf = _two(geo_score, "double")
-math_equal_udf = _two(math_equal, "boolean")
+last_boxed_udf = _one(last_boxed, TEXT)
+boxed_answer_udf = _one(_boxed_answer, TEXT)
+normal_latex_udf = _one(normal_latex, TEXT)
+final_answer_udf = _one(final_answer, TEXT)
+repetitive_udf = _one(repetitive, TRUTH)
+math_score_udf = _two(math_score, NUMBER)
+prime_score_udf = _two(prime_score, NUMBER)
+geo_score_udf = _two(geo_score, NUMBER)
+math_equal_udf = _two(math_equal, TRUTH)
 
 
-@F.pandas_udf("score double, acc boolean, pred string")
+@F.pandas_udf(T.StructType([T.StructField("score", NUMBER), T.StructField("acc", TRUTH), T.StructField("pred", TEXT)]))
 def dapo_score_udf(solution: pd.Series, truth: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([dapo_score(s, t) for s, t in zip(solution, truth)], columns=["score", "acc", "pred"])
 
 
-def custom_score(f, kind: str = "double", on_error: float = 0.0):
+def custom_score(f, kind: T.DataType = NUMBER, on_error: float = 0.0):
     """A column of a user's ``f(solution, truth)``; a row that raises scores on_error."""
 
     def guarded(a, b):

@@ -167,8 +167,8 @@ def dispatch(source: Column, scores: dict[str, Column]) -> Column:
 
 
 def quote_escape(text: Column) -> Column:
-    """Single quotes inside words get a backslash."""
-    return F.regexp_replace(text, r"(?<=\w)'(?=\w)", r"\\\\'")
+    """Single quotes that have no backslash before them get one."""
+    return F.regexp_replace(text, r"(?<!\\)'", r"\\'")
 
 
 def smart_size(height: Column, width: Column, factor: int, low: int, high: int) -> Column:

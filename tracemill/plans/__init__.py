@@ -2,7 +2,7 @@
 
 
 def core():
-    from tracemill.plans import batches, problems, rollouts, tokenmath  # noqa: F401
+    from tracemill.plans import batches, problems, rollouts, scores, tokenmath  # noqa: F401
     from tracemill.plans.registry import CORE
 
     return CORE

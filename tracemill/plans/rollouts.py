@@ -292,7 +292,7 @@ def _latency(s, d):
 
 
 CORE.query("throughput", "SELECT round(sum(value) / (sum(user_id % 5 + 1) * 8), 6) AS tokens_per_sec_gpu FROM events")(lambda s, d: table(s, d, "events", "value", "user_id").agg(F.round(metrics.throughput(F.sum("value"), F.sum(F.col("user_id") % 5 + 1), 8), 6).alias("tokens_per_sec_gpu")))
-CORE.query("timing_per_token", "SELECT event_type AS name, sum(user_id) AS seconds, CASE WHEN event_type = 'gen' THEN sum(user_id) * 1000.0 / 50 WHEN event_type = 'ref' THEN sum(user_id) * 1000.0 / 150 END AS ms_per_token FROM (SELECT CASE event_type WHEN 'error' THEN 'gen' WHEN 'click' THEN 'ref' ELSE event_type END AS event_type, user_id FROM events) GROUP BY 1")(
+CORE.query("timing_per_token", "SELECT event_type AS name, CAST(sum(user_id) AS BIGINT) AS seconds, CASE WHEN event_type = 'gen' THEN sum(user_id) * 1000.0 / 50 WHEN event_type = 'ref' THEN sum(user_id) * 1000.0 / 150 END AS ms_per_token FROM (SELECT CASE event_type WHEN 'error' THEN 'gen' WHEN 'click' THEN 'ref' ELSE event_type END AS event_type, user_id FROM events) GROUP BY 1")(
     lambda s, d: metrics.timing(table(s, d, "events", "event_type", "user_id").select(F.when(F.col("event_type") == "error", "gen").when(F.col("event_type") == "click", "ref").otherwise(F.col("event_type")).alias("name"), "user_id").groupBy("name").agg(F.sum("user_id").alias("seconds")), 100, 50)
 )
 
