@@ -14,11 +14,11 @@ def _message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def prompt_row(df: DataFrame, source: str, ability: str, question: Column, truth: Column, split: str, index: Column, **extra: Column) -> DataFrame:
+def prompt_row(df: DataFrame, source: str, ability: str, text: Column, truth: Column, split: str, index: Column, **extra: Column) -> DataFrame:
     """data_source, prompt, ability, reward_model and extra_info."""
     info = [F.lit(split).alias("split"), index.cast("long").alias("index"), *[c.alias(k) for k, c in extra.items()]]
     return df.select(
-        F.lit(source).alias("data_source"), F.array(_message("user", question)).alias("prompt"), F.lit(ability).alias("ability"),
+        F.lit(source).alias("data_source"), F.array(_message("user", text)).alias("prompt"), F.lit(ability).alias("ability"),
         F.struct(F.lit("rule").alias("style"), truth.alias("ground_truth")).alias("reward_model"), F.struct(*info).alias("extra_info"),
     )
 

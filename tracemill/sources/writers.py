@@ -45,11 +45,11 @@ def report(detail: DataFrame, summary: DataFrame, path: str) -> None:
     both.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def regrouped(df: DataFrame, domain: str, task: str, *more: Column | str) -> DataFrame:
-    """``more..., manifest``: pairs as JSON ``{domain: [ids]}``, both in order. A domain's ids are one array."""
+def regrouped(df: DataFrame, domain: str, task: str, *more: Column | str, name: str = "manifest") -> DataFrame:
+    """``more..., name``: pairs as JSON ``{domain: [ids]}``, both in order. A domain's ids are one array."""
     per = df.groupBy(*more, domain).agg(F.array_sort(F.collect_list(task)).alias("ids"))
     entries = F.array_sort(F.collect_list(F.struct(domain, "ids")))
-    return per.groupBy(*more).agg(F.to_json(F.map_from_entries(entries)).alias("manifest"))
+    return per.groupBy(*more).agg(F.to_json(F.map_from_entries(entries)).alias(name))
 
 
 def metrics_long(values: dict[str, float], step: int, spark: SparkSession) -> DataFrame:
