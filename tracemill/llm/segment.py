@@ -9,7 +9,8 @@ climbs to the nearest peak on either side. Terms are hashed to ``DIMS`` counters
 so a transcript is one small matrix whose running sums give all blocks at once.
 
 Each piece ends at the deepest valley between ``FILL`` and all of the size limit;
-a stronger boundary wins among equally deep ones. Without a sentence end there, the
+a stronger boundary wins among equally deep ones, then the
+later one. Without a sentence end there, the
 last one after the overlap is taken, then the last end of a word, then the limit
 itself, moved back so as not to part a letter from its combining marks.
 
@@ -152,7 +153,7 @@ def plan_cuts(text: str, message_ends: list[int], memo: dict, limit: int = LIMIT
             if b > a:
                 break
         if b > a:
-            end = int(at[a + int(np.argmax(score[a:b]))]) if low > last else int(at[b - 1])
+            end = int(at[b - 1 - int(np.argmax(score[a:b][::-1]))]) if low > last else int(at[b - 1])
         else:
             end = _word_end(text, last, high) or _hard_end(text, last, high)
         ends.append(end)
