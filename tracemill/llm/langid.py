@@ -29,7 +29,6 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -125,28 +124,11 @@ def segments(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-class Profiles:
-    """Vectors of one process: letters', and each run's dot products with the prototypes.
-
-    A sentence's vector is the sum of its runs', so its dot product with a prototype is
-    the sum of theirs, and these are kept per run. Its squared length is taken as
-    DIM times the sum of squared run counts, which it equals but for the chance
-    overlap of random vectors.
-    """
+class Vectors:
+    """Letters' and runs' vectors of one process."""
 
-    def __init__(self, prototypes: np.ndarray | None = None):
+    def __init__(self) -> None:
         self.letters: dict[tuple[str, int], np.ndarray] = {}
-        self.dots: dict[str, np.ndarray] = {}
-        self.seen: dict[str, tuple[int, float, float]] = {}
-        if prototypes is not None:
-            self.set(prototypes)
-
-    def set(self, prototypes: np.ndarray) -> None:
-        unit = prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)
-        unit = unit - unit.mean(axis=0)
-        self.unit = (unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-        self.dots.clear()
-        self.seen.clear()
 
     def letter(self, c: str, place: int) -> np.ndarray:
         """The letter's signs, rotated by its place in the run."""
@@ -164,89 +146,125 @@ class Profiles:
             v = v * self.letter(c, place)
         return v
 
-    def assign(self, counted: list[Counter]) -> list[int]:
-        return self.cosines(counted).argmax(axis=1).tolist()
-
-    def cosines(self, counted: list[Counter]) -> np.ndarray:
-        if len(self.dots) > 300_000:
-            self.dots.clear()
-        new = list({g for r in counted for g in r if g not in self.dots})
-        for a in range(0, len(new), 256):
-            part = new[a : a + 256]
-            d = np.stack([self.run(g) for g in part]).astype(np.float32) @ self.unit.T
-            self.dots.update(zip(part, d))
-        out = np.zeros((len(counted), len(self.unit)))
-        for i, r in enumerate(counted):
-            n = np.fromiter(r.values(), dtype=np.float32, count=len(r))
-            if len(n):
-                out[i] = n @ np.stack([self.dots[g] for g in r]) / np.sqrt(DIM * float(n @ n))
-        return out
+    def blocks(self, names: list[str], size: int = 512):
+        """(first, vectors as rows) of the runs, a block at a time."""
+        for a in range(0, len(names), size):
+            yield a, np.stack([self.run(g) for g in names[a : a + size]]).astype(np.float32)
+
+
+def runs(cleaned: str) -> list[str]:
+    """The runs of 2 to 4 letters of a cleaned sentence, which may begin or end with a word's end, and its dense signs."""
+    s = f" {cleaned} "
+    n = len(s)
+    out = [s[i : i + k] for k in (2, 3, 4) for i in range(n - k + 1)]
+    return out + _DENSE.findall(s)
+
+
+class Counted:
+    """Sentences as rows of run counts: entries (row, run, count) sorted by row."""
+
+    def __init__(self, sentences: list[str], slot: dict[str, int]):
+        ids, sizes = [], []
+        for c in sentences:
+            r = runs(c)
+            ids += [slot.setdefault(g, len(slot)) for g in r]
+            sizes.append(len(r))
+        width = max(len(slot), 1)
+        key = np.repeat(np.arange(len(sentences), dtype=np.int64), sizes) * width + np.array(ids, dtype=np.int64)
+        key, self.n = np.unique(key, return_counts=True)
+        self.row, self.run = key // width, key % width
+        self.rows = len(sentences)
+        self.norm = np.sqrt(np.bincount(self.row, weights=self.n.astype(np.float64) ** 2, minlength=self.rows))
+
+    def cosines(self, dots: np.ndarray) -> np.ndarray:
+        """Cosine of each row with each prototype, from the runs' dot products with the prototypes."""
+        cols = [np.bincount(self.row, weights=self.n * dots[self.run, k], minlength=self.rows) for k in range(dots.shape[1])]
+        return np.stack(cols, axis=1) / np.maximum(self.norm * np.sqrt(DIM), 1e-9)[:, None]
+
+    def totals(self, share: np.ndarray, width: int) -> np.ndarray:
+        """Run counts per language, where share[row, language] says how often a row counts for it."""
+        return np.stack([np.bincount(self.run, weights=self.n * share[self.row, k], minlength=width) for k in range(share.shape[1])], axis=1)
+
+
+def centred(prototypes: np.ndarray) -> np.ndarray:
+    unit = prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)
+    unit = unit - unit.mean(axis=0)
+    return (unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+class Profiles:
+    """Scores sentences against prototypes in one process.
+
+    A sentence's vector is the sum of its runs', so its dot product with a prototype is
+    the sum of theirs, and these are kept per run. Its squared length is taken as
+    DIM times the sum of squared run counts, which it equals but for the chance
+    overlap of random vectors.
+    """
+
+    def __init__(self, prototypes: np.ndarray):
+        self.vectors = Vectors()
+        self.unit = centred(prototypes)
+        self.slot: dict[str, int] = {}
+        self.dots = np.zeros((0, len(self.unit)), dtype=np.float32)
+        self.seen: dict[str, tuple[int, float, float]] = {}
+
+    def _learn(self) -> None:
+        names = list(self.slot)[len(self.dots) :]
+        if names:
+            self.dots = np.vstack([self.dots, *[v @ self.unit.T for _, v in self.vectors.blocks(names)]])
 
     def classify(self, cleaned: list[str]) -> list[tuple[int, float, float]]:
         """``(language, confidence, margin)`` of each; margin is that of the two best cosines over the best."""
         if len(self.seen) > KEPT:
             self.seen.clear()
+        if len(self.slot) > 300_000:
+            self.slot.clear()
+            self.dots = self.dots[:0]
         new = [c for c in dict.fromkeys(cleaned) if c not in self.seen]
-        if new:
-            cos = self.cosines([runs(c) for c in new])
+        for a in range(0, len(new), 2000):
+            part = new[a : a + 2000]
+            counted = Counted(part, self.slot)
+            self._learn()
+            cos = counted.cosines(self.dots)
             e = np.exp(TEMPERATURE * (cos - cos.max(axis=1, keepdims=True)))
             top = np.sort(cos, axis=1)
             margin = (top[:, -1] - top[:, -2]) / np.maximum(top[:, -1], 1e-9)
-            for c, k, p, m in zip(new, cos.argmax(axis=1).tolist(), (e.max(axis=1) / e.sum(axis=1)).tolist(), margin.tolist()):
+            for c, k, p, m in zip(part, cos.argmax(axis=1).tolist(), (e.max(axis=1) / e.sum(axis=1)).tolist(), margin.tolist()):
                 self.seen[c] = (k, p, m)
         return [self.seen[c] for c in cleaned]
 
 
-def runs(cleaned: str) -> Counter:
-    """Counts of the runs of 2 to 4 letters of a cleaned sentence; a run may begin or end with a word's end."""
-    s = f" {cleaned} "
-    n = len(s)
-    out = Counter(zip(s, s[1:], s[2:]))
-    out = Counter({"".join(k): v for k, v in out.items()})
-    out.update(s[i : i + 4] for i in range(n - 3))
-    out.update(s[i : i + 2] for i in range(n - 1))
-    if _DENSE.search(s):
-        out.update(c for c in s if c != " ")
-    return out
-
-
 def train_prototypes(texts: list[str], labels: list[str | None], rounds: int = ROUNDS) -> np.ndarray:
     """Prototypes (12, DIM) from labelled texts; labels are two-letter codes.
 
     A run enters a language's bundle with the weight log(p(run|language) / p(run)),
     where that is positive, so that runs common to several languages don't fill it.
     """
-    p = Profiles()
     code = {c: i for i, c in enumerate(CODES)}
-    counted, owner = [], []
+    votes: dict[str, np.ndarray] = {}
     for t, l in zip(texts, labels):
         if t and l in code:
             for _, _, c in segments(t)[:200]:
-                counted.append(runs(c))
-                owner.append(code[l])
-    seeds = [runs(SEEDS[c]) for c in CODES]
+                votes.setdefault(c, np.zeros(len(CODES)))[code[l]] += 1
+    slot: dict[str, int] = {}
+    seeds, vectors = Counted([SEEDS[c] for c in CODES], slot), Vectors()
+    known = Counted(list(votes), slot)
+    names = list(slot)
+    share = np.array(list(votes.values())).reshape(-1, len(CODES))
+    often = share.sum(axis=1)
+    fixed = seeds.totals(np.eye(len(CODES)), len(names))
     protos = np.zeros((len(CODES), DIM), dtype=np.float32)
-    for _ in range(rounds + 1):
-        sums = [Counter(s) for s in seeds]
-        for r, k in zip(counted, owner):
-            sums[k].update(r)
-        totals = np.array([max(1, sum(s.values())) for s in sums], dtype=np.float64)
-        share: dict[str, np.ndarray] = {}
-        for k, s in enumerate(sums):
-            for g, n in s.items():
-                if g not in share:
-                    share[g] = np.zeros(len(CODES))
-                share[g][k] = n
-        names = list(share)
-        rate = (np.stack([share[g] for g in names]) + 0.05) / totals
-        weight = np.maximum(np.log(rate / rate.mean(axis=1, keepdims=True)), 0.0) * (np.stack([share[g] for g in names]) > 0)
+    for no in range(rounds + 1):
+        counts = fixed + known.totals(share, len(names))
+        rate = (counts + 0.05) / np.maximum(counts.sum(axis=0), 1)
+        weight = (np.maximum(np.log(rate / rate.mean(axis=1, keepdims=True)), 0.0) * (counts > 0)).astype(np.float32)
         protos = np.zeros((len(CODES), DIM), dtype=np.float32)
-        for a in range(0, len(names), 512):
-            vectors = np.stack([p.run(g) for g in names[a : a + 512]]).astype(np.float32)
-            protos += weight[a : a + 512].astype(np.float32).T @ vectors
-        p.set(protos)
-        if counted:
-            owner = p.assign(counted)
+        for a, v in vectors.blocks(names):
+            protos += weight[a : a + len(v)].T @ v
+        if no < rounds and len(often):
+            unit = centred(protos)
+            dots = np.vstack([v @ unit.T for _, v in vectors.blocks(names)])
+            share = np.eye(len(CODES))[known.cosines(dots).argmax(axis=1)] * often[:, None]
     return protos
 
 
