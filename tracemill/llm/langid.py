@@ -160,14 +160,22 @@ def runs(cleaned: str) -> list[str]:
     return out + _DENSE.findall(s)
 
 
+class Slots(dict):
+    """Numbers of runs, given out in order of first use."""
+
+    def __missing__(self, run: str) -> int:
+        n = self[run] = len(self)
+        return n
+
+
 class Counted:
     """Sentences as rows of run counts: entries (row, run, count) sorted by row."""
 
-    def __init__(self, sentences: list[str], slot: dict[str, int]):
+    def __init__(self, sentences: list[str], slot: Slots):
         ids, sizes = [], []
         for c in sentences:
             r = runs(c)
-            ids += [slot.setdefault(g, len(slot)) for g in r]
+            ids += map(slot.__getitem__, r)
             sizes.append(len(r))
         width = max(len(slot), 1)
         key = np.repeat(np.arange(len(sentences), dtype=np.int64), sizes) * width + np.array(ids, dtype=np.int64)
@@ -204,7 +212,7 @@ class Profiles:
     def __init__(self, prototypes: np.ndarray):
         self.vectors = Vectors()
         self.unit = centred(prototypes)
-        self.slot: dict[str, int] = {}
+        self.slot = Slots()
         self.dots = np.zeros((0, len(self.unit)), dtype=np.float32)
         self.seen: dict[str, tuple[int, float, float]] = {}
 
@@ -246,7 +254,7 @@ def train_prototypes(texts: list[str], labels: list[str | None], rounds: int = R
         if t and l in code:
             for _, _, c in segments(t)[:200]:
                 votes.setdefault(c, np.zeros(len(CODES)))[code[l]] += 1
-    slot: dict[str, int] = {}
+    slot = Slots()
     seeds, vectors = Counted([SEEDS[c] for c in CODES], slot), Vectors()
     known = Counted(list(votes), slot)
     names = list(slot)
@@ -291,18 +299,36 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     return np.array([by[c] for c in CODES])
 
 
+def label_texts(profiles: Profiles, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
+    """``(start, end, lang, confidence)`` of each sentence of each text; an unsure one gets its text's main language."""
+    found = [segments(t) if t else [] for t in texts]
+    scored = iter(profiles.classify([c for f in found for _, _, c in f]))
+    out = []
+    for f in found:
+        own = [next(scored) for _ in f]
+        weight = [0.0] * len(CODES)
+        for (_, _, c), (k, _, m) in zip(f, own):
+            if m >= MARGIN:
+                weight[k] += len(c)
+        main = max(range(len(CODES)), key=weight.__getitem__) if any(weight) else None
+        out.append([(a, e, CODES[k if m >= MARGIN or main is None else main], conf) for (a, e, _), (k, conf, m) in zip(f, own)])
+    return out
+
+
 def label_segments(profiles: Profiles, text: str | None) -> list[tuple[int, int, str, float]]:
-    """``(start, end, lang, confidence)`` of each sentence; an unsure one gets the text's main language."""
-    found = segments(text) if text else []
-    if not found:
-        return []
-    scored = profiles.classify([c for _, _, c in found])
-    weight = [0.0] * len(CODES)
-    for (_, _, c), (k, _, m) in zip(found, scored):
-        if m >= MARGIN:
-            weight[k] += len(c)
-    main = max(range(len(CODES)), key=weight.__getitem__) if any(weight) else None
-    return [(a, e, CODES[k if m >= MARGIN or main is None else main], conf) for (a, e, _), (k, conf, m) in zip(found, scored)]
+    return label_texts(profiles, [text])[0]
+
+
+def slices(texts: list[str | None], most: int = 1_000_000):
+    """Runs of whole texts of about ``most`` characters."""
+    run, n = [], 0
+    for t in texts:
+        run.append(t)
+        n += len(t) if t else 0
+        if n > most:
+            yield run
+            run, n = [], 0
+    yield run
 
 
 ship_by_value(sys.modules[__name__])
@@ -319,7 +345,9 @@ def identify(df: DataFrame, prototypes: np.ndarray, id_col: str = "doc_id", text
     def run(batches):
         profiles = Profiles(shared.value)
         for pdf in batches:
-            out = [[{"start": a, "end": e, "lang": l, "confidence": c} for a, e, l, c in label_segments(profiles, t)] for t in pdf[text_col]]
+            out = []
+            for texts in slices(pdf[text_col].tolist()):
+                out += [[{"start": a, "end": e, "lang": l, "confidence": c} for a, e, l, c in segs] for segs in label_texts(profiles, texts)]
             yield pdf.drop(columns=[text_col]).assign(segments=out)
 
     return src.mapInPandas(run, schema)
