@@ -18,16 +18,45 @@ from tracemill.session import ship_by_value
 
 
 class Pile:
-    """A set of items with its sum; piles compare by sum, then size, then items."""
+    """A set of items with its sum, kept as a tree of merged sets, so that merging copies nothing."""
 
-    __slots__ = ("items", "total")
+    __slots__ = ("total", "size", "left", "right", "first")
 
-    def __init__(self, items: list[tuple[int, int]] | None = None):
-        self.items = items or []
-        self.total = sum(s for _, s in self.items)
+    def __init__(self, total: int = 0, size: int = 0, left=None, right=None):
+        self.total, self.size, self.left, self.right = total, size, left, right
+        self.first = (-1, 0) if not size else (left, total) if right is None else left.first if left.size else right.first
 
-    def key(self) -> tuple:
-        return self.total, len(self.items), self.items
+    def merged(self, other: Pile) -> Pile:
+        return Pile(self.total + other.total, self.size + other.size, self, other)
+
+    def items(self) -> list[tuple[int, int]]:
+        """(index, length) of the items, in the order they were merged."""
+        out, todo = [], [self]
+        while todo:
+            p = todo.pop()
+            if p.right is None:
+                if p.size:
+                    out.append((p.left, p.total))
+            else:
+                todo += [p.right, p.left]
+        return out
+
+    def __lt__(self, other: Pile) -> bool:
+        """By sum, then size, then items. No two piles share an item, so their first items decide."""
+        return (self.total, self.size, self.first) < (other.total, other.size, other.first)
+
+
+class Grouping:
+    """k piles, widest first in the queue; ties go to the greater top pile."""
+
+    __slots__ = ("piles", "spread")
+
+    def __init__(self, piles: list[Pile]):
+        self.piles = sorted(piles, reverse=True)
+        self.spread = self.piles[0].total - self.piles[-1].total
+
+    def __lt__(self, other: Grouping) -> bool:
+        return self.spread > other.spread if self.spread != other.spread else other.piles[0] < self.piles[0]
 
 
 def karmarkar_karp(lengths: Sequence[int], k: int, equal_size: bool) -> list[list[int]]:
@@ -36,29 +65,14 @@ def karmarkar_karp(lengths: Sequence[int], k: int, equal_size: bool) -> list[lis
     if equal_size:
         if len(lengths) % k:
             raise ValueError(f"{len(lengths)} items don't divide into {k} parts")
-        starts = [[Pile([item]) for item in order[a : a + k]] for a in range(0, len(order), k)]
+        heap = [Grouping([Pile(s, 1, i) for i, s in order[a : a + k]]) for a in range(0, len(order), k)]
     else:
-        starts = [[Pile([item]), *[Pile() for _ in range(k - 1)]] for item in order]
-
-    heap: list[tuple] = []
-
-    def push(piles: list[Pile], no: int) -> None:
-        piles.sort(key=Pile.key, reverse=True)
-        spread = piles[0].total - piles[-1].total
-        heapq.heappush(heap, (-spread, _descending(piles[0].key()), no, piles))
-
-    for no, piles in enumerate(starts):
-        push(piles, no)
-    no = len(starts)
+        heap = [Grouping([Pile(s, 1, i), *[Pile() for _ in range(k - 1)]]) for i, s in order]
+    heapq.heapify(heap)
     while len(heap) > 1:
-        a, b = heapq.heappop(heap)[3], heapq.heappop(heap)[3]
-        push([Pile(x.items + y.items) for x, y in zip(a, reversed(b))], no)
-        no += 1
-    return [sorted(i for i, _ in p.items) for p in heap[0][3]]
-
-
-def _descending(key: tuple) -> tuple:
-    return -key[0], -key[1], [(-i, -s) for i, s in key[2]]
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, Grouping([x.merged(y) for x, y in zip(a.piles, reversed(b.piles))]))
+    return [sorted(i for i, _ in p.items()) for p in heap[0].piles]
 
 
 def greedy(lengths: Sequence[int], k: int, equal_size: bool) -> list[list[int]]:
