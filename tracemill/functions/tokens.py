@@ -158,3 +158,42 @@ def kl(logp: Column | str, ref: Column | str, kind: str) -> Column:
     if kind in ("low_var_kl", "k3"):
         return F.zip_with(a, b, lambda x, y: clamp(F.exp(clamp(y - x, 20.0)) - clamp(y - x, 20.0) - 1, 10.0))
     raise ValueError(kind)
+
+
+def positions_after(marks: Column | str, size: Column) -> Column:
+    """The place after each mark, where there is one."""
+    return F.filter(F.transform(_c(marks), lambda i: i + 1), lambda i: i < size)
+
+
+def every_second(a: Column | str, start: int = 0) -> Column:
+    return F.filter(_c(a), lambda x, i: (i >= start) & ((i - start) % 2 == 0))
+
+
+def ceil_div(a: Column, b: Column | int) -> Column:
+    return F.ceil(a / b)
+
+
+def round_up(a: Column, b: int) -> Column:
+    return F.ceil(a / b) * b
+
+
+def finalise(ids: Column, prompt_size: Column, generation: list[int], max_model: int, max_response: int, *aligned: Column) -> Column:
+    """Struct (response, aligned...): the trailing generation prompt goes, then prompt and response part, both cut to size.
+
+    Arrays that aren't as long as ids raise.
+    """
+    n = F.size(ids)
+    same = F.lit(True)
+    for a in aligned:
+        same = same & (F.size(a) == n)
+    g = len(generation)
+    tail = (n >= g) & (F.slice(ids, F.greatest(n - g + 1, F.lit(1)), g) == F.array(*[F.lit(x) for x in generation])) if g else F.lit(False)
+    keep = F.when(~same, F.raise_error(F.lit("arrays differ in length")).cast("int")).otherwise(F.least(F.when(tail, n - g).otherwise(n), F.lit(max_model)))
+    part = lambda a: F.slice(a, prompt_size + 1, F.greatest(F.least(keep - prompt_size, F.lit(max_response)), F.lit(0)))
+    return F.struct(part(ids).alias("response"), *[part(a).alias(f"aligned_{i}") for i, a in enumerate(aligned)])
+
+
+def pair_stack(chosen: Column, rejected: Column, size: int, pad_id: int = 0) -> Column:
+    """[chosen, rejected], each padded on the right or cut to size."""
+    fit = lambda a: truncate(pad(a, size, pad_id), size)
+    return F.array(fit(chosen), fit(rejected))

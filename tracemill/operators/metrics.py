@@ -201,3 +201,47 @@ def imbalance(df: DataFrame, part: str, length: str) -> DataFrame:
     """min, max, max - min and mean of the parts' summed lengths."""
     s = df.groupBy(part).agg(F.sum(length).alias("s"))
     return s.agg(F.min("s").alias("min"), F.max("s").alias("max"), (F.max("s") - F.min("s")).alias("minmax_diff"), F.avg("s").alias("mean"))
+
+
+def category_rates(df: DataFrame, categories: dict[str, str], domain: str = "domain", reward: str = "reward") -> DataFrame:
+    """Success in percent per category of domains; categories without runs have 0."""
+    kinds = F.create_map(*[F.lit(x) for kv in categories.items() for x in kv])
+    per = df.withColumn("category", F.element_at(kinds, F.col(domain))).filter("category is not null").groupBy("category").agg(F.sum(reward).alias("s"), F.count(reward).alias("n_runs"))
+    names = df.sparkSession.createDataFrame([(c,) for c in sorted(set(categories.values()))], "category string")
+    full = F.broadcast(names).join(per, "category", "left")
+    return full.select("category", F.coalesce("n_runs", F.lit(0)).alias("n_runs"), (F.coalesce("s", F.lit(0.0)) / F.greatest(F.coalesce("n_runs", F.lit(0)), F.lit(1)) * 100).alias("success_percent"))
+
+
+def done_rates(lines: DataFrame, domain: str, example: str, done: str) -> DataFrame:
+    """An example succeeds if any of its log lines says done; rate per domain."""
+    per = lines.groupBy(domain, example).agg(F.bool_or(F.coalesce(F.col(done), F.lit(False))).alias("ok"))
+    return per.groupBy(domain).agg(F.count("*").alias("n"), F.count_if("ok").alias("n_done"), F.avg(F.col("ok").cast("int")).alias("rate"))
+
+
+def best_reward(lines: DataFrame, text: str, pattern: str = r"reward[:=]\s*(-?\d+(?:\.\d+)?)") -> DataFrame:
+    """The greatest reward that any log line names."""
+    return lines.agg(F.max(F.regexp_extract(text, pattern, 1).try_cast("double")).alias("best_reward"))
+
+
+def preference_metrics(df: DataFrame, score: str, length: str, chosen: str, logp: str) -> DataFrame:
+    """Score and length statistics, and mean log-probabilities of chosen and rejected rows."""
+    c = F.col(chosen)
+    return df.agg(
+        F.avg(score).alias("score_mean"), F.max(score).alias("score_max"), F.min(score).alias("score_min"), F.avg(length).alias("length_mean"), F.max(length).alias("length_max"),
+        F.min(length).alias("length_min"), F.avg(F.when(c, F.col(logp))).alias("chosen_logps"), F.avg(F.when(~c, F.col(logp))).alias("rejected_logps"),
+    )
+
+
+def spread(df: DataFrame, value: str) -> DataFrame:
+    """mean, max, min and population std over all rows of all partitions."""
+    return df.agg(F.avg(value).alias("mean"), F.max(value).alias("max"), F.min(value).alias("min"), F.stddev_pop(value).alias("std"))
+
+
+def rank_timings(df: DataFrame, name: str = "name", rank: str = "rank", seconds: str = "seconds") -> DataFrame:
+    """Accumulated seconds per rank, then their mean over ranks."""
+    return df.groupBy(name, rank).agg(F.sum(seconds).alias("s")).groupBy(name).agg(F.avg("s").alias("seconds"))
+
+
+def judge_votes(df: DataFrame, trajectory: str, window: str, score: str) -> tuple[DataFrame, DataFrame]:
+    """(mean score per window of images, mean over all completions per trajectory). Missing judgements stay null."""
+    return df.groupBy(trajectory, window).agg(F.avg(score).alias("score")), df.groupBy(trajectory).agg(F.avg(score).alias("score"))
