@@ -27,6 +27,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracemill.session import materialize
+
 LEAF_BITS, FAN_BITS, LEVELS = 6, 6, 3
 
 
@@ -52,6 +54,7 @@ def tree(rows: DataFrame, leaf_bits: int = LEAF_BITS, fan_bits: int = FAN_BITS,
         .groupBy("node")
         .agg(F.bit_xor("h1").alias("d1"), F.bit_xor("h2").alias("d2"), F.count("*").alias("n"))
     )
+    level = materialize(level, "leaves")  # the levels above are read from it, not from the rows again
     out = [level]
     for _ in range(levels - 1):
         level = (
@@ -94,9 +97,11 @@ def diff(
 ) -> DataFrame:
     """``(k, change)`` with change ``added``, ``changed`` or ``removed``.
 
-    Both sides are tables of :func:`records`. saved_tree is the tree kept from the
+    The aggregated rows and the leaves of both sides are written once to the shared
+    folder, as the tree and the comparison of rows read them again. Both sides are tables of :func:`records`. saved_tree is the tree kept from the
     last successful run; without it, it is built from saved.
     """
+    current, saved = materialize(current, "current"), materialize(saved, "saved")
     leaves = changed_leaves(tree(current, leaf_bits, fan_bits, levels), saved_tree or tree(saved, leaf_bits, fan_bits, levels), fan_bits)
     inside = lambda rows: rows.withColumn("node", F.shiftright("k", leaf_bits)).join(leaves, "node", "left_semi").drop("node")
     a, b = inside(current).alias("a"), inside(saved).alias("b")
