@@ -181,23 +181,24 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
     return parts.withColumn("n_chars", F.aggregate("parts", F.lit(0), lambda a, x: a + F.length(x)))
 
 
-def plans(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(run_id, trajectory_id, saved_at, n_chars, ends): the latest save's cuts. Only offsets are shuffled.
+def _ends(rows: DataFrame, limit: int) -> DataFrame:
+    """Adds ``ends``. Of texts within the limit only a null goes to Python; the table is read once."""
+    large = F.col("n_chars") > limit
+    planned = rows.withColumn("planned", _plan_udf(F.when(large, F.col("parts"))))
+    return planned.withColumn("ends", F.when(large, F.col("planned")).otherwise(F.array("n_chars"))).drop("planned")
+
 
-    Texts within the limit don't go through Python.
-    """
-    small = rows.filter(F.col("n_chars") <= limit).select("run_id", "trajectory_id", "saved_at", "n_chars", F.array(F.col("n_chars")).alias("ends"))
-    large = rows.filter(F.col("n_chars") > limit).select("run_id", "trajectory_id", "saved_at", "n_chars", _plan_udf("parts").alias("ends"))
+def plans(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(run_id, trajectory_id, saved_at, n_chars, ends): the latest save's cuts. Only offsets are shuffled."""
+    cut = _ends(rows, limit).select("run_id", "trajectory_id", "saved_at", "n_chars", "ends")
     latest = F.max(F.struct("saved_at", "n_chars", "ends")).alias("m")
-    return small.unionByName(large).groupBy("run_id", "trajectory_id").agg(latest).select("run_id", "trajectory_id", "m.*")
+    return cut.groupBy("run_id", "trajectory_id").agg(latest).select("run_id", "trajectory_id", "m.*")
 
 
 def pieces(rows: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(run_id, trajectory_id, piece_no, start, end, text) of the latest save of each transcript."""
     whole = rows.groupBy("run_id", "trajectory_id").agg(F.max(F.struct("saved_at", "n_chars", "parts")).alias("m")).select("run_id", "trajectory_id", "m.*")
-    small = whole.filter(F.col("n_chars") <= limit).withColumn("ends", F.array(F.col("n_chars")))
-    large = whole.filter(F.col("n_chars") > limit).withColumn("ends", _plan_udf("parts"))
-    cut = small.unionByName(large).select("run_id", "trajectory_id", F.array_join("parts", "").alias("t"), "ends")
+    cut = _ends(whole, limit).select("run_id", "trajectory_id", F.array_join("parts", "").alias("t"), "ends")
     each = cut.select("run_id", "trajectory_id", "t", "ends", F.posexplode("ends").alias("piece_no", "end"))
     start = F.when(F.col("piece_no") == 0, 0).otherwise(F.greatest(F.get("ends", F.col("piece_no") - 1) - overlap, F.lit(0)))
     return each.withColumn("start", start).select("run_id", "trajectory_id", "piece_no", "start", "end", F.substring("t", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
