@@ -3,7 +3,7 @@
 A batch has ``_row``, ``uid`` (the prompt's group), ``rewards`` and ``mask`` (arrays of
 one length per row), and ``values`` for GAE. Every estimator adds ``advantages`` and
 ``returns`` (arrays). Within-row recurrences are array folds; group statistics are
-windows over uid on one number per row; whitening statistics are one aggregated row,
+aggregates of one number per row, joined back on uid; whitening statistics are one aggregated row,
 read as a scalar subquery.
 """
 
@@ -61,8 +61,14 @@ def _spread(df: DataFrame, value: Column) -> DataFrame:
     return df.withColumn("advantages", adv).withColumn("returns", F.col("advantages"))
 
 
-def _group() -> W:
-    return W.partitionBy("uid")
+def _grouped(df: DataFrame, **stats: Column) -> DataFrame:
+    """Adds statistics of the row's uid, from columns ``_s`` (score) and ``_l`` (length).
+
+    Scores are aggregated before the shuffle and joined back, so that a uid with a large
+    share of all rows is split by the skew join instead of filling one window task.
+    """
+    one = df.select("uid", score().alias("_s"), t.total("mask").alias("_l")).groupBy("uid").agg(*[c.alias(n) for n, c in stats.items()])
+    return df.withColumn("_s", score()).join(one, "uid")
 
 
 @register("gae")
@@ -75,8 +81,7 @@ def gae(df: DataFrame, gamma: float = 1.0, lam: float = 1.0) -> DataFrame:
 @register("grpo")
 def grpo(df: DataFrame, norm_by_std: bool = True, eps: float = EPS) -> DataFrame:
     """(score - mean) / (sample std + eps); a group of one has mean 0 and std 1."""
-    g = _group()
-    s = df.withColumn("_s", score()).withColumns({"_n": F.count("*").over(g), "_m": F.avg("_s").over(g), "_d": F.stddev_samp("_s").over(g)})
+    s = _grouped(df, _n=F.count("*"), _m=F.avg("_s"), _d=F.stddev_samp("_s"))
     mean, std = F.when(F.col("_n") == 1, 0.0).otherwise(F.col("_m")), F.when(F.col("_n") == 1, 1.0).otherwise(F.col("_d"))
     value = (F.col("_s") - mean) / (std + eps) if norm_by_std else F.col("_s") - mean
     return _spread(s.withColumn("_v", value), F.col("_v")).drop("_s", "_n", "_m", "_d", "_v")
@@ -85,18 +90,19 @@ def grpo(df: DataFrame, norm_by_std: bool = True, eps: float = EPS) -> DataFrame
 @register("grpo_passk")
 def grpo_passk(df: DataFrame, norm_by_std: bool = True, eps: float = EPS) -> DataFrame:
     """Only the best of a group gets (best - second) / (std + eps); ties go to the lowest row; groups of one raise."""
-    g = _group()
-    down = g.orderBy(F.col("_s").desc(), "_row")
-    s = df.withColumn("_s", score()).withColumns({"_n": F.count("*").over(g), "_d": F.stddev_samp("_s").over(g), "_rk": F.row_number().over(down), "_next": F.lead("_s").over(down)})
-    gap = F.col("_s") - F.col("_next")
-    best = F.when(F.col("_n") < 2, F.raise_error(F.lit("pass@k needs groups of two or more")).cast("double")).when(F.col("_rk") == 1, gap / (F.col("_d") + eps) if norm_by_std else gap).otherwise(0.0)
-    return _spread(s.withColumn("_v", best), F.col("_v")).drop("_s", "_n", "_d", "_rk", "_next", "_v")
+    top = df.select("uid", "_row", score().alias("_s"))
+    # two rows per uid are left before the shuffle
+    two = top.withColumn("_rk", F.row_number().over(W.partitionBy("uid").orderBy(F.col("_s").desc(), "_row"))).filter("_rk <= 2")
+    best = two.groupBy("uid").agg(F.max(F.when(F.col("_rk") == 1, F.col("_row"))).alias("_best"), (F.max("_s") - F.min("_s")).alias("_gap"))
+    s = _grouped(df, _n=F.count("*"), _d=F.stddev_samp("_s")).join(best, "uid")
+    gain = F.col("_gap") / (F.col("_d") + eps) if norm_by_std else F.col("_gap")
+    value = F.when(F.col("_n") < 2, F.raise_error(F.lit("pass@k needs groups of two or more")).cast("double")).when(F.col("_row") == F.col("_best"), gain).otherwise(0.0)
+    return _spread(s.withColumn("_v", value), F.col("_v")).drop("_s", "_n", "_d", "_best", "_gap", "_v")
 
 
 @register("reinforce_plus_plus_baseline")
 def reinforce_pp_baseline(df: DataFrame) -> DataFrame:
-    g = _group()
-    s = df.withColumn("_s", score()).withColumns({"_n": F.count("*").over(g), "_m": F.avg("_s").over(g)})
+    s = _grouped(df, _n=F.count("*"), _m=F.avg("_s"))
     out = _spread(s.withColumn("_v", F.col("_s") - F.when(F.col("_n") == 1, 0.0).otherwise(F.col("_m"))), F.col("_v"))
     out = whiten(out.drop("_s", "_n", "_m", "_v"), "advantages").withColumn("advantages", t.masked("advantages", "mask"))
     return out.withColumn("returns", F.col("advantages"))
@@ -105,8 +111,7 @@ def reinforce_pp_baseline(df: DataFrame) -> DataFrame:
 @register("rloo")
 def rloo(df: DataFrame) -> DataFrame:
     """score * n/(n-1) - mean * n/(n-1); a group of one keeps its score."""
-    g = _group()
-    s = df.withColumn("_s", score()).withColumns({"_n": F.count("*").over(g), "_m": F.avg("_s").over(g)})
+    s = _grouped(df, _n=F.count("*"), _m=F.avg("_s"))
     value = F.when(F.col("_n") == 1, F.col("_s")).otherwise((F.col("_s") - F.col("_m")) * F.col("_n") / F.nullif(F.col("_n") - 1, F.lit(0)))
     return _spread(s.withColumn("_v", value), F.col("_v")).drop("_s", "_n", "_m", "_v")
 
@@ -114,10 +119,9 @@ def rloo(df: DataFrame) -> DataFrame:
 @register("opo")
 def opo(df: DataFrame) -> DataFrame:
     """score minus the group's length-weighted mean; baseline 0 for a group of one."""
-    g = _group()
-    s = df.withColumns({"_s": score(), "_l": t.total("mask")}).withColumn("_sl", F.col("_s") * F.col("_l"))
-    base = F.when(F.count("*").over(g) == 1, 0.0).otherwise(F.sum("_sl").over(g) / F.sum("_l").over(g))
-    return _spread(s.withColumn("_v", F.col("_s") - base), F.col("_v")).drop("_s", "_l", "_sl", "_v")
+    s = _grouped(df, _n=F.count("*"), _sl=F.sum(F.col("_s") * F.col("_l")), _len=F.sum("_l"))
+    base = F.when(F.col("_n") == 1, 0.0).otherwise(F.col("_sl") / F.col("_len"))
+    return _spread(s.withColumn("_v", F.col("_s") - base), F.col("_v")).drop("_s", "_n", "_sl", "_len", "_v")
 
 
 @register("reinforce_plus_plus")

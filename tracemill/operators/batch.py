@@ -40,6 +40,11 @@ def number_rows(df: DataFrame, *keys: str | Column) -> DataFrame:
     return marked.join(F.broadcast(off), "__pid").withColumn(ROW, F.col("__at") + F.col("__off")).drop("__pid", "__at", "__off")
 
 
+def first_rows(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
+    """The first n rows by keys. Unlike a sorted limit, n rows never come together in one task."""
+    return number_rows(df, *keys).filter(F.col(ROW) < n).drop(ROW)
+
+
 def from_columns(spark: SparkSession, columns: Mapping[str, Sequence], num_rows: int | None = None) -> DataFrame:
     """A batch from equally long Python lists (B1, B2); other lengths raise BatchError."""
     lengths = {k: len(v) for k, v in columns.items()}
@@ -259,11 +264,11 @@ def sampling_audit(before: DataFrame, after: DataFrame, id_col: str) -> DataFram
     return both.withColumn("delta", F.col("n_final") - F.col("n_original"))
 
 
-def collate(df: DataFrame, *columns: str) -> DataFrame:
-    """One row of arrays in row order (B20). The result is one row: for batches, not tables."""
+def collate(df: DataFrame, *columns: str, size: int) -> DataFrame:
+    """Every ``size`` rows as one row of arrays in row order, with ``batch``."""
     s = F.array_sort(F.collect_list(F.struct(ROW, *columns)))
     pick = lambda c: F.transform("s", lambda x: x.getField(c)).alias(c)
-    return df.agg(s.alias("s")).select(*[pick(c) for c in columns])
+    return df.groupBy(F.floor(F.col(ROW) / size).alias("batch")).agg(s.alias("s")).select("batch", *[pick(c) for c in columns])
 
 
 def size_report(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Curation of rollouts into training groups.
 
-Rules run as windows over the task and one join with the newest positive row of each
-task; nothing loops over tasks. Random choices are by hash of (seed, id), so they
+Group statistics are aggregates joined back on the task, so that a task with a large share of
+all rows is split by the skew join; ranks are only used as ``row_number() <= k``, which
+limits every group before the shuffle, and windows beyond that see a few rows per task. Random choices are by hash of (seed, id), so they
 repeat and are spread evenly. Ties in time go to the greater id.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tracemill.operators.batch import ROW, number_rows
+from tracemill.operators.batch import ROW, first_rows, number_rows
 from tracemill.operators.catalog import newest_versions
 from tracemill.session import materialize
 
@@ -39,39 +40,45 @@ def replace_all_zero(group: DataFrame, pool: DataFrame, positive: Column, task:
     group needs ``_mean``. A positive row that is in the group already leaves it as it is.
     """
     cols = [c for c in group.columns if not c.startswith("_")]
-    best = pool.filter(positive).select(task, F.struct(*[F.col(c) for c in cols]).alias("_new"), F.row_number().over(_newest(task)).alias("_rk")).filter("_rk = 1").drop("_rk")
-    ranked = group.withColumn("_old_rank", F.row_number().over(_oldest(task))).join(best, task, "left")
-    zero = F.abs("_mean") <= ZERO
-    kept = ranked.filter(~zero | F.col("_new").isNotNull())
-    inside = F.max((F.col("id") == F.col("_new.id")).cast("int")).over(W.partitionBy(task)) == 1
-    swap = zero & (F.col("_old_rank") == 1) & ~F.coalesce(inside, F.lit(False))
-    return kept.withColumn("_swap", swap).select(*[F.when(F.col("_swap"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    newest = F.struct(F.col("create_at").isNotNull().alias("some"), "create_at", "id")
+    best = pool.filter(positive).groupBy(task).agg(F.max_by(F.struct(*[F.col(c) for c in cols if c != task]), newest).alias("_new"))
+    zero = group.filter(F.abs("_mean") <= ZERO)
+    # the oldest row's id, with null times first, and whether the newest positive row is in the group
+    oldest = zero.groupBy(task).agg(F.min(F.struct(F.col("create_at").isNotNull().alias("some"), "create_at", "id")).alias("_o"))
+    inside = best.select(task, F.col("_new.id").alias("id")).join(zero.select(task, "id"), [task, "id"], "left_semi").select(task, F.lit(True).alias("_in"))
+    plan = oldest.select(task, F.col("_o.id").alias("_oldest")).join(best, task).join(inside, task, "left")
+    kept = group.filter(F.abs("_mean") > ZERO).select(*cols)
+    swap = (F.col("id") == F.col("_oldest")) & F.col("_in").isNull()
+    changed = zero.join(plan, task).withColumn("_swap", swap)
+    pick = lambda c: F.col(c) if c == task else F.when(F.col("_swap"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+    return kept.unionByName(changed.select(*[pick(c) for c in cols]))
 
 
 def trim_random(df: DataFrame, limit: int, seed: int, positive: Column, task: str = "task_id") -> DataFrame:
     """At most limit rows per task by hash; of larger groups one positive and one other row stay, if there are any."""
     h = F.xxhash64(F.lit(seed), "id")
-    w = W.partitionBy(task)
-    marked = df.withColumns({"_pos": positive, "_h": h}).withColumns({"_n": F.count("*").over(w), "_c": F.row_number().over(W.partitionBy(task, "_pos").orderBy("_h", "id"))})
-    rank = F.row_number().over(w.orderBy((F.col("_c") > 1).cast("int"), "_h", "id"))
-    return marked.withColumn("_rk", rank).filter((F.col("_n") <= limit) | (F.col("_rk") <= limit)).drop("_pos", "_h", "_n", "_c", "_rk")
+    # a kept row is among the first limit of its kind, so at most 2 * limit rows per task are left here
+    few = df.withColumns({"_pos": positive, "_h": h}).withColumn("_c", F.row_number().over(W.partitionBy(task, "_pos").orderBy("_h", "id"))).filter(F.col("_c") <= limit)
+    rank = F.row_number().over(W.partitionBy(task).orderBy((F.col("_c") > 1).cast("int"), "_h", "id"))
+    return few.withColumn("_rk", rank).filter(F.col("_rk") <= limit).drop("_pos", "_h", "_c", "_rk")
 
 
 def trim_newest(df: DataFrame, limit: int, positive: Column, task: str = "task_id") -> DataFrame:
     """The newest limit rows per task; if none of them is positive, the newest positive one takes the last place."""
-    w = W.partitionBy(task)
-    m = df.withColumns({"_pos": positive, "_rk": F.row_number().over(_newest(task))}).withColumn("_has", F.max((F.col("_pos") & (F.col("_rk") <= limit)).cast("int")).over(w))
-    m = m.withColumn("_first", F.min(F.when(F.col("_pos"), F.col("_rk"))).over(w))
-    fine = (F.col("_has") == 1) | F.col("_first").isNull()
-    keep = F.when(fine, F.col("_rk") <= limit).otherwise((F.col("_rk") <= limit - 1) | (F.col("_rk") == F.col("_first")))
-    return m.filter(keep).drop("_pos", "_rk", "_has", "_first")
+    newest = df.withColumn("_rk", F.row_number().over(_newest(task))).filter(F.col("_rk") <= limit)
+    first = df.filter(positive).withColumn("_rk", F.row_number().over(_newest(task))).filter("_rk = 1").drop("_rk")
+    has = newest.filter(positive).select(task).distinct()
+    late = first.join(has, task, "left_anti")
+    shorter = late.select(task, F.lit(limit - 1).alias("_most"))
+    kept = newest.join(shorter, task, "left").filter(F.col("_rk") <= F.coalesce("_most", F.lit(limit)))
+    return kept.select(*df.columns).unionByName(late.select(*df.columns))
 
 
 def eligible(df: DataFrame, limit: int, acc_max: float, task: str = "task_id") -> DataFrame:
     """Rows of tasks with at least limit rows and a mean in [0, acc_max), with ``_mean``."""
-    w = W.partitionBy(task)
-    m = df.withColumns({"_n": F.count("*").over(w), "_mean": F.avg("reward").over(w)})
-    return m.filter((F.col("_n") >= limit) & (F.col("_mean") >= 0) & (F.col("_mean") < acc_max)).drop("_n")
+    per = df.groupBy(task).agg(F.count("*").alias("_n"), F.avg("reward").alias("_mean"))
+    good = per.filter((F.col("_n") >= limit) & (F.col("_mean") >= 0) & (F.col("_mean") < acc_max)).drop("_n")
+    return df.join(good, task)
 
 
 def trainable(df: DataFrame, versions: DataFrame | None = None, per_task: int = 8, acc_max: float = 1.0, seed: int = 42) -> DataFrame:
@@ -81,7 +88,7 @@ def trainable(df: DataFrame, versions: DataFrame | None = None, per_task: int =
     the whole input, used rows and other versions included.
     """
     versions = newest_versions(df).select("model_version") if versions is None else versions
-    fresh = scored(df.filter("used = 0").join(F.broadcast(versions.distinct()), "model_version", "left_semi"))
+    fresh = scored(df.filter("used = 0").join(versions.distinct(), "model_version", "left_semi"))
     swapped = replace_all_zero(eligible(fresh, per_task, acc_max), scored(df), F.col("reward") > 0)
     return trim_random(swapped, per_task, seed, F.col("reward") > 0)
 
@@ -117,32 +124,31 @@ def proportional(df: DataFrame, most: int = 8, seed: int = 0, task: str = "task_
     Tasks with no correct row keep up to most wrong ones; tasks with a share of correct
     rows among all rows above 7/8 or below 1/8 go.
     """
-    w = W.partitionBy(task)
     kind = F.when(F.col("reward") > 0.8, "correct").when(F.col("reward") == 0, "wrong")
-    m = df.withColumn("_k", kind).withColumns({"_n": F.count("*").over(w), "_c": F.count(F.when(F.col("_k") == "correct", 1)).over(w)}).filter("_k is not null")
-    m = m.withColumn("_p", F.col("_c") / F.col("_n")).withColumn("_take", F.when(F.col("_k") == "correct", F.least(F.ceil(F.col("_p") * most), F.col("_c"))))
+    per = df.groupBy(task).agg(F.count("*").alias("_n"), F.count_if(F.col("reward") > 0.8).alias("_c")).withColumn("_p", F.col("_c") / F.col("_n"))
+    rank = F.row_number().over(W.partitionBy(task, "_k").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
+    few = df.withColumn("_k", kind).filter("_k is not null").withColumn("_rk", rank).filter(F.col("_rk") <= most)
     quota = F.when(F.col("_c") == 0, F.lit(most)).when((F.col("_p") > 0.875) | (F.col("_p") < 0.125), F.lit(0))
     correct = F.least(F.ceil(F.col("_p") * most), F.col("_c"))
     quota = quota.when(F.col("_k") == "correct", correct).otherwise(most - correct)
-    rank = F.row_number().over(W.partitionBy(task, "_k").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
-    return m.withColumns({"_q": quota, "_rk": rank}).filter("_rk <= _q").drop("_k", "_n", "_c", "_p", "_take", "_q", "_rk")
+    return few.join(per, task).filter(F.col("_rk") <= quota).drop("_k", "_n", "_c", "_p", "_rk")
 
 
 def priority(df: DataFrame, most: int = 8, task: str = "task_id", order: str = "id") -> DataFrame:
     """Rows with reward 1 first, then 0, in input order, up to most per task; tasks without a 0 go."""
-    w = W.partitionBy(task)
-    m = df.filter("reward in (0, 1)").withColumn("_neg", F.max((F.col("reward") == 0).cast("int")).over(w)).filter("_neg = 1")
-    return m.withColumn("_rk", F.row_number().over(w.orderBy(F.col("reward").desc(), order))).filter(F.col("_rk") <= most).drop("_neg", "_rk")
+    mixed = df.filter("reward = 0").select(task).distinct()
+    ranked = df.filter("reward in (0, 1)").withColumn("_rk", F.row_number().over(W.partitionBy(task).orderBy(F.col("reward").desc(), order)))
+    return ranked.filter(F.col("_rk") <= most).join(mixed, task, "left_semi").drop("_rk")
 
 
 def drop_flat_groups(df: DataFrame, metric: str, group: str = "uid") -> DataFrame:
     """Groups whose metric varies, and groups of one."""
-    w = W.partitionBy(group)
-    return df.withColumns({"_sd": F.stddev_pop(metric).over(w), "_n": F.count("*").over(w)}).filter("_sd > 0 or _n = 1").drop("_sd", "_n")
+    varied = df.groupBy(group).agg(F.stddev_pop(metric).alias("_sd"), F.count("*").alias("_n")).filter("_sd > 0 or _n = 1").select(group)
+    return df.join(varied, group, "left_semi")
 
 
 def cut_batch(df: DataFrame, prompts: int, per_prompt: int, order: str) -> DataFrame:
-    return df.orderBy(order).limit(prompts * per_prompt)
+    return first_rows(df, prompts * per_prompt, F.col(order))
 
 
 def accuracy_filter(df: DataFrame, low: float, high: float, max_length: int, oversample: float, group: str = "uid", row: str = "_row") -> DataFrame:
@@ -150,10 +156,10 @@ def accuracy_filter(df: DataFrame, low: float, high: float, max_length: int, ove
 
     A group passes with a mean acc in [low, high] and no length of max_length - 1 or more.
     """
-    w = W.partitionBy(group)
-    m = df.withColumns({"_acc": F.avg("acc").over(w), "_len": F.max("length").over(w)})
-    m = m.withColumn("pass", (F.col("_acc") >= low) & (F.col("_acc") <= high) & (F.col("_len") < max_length - 1)).drop("_acc", "_len")
-    return m.orderBy(F.col("pass").desc(), group, row).limit(int(df.count() // oversample))
+    per = df.groupBy(group).agg(F.avg("acc").alias("_acc"), F.max("length").alias("_len"))
+    ok = (F.col("_acc") >= low) & (F.col("_acc") <= high) & (F.col("_len") < max_length - 1)
+    m = df.join(per.select(group, ok.alias("pass")), group)
+    return first_rows(m, int(df.count() // oversample), F.col("pass").desc(), F.col(group), F.col(row))
 
 
 def trim_negative_prefix(steps: DataFrame, trajectory: str = "trajectory_id", step: str = "step") -> DataFrame:

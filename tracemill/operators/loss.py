@@ -106,6 +106,13 @@ def _covariance(df: DataFrame) -> DataFrame:
     return long.withColumn("_m", mean).withColumn("cov", (F.col("a") - F.col("_m.a")) * (F.col("lp") - F.col("_m.lp"))).withColumn("d", F.col("lp") - F.col("op")).drop("_m")
 
 
+def _first(long: DataFrame, n: int, key: Column) -> DataFrame:
+    """The first n tokens by key, then row and place; their number grows with the data, so no sorted limit."""
+    from tracemill.operators.batch import first_rows
+
+    return first_rows(long.withColumnRenamed("_row", "_r"), n, key, F.col("_r"), F.col("pos")).withColumnRenamed("_r", "_row")
+
+
 @register("clip_cov")
 def clip_cov(df: DataFrame, clip: float = 0.2, ratio: float = 0.0002, lower: float = 1.0, upper: float = 5.0, seed: int = 0) -> DataFrame:
     """token-mean loss without the clip_num tokens, picked by hash, whose covariance lies in (lower, upper)."""
@@ -114,7 +121,7 @@ def clip_cov(df: DataFrame, clip: float = 0.2, ratio: float = 0.0002, lower: flo
     long = long.withColumns({"l1": l1, "l2": l2})
     n = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1))).first()[0]
     able = long.filter((F.col("cov") > lower) & (F.col("cov") < upper) & (F.col("l2") <= F.col("l1")))
-    gone = able.orderBy(F.xxhash64(F.lit(seed), "_row", "pos"), "_row", "pos").limit(n).select("_row", "pos", F.lit(0.0).alias("keep"))
+    gone = _first(able.withColumn("_h", F.xxhash64(F.lit(seed), "_row", "pos")), n, F.col("_h")).select("_row", "pos", F.lit(0.0).alias("keep"))
     kept = long.join(gone, ["_row", "pos"], "left").withColumn("keep", F.coalesce("keep", F.lit(1.0)))
     return kept.agg((F.sum(F.greatest("l1", "l2") * F.col("keep")) / F.count("*")).alias("pg_loss"), F.avg((F.col("keep") == 0).cast("int")).alias("pg_clipfrac"), F.avg(-F.col("d")).alias("ppo_kl"))
 
@@ -124,7 +131,7 @@ def kl_cov(df: DataFrame, ratio: float = 0.0002, coef: float = 1.0) -> DataFrame
     """token-mean loss in which the max(1, n * ratio) tokens of greatest covariance also pay coef * abs(kl)."""
     long = _covariance(df)
     n = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1))).first()[0]
-    top = long.orderBy(F.col("cov").desc(), "_row", "pos").limit(n).select("_row", "pos", F.lit(coef).alias("c"))
+    top = _first(long, n, F.col("cov").desc()).select("_row", "pos", F.lit(coef).alias("c"))
     each = long.join(top, ["_row", "pos"], "left")
     loss = -F.col("a") * F.exp("d") + F.coalesce("c", F.lit(0.0)) * F.abs("d")
     return each.agg((F.sum(loss) / F.count("*")).alias("pg_loss"), F.avg(F.abs("d")).alias("ppo_kl"))

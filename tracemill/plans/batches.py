@@ -56,10 +56,15 @@ _reg(
 )
 _reg("batch_minibatches", "SELECT _row, o_orderkey, CAST(e.i AS INTEGER) AS epoch, CAST(floor(_row / 100) AS BIGINT) AS batch FROM o, (VALUES (0), (1)) e(i)", lambda x: b.minibatches(x, 100, 2).select("_row", "o_orderkey", "epoch", "batch"))
 _reg("batch_split_fixed", "SELECT _row, CAST(floor(_row / 64) AS BIGINT) AS batch FROM o", lambda x: x.select("_row", F.floor(F.col("_row") / 64).alias("batch")))
-_reg("batch_collate", "SELECT CAST(length(string_agg(o_orderstatus, '' ORDER BY _row)) AS BIGINT) AS n, md5(string_agg(o_orderstatus, '' ORDER BY _row)) AS digest FROM o", lambda x: b.collate(x, "o_orderstatus").select(F.size("o_orderstatus").cast("long").alias("n"), F.md5(F.array_join("o_orderstatus", "")).alias("digest")), "o_orderstatus")
+_reg(
+    "batch_collate",
+    "SELECT CAST(floor(_row / 512) AS BIGINT) AS batch, count(*) AS n, md5(string_agg(o_orderstatus, '' ORDER BY _row)) AS digest FROM o GROUP BY 1",
+    lambda x: b.collate(x, "o_orderstatus", size=512).select("batch", F.size("o_orderstatus").cast("long").alias("n"), F.md5(F.array_join("o_orderstatus", "")).alias("digest")),
+    "o_orderstatus",
+)
 _reg("batch_size_report", "SELECT unnest(['o_orderkey', 'o_orderstatus']) AS name, n AS n_values FROM n", b.size_report, "o_orderstatus")
 _reg("batch_upsample_count", "SELECT CAST(ceil(n / 768.0) * 768 AS BIGINT) AS n FROM n", lambda x: b.upsample(x, 768).agg(F.count("*").alias("n")))
-_reg("batch_fit_count", "SELECT 768 AS n, 0 AS first FROM n WHERE n % 7168 <> 0", lambda x: b.fit_count(x, 7168).agg(F.count("*").alias("n"), F.min("_row").alias("first")))
+_reg("batch_fit_count", "SELECT CAST(768 AS BIGINT) AS n, CAST(0 AS BIGINT) AS first FROM n WHERE n % 7168 <> 0", lambda x: b.fit_count(x, 7168).agg(F.count("*").alias("n"), F.min("_row").alias("first")))
 _reg(
     "batch_upsample_padding",
     "SELECT count(*) FILTER (WHERE false) + CAST(ceil(any_value(n) / 768.0) * 768 - any_value(n) AS BIGINT) AS n_padding, round(sum(o_totalprice), 4) AS reward FROM o, n",

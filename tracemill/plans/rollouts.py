@@ -131,7 +131,7 @@ CORE.query("eligible_rollouts", f"{_FRESH} SELECT id, round(mean, 6) + 0.0 AS me
 
 def _fresh(c):
     top = catalog.newest_versions(c, 2).select("model_version").distinct()
-    return curation.scored(c.filter("used = 0").join(F.broadcast(top), "model_version", "left_semi"))
+    return curation.scored(c.filter("used = 0").join(top, "model_version", "left_semi"))
 
 
 CORE.query("replaced_all_zero_groups", f"{_FRESH}, {_swap('el', f'(SELECT * FROM cat WHERE {_SCORED})', 'reward > 0')} SELECT id, task_id, reward FROM sw")(
@@ -274,9 +274,18 @@ CORE.query("pass_at_2_gap", f"{_C} SELECT task_id, round(max(CASE WHEN k = 1 THE
 )
 CORE.query(
     "pair_accuracy",
-    f"""{_C}, x AS (SELECT task_id, id, coalesce(num_chunks, 0) AS s, reward AS a FROM cat WHERE {_SCORED}), p AS (SELECT i.task_id, abs(i.a - j.a) AS w, CASE WHEN (i.s - j.s > 0) = (i.a - j.a > 0) THEN abs(i.a - j.a) ELSE 0 END AS ok FROM x i JOIN x j ON i.task_id = j.task_id AND i.id < j.id),
-g AS (SELECT x.task_id, CASE WHEN coalesce(any_value(q.w), 0) = 0 THEN 0.5 ELSE any_value(q.ok) / any_value(q.w) END AS acc FROM x LEFT JOIN (SELECT task_id, sum(w) AS w, sum(ok) AS ok FROM p GROUP BY 1) q ON x.task_id = q.task_id GROUP BY 1) SELECT round(avg(acc), 6) AS dpo_acc FROM g""",
-)(lambda s, d: metrics.pair_accuracy(curation.scored(cat(s, d)).withColumn("c", F.coalesce("num_chunks", F.lit(0))), F.col("task_id"), "c", "reward", "id").select(F.round("dpo_acc", 6).alias("dpo_acc")))
+    f"""{_C}, x0 AS (SELECT row_number() OVER (ORDER BY task_id, id) - 1 AS p, coalesce(num_chunks, 0) AS s, reward AS a FROM cat WHERE {_SCORED}), x AS (SELECT *, floor(p / 8) AS g FROM x0),
+p AS (SELECT i.g, abs(i.a - j.a) AS w, CASE WHEN (i.s - j.s > 0) = (i.a - j.a > 0) THEN abs(i.a - j.a) ELSE 0 END AS ok FROM x i JOIN x j ON i.g = j.g AND i.p < j.p),
+g AS (SELECT x.g, CASE WHEN coalesce(any_value(q.w), 0) = 0 THEN 0.5 ELSE any_value(q.ok) / any_value(q.w) END AS acc FROM x LEFT JOIN (SELECT g, sum(w) AS w, sum(ok) AS ok FROM p GROUP BY 1) q ON x.g = q.g GROUP BY 1) SELECT round(avg(acc), 6) AS dpo_acc FROM g""",
+)(lambda s, d: _pair_accuracy(curation.scored(cat(s, d))))
+
+
+def _pair_accuracy(c):
+    """Runs of 8 rows stand for the samples of one prompt."""
+    rows = batch.number_rows(c.withColumn("c", F.coalesce("num_chunks", F.lit(0))), "task_id", "id")
+    return metrics.pair_accuracy(rows, F.floor(F.col("_row") / 8), "c", "reward", "_row").select(F.round("dpo_acc", 6).alias("dpo_acc"))
+
+
 CORE.query("sampling_audit", f"{_C} SELECT split_part(trajectory_id, '_', 1) AS task, count(*) AS n_original, count(*) FILTER (id % 3 > 0) AS n_final, count(*) FILTER (id % 3 > 0) - count(*) AS delta FROM cat GROUP BY 1")(
     lambda s, d: (lambda c: batch.sampling_audit(c, c.filter("id % 3 > 0"), "trajectory_id"))(cat(s, d))
 )

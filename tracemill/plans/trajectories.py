@@ -118,7 +118,8 @@ CORE.query("fitted_logps", f"WITH {_P} SELECT n, CASE WHEN n % 2 = 0 THEN array_
 
 
 def _lengths(s, d):
-    return table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").select((F.col("l_orderkey") % 16).alias("batch"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row"), F.col("l_quantity").cast("long").alias("length"))
+    """Line items of 256 orders, about a thousand, are one batch, whatever the size of the table."""
+    return table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").select(F.floor(F.col("l_orderkey") / 256).alias("batch"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row"), F.col("l_quantity").cast("long").alias("length"))
 
 
 def _whole(s, d):
@@ -130,7 +131,7 @@ def _whole(s, d):
     return m.filter(F.col("rk") <= F.floor(F.col("n") / 8) * 8).drop("rk", "n")
 
 
-_LEN = "l AS (SELECT l_orderkey % 16 AS batch, CAST(l_quantity AS BIGINT) AS length FROM lineitem)"
+_LEN = "l AS (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS batch, CAST(l_quantity AS BIGINT) AS length FROM lineitem)"
 CORE.query("balanced_partition_sizes", f"WITH {_LEN}, n AS (SELECT batch, floor(count(*) / 8) AS n FROM l GROUP BY batch) SELECT batch, CAST(p.i AS INTEGER) AS part, CAST(n AS BIGINT) AS n_rows FROM n, range(8) p(i)")(
     lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8).groupBy("batch", "part").agg(F.count("*").alias("n_rows"))
 )
@@ -347,7 +348,9 @@ CORE.query("validation_metrics")(lambda s, d: _validation(s, d))
 
 
 def _validation(s, d):
-    c = catalog(s, d).filter("reward is not null")
-    rows = c.select(F.col("run_id").alias("source"), F.col("task_id").alias("prompt"), F.lit("acc").alias("var"), F.col("reward").alias("value"), F.col("reward").cast("string").alias("vote"), F.col("id").alias("order"))
-    small = rows.groupBy("source", "prompt").agg(F.count("*").alias("n")).filter("n <= 16").drop("n")
-    return metrics.validation(rows.join(small, ["source", "prompt"], "left_semi"), draws=100)
+    """Runs of 8 rows of a task stand for the samples of one prompt."""
+    from tracemill.operators.batch import number_rows
+
+    rows = number_rows(catalog(s, d).filter("reward is not null").select("task_id", "reward", "id"), "task_id", "id")
+    var = F.col("reward")
+    return metrics.validation(rows.select(F.lit("catalog").alias("source"), F.floor(F.col("_row") / 8).cast("string").alias("prompt"), F.lit("acc").alias("var"), var.alias("value"), var.cast("string").alias("vote"), F.col("_row").alias("order")), draws=100)

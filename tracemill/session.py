@@ -57,9 +57,21 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Removes the tables that :func:`materialize` wrote in this process; plans over them can't be read after."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_by_value(*modules) -> None:
     """Lets Python workers run functions of these modules without importing them.
 
