@@ -338,19 +338,24 @@ _SEGMENT = "array<struct<start:int,end:int,lang:string,confidence:double>>"
 
 def identify(df: DataFrame, prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """``(id_col, more..., segments)`` of every row, in one pass without a shuffle."""
-    src = df.select(id_col, text_col, *more)
+    src = df.select(text_col, id_col, *more)
     schema = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in (id_col, *more)) + f", segments {_SEGMENT}"
     shared = df.sparkSession.sparkContext.broadcast(prototypes.astype(np.float32))
 
     def run(batches):
-        profiles = Profiles(shared.value)
-        for pdf in batches:
-            out = []
-            for texts in slices(pdf[text_col].tolist()):
-                out += [[{"start": a, "end": e, "lang": l, "confidence": c} for a, e, l, c in segs] for segs in label_texts(profiles, texts)]
-            yield pdf.drop(columns=[text_col]).assign(segments=out)
+        import pyarrow as pa
 
-    return src.mapInPandas(run, schema)
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64())]))
+        profiles = Profiles(shared.value)
+        for batch in batches:
+            at = 0
+            for texts in slices(batch.column(0).to_pylist()):
+                found = [[{"start": a, "end": e, "lang": l, "confidence": c} for a, e, l, c in segs] for segs in label_texts(profiles, texts)]
+                kept = [c.slice(at, len(texts)) for c in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(found, kind)], [*batch.schema.names[1:], "segments"])
+                at += len(texts)
+
+    return src.mapInArrow(run, schema)
 
 
 def segment_rows(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -37,7 +37,7 @@ WHERE l.n_chars > 6000 AND (c.num_chunks IS NULL OR c.num_chunks < 2 OR c.split_
 )
 def p1_found(spark, d):
     cut = _plans(spark, d).filter(F.size("ends") > 1).select("run_id", "trajectory_id")
-    uncut = F.col("num_chunks").isNull() | (F.col("num_chunks") < 2) | F.col("split_dir").isNull() | (F.length(F.regexp_replace("split_dir", r"\s", "")) == 0)
+    uncut = F.col("num_chunks").isNull() | (F.col("num_chunks") < 2) | F.col("split_dir").isNull() | (F.col("split_dir").rlike(r"(?U)^\s*$"))
     rows = _current(spark, d, "num_chunks", "split_dir").filter(uncut)
     return rows.join(cut, ["run_id", "trajectory_id"], "left_semi").select("run_id", "trajectory_id")
 
