@@ -354,3 +354,46 @@ def _validation(s, d):
     rows = number_rows(catalog(s, d).filter("reward is not null").select("task_id", "reward", "id"), "task_id", "id")
     var = F.col("reward")
     return metrics.validation(rows.select(F.lit("catalog").alias("source"), F.floor(F.col("_row") / 8).cast("string").alias("prompt"), F.lit("acc").alias("var"), var.alias("value"), var.cast("string").alias("vote"), F.col("_row").alias("order")), draws=100)
+
+
+@CORE.query("supervised_nested_read", "SELECT 'p' || o_orderkey AS prompt, 'c' || o_orderkey AS response FROM orders")
+def supervised_nested_read(s, d):
+    path = _folder(s, "sft")
+    _pairs(s, d).select(F.struct(F.col("prompt").alias("text")).alias("question"), F.struct(F.struct(F.col("chosen").alias("text")).alias("best")).alias("answers")).write.parquet(path)
+    return readers.supervised(s, path, "question", "answers", ["text"], ["best", "text"])
+
+
+@CORE.query("preference_read", "SELECT 'p' || o_orderkey AS prompt, 'c' || o_orderkey AS chosen, 'r' || o_orderkey AS rejected FROM orders")
+def preference_read(s, d):
+    path = _folder(s, "rm")
+    _pairs(s, d).withColumn("unused", F.lit(1)).write.parquet(path)
+    return readers.preferences(s, path)
+
+
+@CORE.query("conversation_read_optional_columns", "SELECT user_id, 'x' AS tools, CAST(NULL AS VARCHAR) AS enable_thinking FROM events WHERE user_id % 2 = 0 UNION ALL SELECT user_id, NULL, NULL FROM events WHERE user_id % 2 = 1")
+def conversation_read_optional_columns(s, d):
+    """Two files, only one of which has a tools column, and none has enable_thinking."""
+    path, e = _folder(s, "mt"), table(s, d, "events", F.col("user_id").alias("messages"))
+    e.filter("messages % 2 = 0").withColumn("tools", F.lit("x")).write.parquet(f"{path}/a")
+    e.filter("messages % 2 = 1").write.parquet(f"{path}/b")
+    return readers.conversations(s, [f"{path}/a", f"{path}/b"]).withColumnRenamed("messages", "user_id")
+
+
+@CORE.query("json_array_read", "SELECT r_regionkey, r_name FROM region")
+def json_array_read(s, d):
+    """The regions as one JSON array in one file."""
+    path, r = _folder(s, "arr"), table(s, d, "region", "r_regionkey", "r_name")
+    r.agg(F.to_json(F.collect_list(F.struct("r_regionkey", "r_name"))).alias("value")).coalesce(1).write.text(path)
+    return readers.json_array(s, path, "r_regionkey int, r_name string")
+
+
+@CORE.query("generations_evaluated", "WITH g AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE 0.0 END AS s FROM orders), p AS (SELECT o_custkey, avg(s) AS s FROM g GROUP BY 1) SELECT o_custkey % 5 AS data_source, round(avg(s), 6) AS score FROM p GROUP BY 1")
+def generations_evaluated(s, d):
+    """Offline evaluation: every response scored by rule, averaged per prompt, then per data source."""
+    from tracemill.functions import scoring
+
+    o = table(s, d, "orders", "o_custkey", F.concat(F.lit("so #### "), F.col("o_orderkey").cast("string")).alias("text"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey")).otherwise(-1).cast("string").alias("truth"), "o_orderkey")
+    prompts = writers.with_responses(o.select("o_custkey").distinct(), o.withColumn("pair", F.struct("text", "truth")), "o_custkey", "o_orderkey", "pair")
+    each = prompts.select("o_custkey", F.explode("responses").alias("r"))
+    scored = each.select("o_custkey", (F.col("o_custkey") % 5).alias("data_source"), scoring.gsm8k_score(F.col("r.text"), F.col("r.truth")).alias("score"))
+    return metrics.mean_of_means(scored, "data_source", "o_custkey", "score").select("data_source", F.round("score", 6).alias("score"))
