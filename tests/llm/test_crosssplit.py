@@ -1,8 +1,6 @@
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from tracemill.llm import crosssplit
 
 
@@ -42,8 +40,9 @@ def test_against_brute_force(spark):
 
 def test_equal_runs_are_cut_alike(spark):
     df = spark.sql("SELECT split('r1 r2 r3 r4 a b c d e f g h i j', ' ') x, split('r1 r2 r3 q4 a b c d e f g h i j', ' ') y")
-    row = df.select(crosssplit.chunks(F.col("x"), 0.95, 1).alias("x"), crosssplit.chunks(F.col("y"), 0.95, 1).alias("y")).first()
-    assert sum(c["len"] for c in row.x) == 14 and [c.digest for c in row.x][-2:] == [c.digest for c in row.y][-2:]
+    cut = lambda c: crosssplit.with_chunks(df, c, 0.95, 1).first().chunks
+    x, y = cut("x"), cut("y")
+    assert sum(c["len"] for c in x) == 14 and [c.digest for c in x][-2:] == [c.digest for c in y][-2:]
 
 
 def test_keys_and_longest_text(spark):

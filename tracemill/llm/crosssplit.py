@@ -81,16 +81,17 @@ def head_length(n: Column, threshold: float = THRESHOLD) -> Column:
     return (n - F.ceil(n * threshold - 1e-9) + 1).cast("int")
 
 
-def chunks(seq: Column, threshold: float = THRESHOLD, mask: int = MASK) -> Column:
-    """``array<struct<digest, start, len>>`` of a word sequence; start counts from 0."""
-    n = F.size(seq)
-    head = head_length(n, threshold)
-    rolled = lambda i: F.xxhash64(F.get(seq, i - 2), F.get(seq, i - 1))
+def with_chunks(df: DataFrame, seq: str = "seq", threshold: float = THRESHOLD, mask: int = MASK) -> DataFrame:
+    """Adds ``chunks``: ``array<struct<digest, start, len>>`` of a word sequence; start counts from 0."""
+    c = F.col(seq)
+    n, head = F.size(c), head_length(F.size(c), threshold)
+    rolled = lambda i: F.xxhash64(F.get(c, i - 2), F.get(c, i - 1))
     cut = lambda i: (i <= head) | (i == n) | (rolled(i).bitwiseAND(F.lit((1 << mask) - 1)) == 0)
-    ends = F.filter(F.sequence(F.lit(1), n), cut)
-    start = lambda j: F.when(j == 0, 0).otherwise(F.get(ends, j - 1))
-    one = lambda e, j: F.struct(F.xxhash64(F.array_join(F.slice(seq, start(j) + 1, e - start(j)), " ")).alias("digest"), start(j).alias("start"), (e - start(j)).alias("len"))
-    return F.transform(ends, one)
+    # a column of its own, so that the ends aren't found again for every chunk
+    ended = df.withColumn("_ends", F.filter(F.sequence(F.lit(1), n), cut))
+    start = lambda j: F.when(j == 0, 0).otherwise(F.get("_ends", j - 1))
+    one = lambda e, j: F.struct(F.xxhash64(F.array_join(F.slice(c, start(j) + 1, e - start(j)), " ")).alias("digest"), start(j).alias("start"), (e - start(j)).alias("len"))
+    return ended.withColumn("chunks", F.transform("_ends", one)).drop("_ends")
 
 
 def overlaps(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -101,7 +102,7 @@ def overlaps(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     are its shares of either record.
     """
     seqs = rare_first(records.select("class", "words")).join(records.select("class", "in_a", "in_b"), "class")
-    cut = materialize(seqs.withColumn("n", F.size("seq")).withColumn("chunks", chunks(F.col("seq"), threshold)), "chunks")
+    cut = materialize(with_chunks(seqs.withColumn("n", F.size("seq")), "seq", threshold), "chunks")
     heads = cut.withColumn("c", F.explode("chunks")).select("class", "in_a", "in_b", "n", "c.*").filter(F.col("start") < head_length(F.col("n"), threshold))
     side = lambda s: heads.filter(f"in_{s}").select("digest", F.col("class").alias(f"class_{s}"), F.col("n").alias(f"n_{s}"), F.col("start").alias(f"at_{s}"))
     needed = F.ceil((F.col("n_a") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-9)
