@@ -111,14 +111,14 @@ def overlaps(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     met = side("a").join(side("b"), "digest").filter(fits)
     # a first common word so far back that too few can follow shows in the greatest reach
     pairs = met.groupBy("class_a", "class_b").agg(F.max(reach - needed).alias("slack")).filter("slack >= 0").select("class_a", "class_b")
-    with_chunks = pairs.join(cut.select(F.col("class").alias("class_a"), F.col("seq").alias("seq_a"), F.col("chunks").alias("chunks_a")), "class_a")
-    with_chunks = with_chunks.join(cut.select(F.col("class").alias("class_b"), F.col("seq").alias("seq_b"), F.col("chunks").alias("chunks_b")), "class_b")
+    sides = pairs.join(cut.select(F.col("class").alias("class_a"), F.col("seq").alias("seq_a"), F.col("chunks").alias("chunks_a")), "class_a")
+    sides = sides.join(cut.select(F.col("class").alias("class_b"), F.col("seq").alias("seq_b"), F.col("chunks").alias("chunks_b")), "class_b")
     digests = lambda c: F.transform(c, lambda x: x.getField("digest"))
     own = digests(F.col("chunks_b"))
     shared = F.aggregate(F.filter("chunks_a", lambda x: F.array_contains(own, x.getField("digest"))), F.lit(0), lambda a, x: a + x.getField("len"))
     common = F.size(F.array_intersect("seq_a", "seq_b"))
     union = F.size("seq_a") + F.size("seq_b") - common
-    scored = with_chunks.select("class_a", "class_b", shared.alias("shared_len"), (shared / F.size("seq_a")).alias("overlap_a"), (shared / F.size("seq_b")).alias("overlap_b"), common.alias("common"), union.alias("n_union"))
+    scored = sides.select("class_a", "class_b", shared.alias("shared_len"), (shared / F.size("seq_a")).alias("overlap_a"), (shared / F.size("seq_b")).alias("overlap_b"), common.alias("common"), union.alias("n_union"))
     exact = F.col("common") * 1.0 >= F.col("n_union") * threshold - 1e-9
     return scored.filter(exact).select("class_a", "class_b", "shared_len", "overlap_a", "overlap_b", (F.col("common") / F.col("n_union")).alias("jaccard"))
 
