@@ -41,10 +41,15 @@ def test_all_equal_and_empty_and_share(spark):
 
 
 def test_histograms_merge(spark):
-    df = spark.range(100).select((F.col("id") % 3).alias("who"), (F.col("id") / 100).alias("q"))
+    df = spark.range(100).select((F.col("id") % 3).alias("who"), (F.col("id") / 100).alias("__q"))
     whole = caps.histograms(df, ["who"]).collect()
-    parts = caps.histograms(df.filter("q < 0.4"), ["who"]).unionByName(caps.histograms(df.filter("q >= 0.4"), ["who"]))
-    assert {tuple(r) for r in parts.groupBy("who", "bin").agg(F.sum("n")).collect()} == {tuple(r) for r in whole}
+    parts = caps.histograms(df.filter("__q < 0.4"), ["who"]).unionByName(caps.histograms(df.filter("__q >= 0.4"), ["who"]))
+    assert {tuple(r) for r in parts.groupBy("who", "__bin").agg(F.sum("__n")).collect()} == {tuple(r) for r in whole}
+
+
+def test_other_columns_may_have_any_name(spark):
+    df = spark.range(50).select("id", F.lit("x").alias("who"), F.lit(0.5).alias("reward"), *[F.lit(1).alias(c) for c in ("q", "bin", "need", "n", "total", "rk", "cut_bin")])
+    assert caps.over_cap(df, ["who"], "reward", [F.col("id").desc()], "id", cap=8).count() == 42
 
 
 def test_current_rows_take_the_greatest_id_and_drop_repeats(spark):

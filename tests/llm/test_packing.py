@@ -62,3 +62,9 @@ def test_every_item_once_and_only_oversized_ones_split(spark):
     everything = sorted((r["size"] for r in got), reverse=True)
     assert len(fill) <= len(packing.best_fit(everything, 2048)) + 2
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_null_ids_and_ties(spark):
+    df = spark.createDataFrame([(None, 700), (None, 700), (1, 700), (2, 700)], "doc_id long, n_tokens int")
+    got = packing.pack(df).collect()
+    assert sum(r["size"] for r in got) == 2800 and len({r.container for r in got}) == 2

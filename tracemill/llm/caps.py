@@ -20,7 +20,7 @@ Defined cases: null, NaN and -1 qualities are unscored, last and equal among
 themselves; null contributor columns form a contributor of their own; repeated
 rows are removed by :func:`current_rows` first; ties are broken down to the id, so
 the result is unique; an empty table gives an empty result; columns other than the
-named ones are not read.
+named ones are not used, and inner names begin with ``__`` so as not to meet them.
 """
 
 from __future__ import annotations
@@ -54,28 +54,28 @@ def current_rows(df: DataFrame, key: Sequence[str], id_col: str, *kept: str) ->
 
 
 def histograms(df: DataFrame, contributor: Sequence[str], bins: int = BINS) -> DataFrame:
-    """``contributor..., bin, n`` of rows that have a column ``q``."""
-    return df.groupBy(*contributor, quality_bin(F.col("q"), bins).alias("bin")).agg(F.count("*").alias("n"))
+    """``contributor..., __bin, __n`` of rows that have a column ``__q``."""
+    return df.groupBy(*contributor, quality_bin(F.col("__q"), bins).alias("__bin")).agg(F.count("*").alias("__n"))
 
 
 def cutoffs(hist: DataFrame, contributor: Sequence[str], cap: Column) -> DataFrame:
-    """``contributor..., cut_bin, need, total`` of contributors above their cap.
+    """``contributor..., __cut, __need, __total`` of contributors above their cap.
 
     A window over at most ``bins + 1`` rows per contributor.
     """
     w = W.partitionBy(*contributor)
-    down = w.orderBy(F.col("bin").desc()).rowsBetween(W.unboundedPreceding, 0)
-    h = hist.withColumns({"total": F.sum("n").over(w), "upto": F.sum("n").over(down)}).withColumn("cap", cap)
-    met = (F.col("upto") >= F.col("cap")) & (F.col("upto") - F.col("n") < F.col("cap"))
-    return h.filter((F.col("total") > F.col("cap")) & met).select(*contributor, F.col("bin").alias("cut_bin"), (F.col("cap") - F.col("upto") + F.col("n")).alias("need"), "total")
+    down = w.orderBy(F.col("__bin").desc()).rowsBetween(W.unboundedPreceding, 0)
+    h = hist.withColumns({"__total": F.sum("__n").over(w), "__upto": F.sum("__n").over(down)}).withColumn("__cap", cap)
+    met = (F.col("__upto") >= F.col("__cap")) & (F.col("__upto") - F.col("__n") < F.col("__cap"))
+    return h.filter((F.col("__total") > F.col("__cap")) & met).select(*contributor, F.col("__bin").alias("__cut"), (F.col("__cap") - F.col("__upto") + F.col("__n")).alias("__need"), "__total")
 
 
 def _match(df: DataFrame, cut: DataFrame, contributor: Sequence[str]) -> DataFrame:
-    renamed = cut.select(*[F.col(c).alias(f"_{c}") for c in contributor], "cut_bin", "need")
+    renamed = cut.select(*[F.col(c).alias(f"__{c}") for c in contributor], "__cut", "__need")
     on = F.lit(True)
     for c in contributor:
-        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return df.join(renamed, on).drop(*[f"_{c}" for c in contributor])
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(renamed, on).drop(*[f"__{c}" for c in contributor])
 
 
 def over_cap(rows: DataFrame, contributor: Sequence[str], q: str, then: Sequence[Column], id_col: str, cap: int | None = 8, share: float | None = None, bins: int = BINS) -> DataFrame:
@@ -85,21 +85,21 @@ def over_cap(rows: DataFrame, contributor: Sequence[str], q: str, then: Sequence
     cap: the most records of a contributor; share: the most as a share of all rows
     (at least one record); the smaller of those given holds.
     """
-    base = materialize(rows.withColumn("q", scored(F.col(q))), "caps")
+    base = materialize(rows.withColumn("__q", scored(F.col(q))), "caps")
     hist = materialize(histograms(base, contributor, bins), "hist")
-    n_rows = hist.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_rows = hist.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     limits = [x for x in (cap, None if share is None else max(1, int(share * n_rows))) if x is not None]
     if not limits:
         raise ValueError("cap or share must be given")
     most = min(limits)
     cut = cutoffs(hist, contributor, F.lit(most).cast("long"))
-    binned = base.withColumn("bin", quality_bin(F.col("q"), bins))
+    binned = base.withColumn("__bin", quality_bin(F.col("__q"), bins))
     least_hot = max(1, n_rows // HOT)
-    hot = F.broadcast(cut.filter(F.col("total") > least_hot))  # fewer than HOT rows, since each has more than n_rows / HOT
-    cold = cut.filter(F.col("total") <= least_hot)
-    met = _match(binned, hot, contributor).unionByName(_match(binned, cold, contributor)).filter("bin <= cut_bin")
-    below = met.filter("bin < cut_bin").select(id_col)
-    border = met.filter("bin = cut_bin")
-    rank = F.row_number().over(W.partitionBy(*contributor).orderBy(F.col("q").desc_nulls_last(), *then))
-    kept = border.withColumn("rk", rank).filter(F.col("rk") <= most).filter("rk <= need").select(id_col)
+    hot = F.broadcast(cut.filter(F.col("__total") > least_hot))  # fewer than HOT rows, since each has more than n_rows / HOT
+    cold = cut.filter(F.col("__total") <= least_hot)
+    met = _match(binned, hot, contributor).unionByName(_match(binned, cold, contributor)).filter("__bin <= __cut")
+    below = met.filter("__bin < __cut").select(id_col)
+    border = met.filter("__bin = __cut")
+    rank = F.row_number().over(W.partitionBy(*contributor).orderBy(F.col("__q").desc_nulls_last(), *then))
+    kept = border.withColumn("__rk", rank).filter(F.col("__rk") <= most).filter("__rk <= __need").select(id_col)
     return below.unionByName(border.select(id_col).join(kept, id_col, "left_anti"))
