@@ -60,9 +60,9 @@ CORE.query(
 
 def _chunk_files(s, d):
     """Writes the windows as files, reads them back, and counts them per trajectory."""
-    folder = f"{shared_dir(s)}/chunks-{abs(hash(d)) % 10**8}"
+    folder = _folder(s, "chunks")
     windows = materialize(tr.sliding(_messages(s, d), "msgs", 3, 2, 5).select("trajectory_id", "chunk_index", "window"), "windows")
-    # one folder per trajectory is the reference layout; a single table is what many trajectories need
+    # one table instead of a folder per trajectory, of which there may be many
     windows.select("trajectory_id", "chunk_index", F.to_json("window").alias("messages")).write.mode("overwrite").json(folder)
     back = s.read.schema("trajectory_id string, chunk_index int, messages string").json(folder)
     return back.filter("messages is not null").groupBy("trajectory_id").agg(F.count("*").cast("int").alias("num_chunks"))
