@@ -28,7 +28,7 @@ def test_pieces_stay_under_the_limit_and_rejoin():
         words = ["".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 900))]
         text = "".join(w + rng.choice([" ", " ", ". ", "\n", "\n\n", ""]) for w in words)
         cut = sorted({rng.randint(0, len(text)) for _ in range(5)} | {len(text)})
-        ends = segment.plan_cuts(text, cut, {}, limit=500, overlap=40)
+        ends = segment.plan_cuts(text, cut, segment.Slots(), limit=500, overlap=40)
         assert ends == sorted(set(ends)) and ends[-1] == len(text)
         starts = [0, *[e - 40 for e in ends[:-1]]]
         assert all(0 < e - s <= 500 for s, e in zip(starts, ends))
@@ -39,15 +39,15 @@ def test_cut_falls_into_the_valley_between_topics():
     text = (TOPIC["cat"] + " ") * 6 + (TOPIC["tax"] + " ") * 6
     seam = len((TOPIC["cat"] + " ") * 6)
     limit = seam + 120
-    ends = segment.plan_cuts(text, [len(text)], {}, limit=limit, overlap=20)
+    ends = segment.plan_cuts(text, [len(text)], segment.Slots(), limit=limit, overlap=20)
     assert ends[0] == seam
 
 
 def test_word_end_then_hard_cut():
-    assert segment.plan_cuts("ab " * 400, [1200], {}, limit=100, overlap=10)[0] % 3 == 0
-    ends = segment.plan_cuts("x" * 1000, [1000], {}, limit=100, overlap=10)
+    assert segment.plan_cuts("ab " * 400, [1200], segment.Slots(), limit=100, overlap=10)[0] % 3 == 0
+    ends = segment.plan_cuts("x" * 1000, [1000], segment.Slots(), limit=100, overlap=10)
     assert ends[0] == 100 and ends[-1] == 1000
-    marks = segment.plan_cuts("é" * 500, [1000], {}, limit=101, overlap=10)
+    marks = segment.plan_cuts("é" * 500, [1000], segment.Slots(), limit=101, overlap=10)
     assert all(e % 2 == 0 for e in marks)
 
 

@@ -55,6 +55,8 @@ MESSAGES = T.StructType(
 )
 
 _UNIT = re.compile(r"[.!?…]+[\"'”»)\]]*\s+|[。！？।]+[」』”]*\s*|\n+")
+#: one of these begins every unit end; a single set is found fast
+_MARK = re.compile(r"[.!?…。！？।\n]+")
 _WORD = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_]+")
 _SPACE = re.compile(r"\s+")
 
@@ -66,24 +68,24 @@ def message_texts(messages: Column) -> Column:
     return F.transform(messages, one)
 
 
-def term_slots(words: list[str], memo: dict) -> list[int]:
-    if len(memo) > 200_000:
-        memo.clear()
-    out = []
-    for w in words:
-        s = memo.get(w)
-        if s is None:
-            s = memo[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % DIMS
-        out.append(s)
-    return out
+class Slots(dict):
+    """Counter of each term, by hash."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        n = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % DIMS
+        return n
 
 
 def boundaries(text: str, message_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Sentence-level boundaries and their strength: 3 message, 2 paragraph, 1 line, 0 sentence."""
     found: dict[int, int] = {}
-    for m in _UNIT.finditer(text):
-        gap = m.group()
-        found[m.end()] = 2 if gap.count("\n") > 1 else 1 if "\n" in gap else 0
+    for mark in _MARK.finditer(text):
+        m = _UNIT.match(text, mark.start())
+        if m:
+            gap = m.group()
+            found[m.end()] = 2 if gap.count("\n") > 1 else 1 if "\n" in gap else 0
     for e in message_ends:
         found[e] = 3
     found.pop(0, None)
@@ -92,18 +94,23 @@ def boundaries(text: str, message_ends: list[int]) -> tuple[np.ndarray, np.ndarr
     return at, np.array([found[int(p)] for p in at], dtype=np.int64)
 
 
-def valley_depths(text: str, at: np.ndarray, memo: dict) -> np.ndarray:
+def valley_depths(text: str, at: np.ndarray, memo: Slots) -> np.ndarray:
     """Depth of the cohesion valley at each boundary."""
     n = len(at) + 1
     if n == 1:
         return np.zeros(0)
-    words, starts = [], []
-    for m in _WORD.finditer(text.lower() if len(text.lower()) == len(text) else text):
-        words.append(m.group())
-        starts.append(m.start())
-    unit = np.searchsorted(at, np.array(starts, dtype=np.int64), side="right")
-    slots = np.array(term_slots(words, memo), dtype=np.int64)
-    counts = np.bincount(unit * DIMS + slots, minlength=n * DIMS).reshape(n, DIMS).astype(np.float32)
+    low = text.lower()
+    low = low if len(low) == len(text) else text
+    slots: list[int] = []
+    sizes = []
+    start = 0
+    for end in (*at.tolist(), len(text)):
+        words = _WORD.findall(low, start, end)
+        slots += map(memo.__getitem__, words)
+        sizes.append(len(words))
+        start = end
+    unit = np.repeat(np.arange(n, dtype=np.int64), sizes)
+    counts = np.bincount(unit * DIMS + np.array(slots, dtype=np.int64), minlength=n * DIMS).reshape(n, DIMS).astype(np.float32)
     upto = np.vstack([np.zeros((1, DIMS), np.float32), np.cumsum(counts, axis=0)])
     gap = np.arange(1, n)
     left = upto[gap] - upto[np.maximum(gap - BLOCK, 0)]
@@ -138,7 +145,7 @@ def _hard_end(text: str, low: int, high: int) -> int:
     return e if e > max(low + 1, high - 64) else high
 
 
-def plan_cuts(text: str, message_ends: list[int], memo: dict, limit: int = LIMIT, overlap: int = OVERLAP, fill: float = FILL) -> list[int]:
+def plan_cuts(text: str, message_ends: list[int], memo: Slots, limit: int = LIMIT, overlap: int = OVERLAP, fill: float = FILL) -> list[int]:
     """Ends of the pieces; piece k starts ``overlap`` before the end of piece k-1."""
     n = len(text)
     if n <= limit:
@@ -162,7 +169,7 @@ def plan_cuts(text: str, message_ends: list[int], memo: dict, limit: int = LIMIT
 
 
 def _plan(parts: pd.Series) -> pd.Series:
-    memo: dict = {}
+    memo = Slots()
     out = []
     for p in parts:
         texts = [x or "" for x in p] if p is not None else []
