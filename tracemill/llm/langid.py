@@ -26,6 +26,7 @@ code of two or three letters or English name.
 
 from __future__ import annotations
 
+import functools
 import re
 import sys
 import unicodedata
@@ -100,6 +101,7 @@ def clean(text: str) -> str:
     return unicodedata.normalize("NFC", " ".join(_WORD.findall(text)).lower())
 
 
+@functools.lru_cache(maxsize=100_000)
 def is_sentence(cleaned: str) -> bool:
     if len(_DENSE.findall(cleaned)) >= SIGNS:
         return True
