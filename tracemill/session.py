@@ -72,6 +72,17 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where df comes in fewer partitions, as from one small file; else df as it is.
+
+    For work that costs far more than moving a row. Large tables have enough partitions
+    and aren't shuffled.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(want) if 0 < have < want else df
+
+
 def ship_by_value(*modules) -> None:
     """Lets Python workers run functions of these modules without importing them.
 
