@@ -15,7 +15,7 @@ minimum-rank pair, left to right, which leads to the same tokens.
 
 The vocabulary (fixed size) is read once, on the driver, from a path that is a
 parameter, and broadcast. Work is linear in the text, plus once per distinct word
-and task; no shuffle.
+and task; texts are shuffled only where the table comes in fewer partitions than cores.
 
 Defined cases: null and empty texts give an empty list; blank texts are encoded as
 they are; strings of special tokens are ordinary text; lone surrogates are encoded
@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from tracemill.session import env_path, ship_by_value
+from tracemill.session import env_path, ship_by_value, spread
 
 TOKENIZERS = env_path("TRACEMILL_TOKENIZERS", "/opt/tokenizers")
 #: the pre-tokenizer's pattern, a fixed value of the vocabulary
@@ -246,13 +246,13 @@ ship_by_value(sys.modules[__name__])
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = TOKENIZERS) -> DataFrame:
     """``(id_col, ids ARRAY<INT>)`` of every row."""
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(_mapper(df.sparkSession, path, "ids"), f"`{id_col}` {kind}, ids array<int>")
+    return spread(df.select(id_col, text_col)).mapInArrow(_mapper(df.sparkSession, path, "ids"), f"`{id_col}` {kind}, ids array<int>")
 
 
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = TOKENIZERS) -> DataFrame:
     """``(id_col, n_tokens INT)`` of every row."""
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(_mapper(df.sparkSession, path, "n_tokens"), f"`{id_col}` {kind}, n_tokens int")
+    return spread(df.select(id_col, text_col)).mapInArrow(_mapper(df.sparkSession, path, "n_tokens"), f"`{id_col}` {kind}, n_tokens int")
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str = TOKENIZERS) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tracemill.session import ship_by_value
+from tracemill.session import ship_by_value, spread
 
 DIM, SAMPLE, ROUNDS, WORDS, SIGNS, LETTERS = 8192, 300, 2, 3, 5, 8
 TEMPERATURE, MARGIN, KEPT = 25.0, 0.15, 200_000
@@ -340,7 +340,7 @@ _SEGMENT = "array<struct<start:int,end:int,lang:string,confidence:double>>"
 
 def identify(df: DataFrame, prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """``(id_col, more..., segments)`` of every row, in one pass without a shuffle."""
-    src = df.select(text_col, id_col, *more)
+    src = spread(df.select(text_col, id_col, *more))
     schema = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in (id_col, *more)) + f", segments {_SEGMENT}"
     shared = df.sparkSession.sparkContext.broadcast(prototypes.astype(np.float32))
 

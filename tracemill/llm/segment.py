@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracemill.session import ship_by_value
+from tracemill.session import ship_by_value, spread
 
 LIMIT, OVERLAP, FILL, BLOCK, DIMS = 6000, 200, 0.5, 4, 256
 
@@ -183,7 +183,7 @@ _plan_udf = F.pandas_udf(_plan, T.ArrayType(T.IntegerType()))
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """Rows of trajectory_messages as (run_id, trajectory_id, saved_at, parts, n_chars)."""
-    df = spark.read.schema(MESSAGES).parquet(path)
+    df = spread(spark.read.schema(MESSAGES).parquet(path))
     parts = df.select("run_id", "trajectory_id", "saved_at", F.coalesce(message_texts(F.col("messages")), F.expr("array()").cast("array<string>")).alias("parts"))
     return parts.withColumn("n_chars", F.aggregate("parts", F.lit(0), lambda a, x: a + F.length(x)))
 
