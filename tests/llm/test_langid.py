@@ -34,6 +34,13 @@ def test_seeds_alone_tell_the_languages():
             assert [x[2] for x in langid.label_segments(p, t)] == [lang], t
 
 
+def test_numbers_in_unspaced_sentences():
+    p = langid.Profiles(langid.train_prototypes([], []))
+    for lang, t in [("ja", "まだ179行が残っています。"), ("zh", "这里还有179行没有处理完。"), ("ja", "次にrow_12を開いて保存しました。"), ("zh", "我们把v2版本的文件保存到了这里。")]:
+        assert [x[:3] for x in langid.label_segments(p, t)] == [(0, len(t), lang)], t
+    assert langid.segments("まだ179行が残っています。")[0][2] == "まだ 行が残っています" and langid.segments("次にrow_12を開いて保存しました。")[0][2] == "次に を開いて保存しました"
+
+
 def test_held_out_accuracy_and_wrong_labels(spark):
     d = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{d}/documents.parquet")

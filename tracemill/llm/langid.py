@@ -77,9 +77,11 @@ CODES = list(LANGUAGES)
 
 _FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _QUOTED = re.compile(r"“[^”\n]{0,80}”|„[^“”\n]{0,80}[“”]|«[^»\n]{0,80}»|「[^」\n]{0,80}」|『[^』\n]{0,80}』|\"[^\"\n]{0,80}\"|`[^`\n]{0,80}`")
+# letters of scripts without spaces: an identifier or number ends at them, as no blank parts it from the sentence
+_KANA_HAN = r"\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _NOISE = re.compile(
     r"<\|[^|>\n]{0,40}\|>|<[^<>\n]{1,80}>|https?://\S+|www\.\S+|\S*[\\/]\S*[\\/]\S*|\S+@\S+|\b\w+\([^()\n]*\)"
-    r"|[\w\-]+\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()|[^\W\d_]*[\d_]\w*|\b[A-Za-z]+[a-z][A-Z]\w*"
+    r"|[\w\-]+\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()|[^\W\d_%s]*[\d_][^\W%s]*|\b[A-Za-z]+[a-z][A-Z]\w*" % (_KANA_HAN, _KANA_HAN)
 )
 _END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+|(?<=[。！？।])|[\r\n\x0b\x0c\x85  ]+|(?<=\s)[|•·](?=\s)|(?<=[;:])\s{2,}")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
