@@ -207,10 +207,15 @@ def absolute_accuracy(score: Column, acc: Column) -> Column:
     return F.avg((F.signum(score) == F.signum(acc * 2 - 1)).cast("int"))
 
 
-def imbalance(df: DataFrame, part: str, length: str) -> DataFrame:
-    """min, max, max - min and mean of the parts' summed lengths."""
-    s = df.groupBy(part).agg(F.sum(length).alias("s"))
-    return s.agg(F.min("s").alias("min"), F.max("s").alias("max"), (F.max("s") - F.min("s")).alias("minmax_diff"), F.avg("s").alias("mean"))
+def imbalance(df: DataFrame, part: str, length: str, batch: str | None = None, k: int | None = None) -> DataFrame:
+    """min, max, max - min and mean of the parts' summed lengths, of each batch if one is named.
+
+    Of k parts, those without a row sum to 0.
+    """
+    by = [batch] if batch else []
+    s = df.groupBy(*by, part).agg(F.sum(length).alias("s"))
+    low, mean = (F.min("s"), F.avg("s")) if k is None else (F.when(F.count("*") < k, F.least(F.min("s"), F.lit(0))).otherwise(F.min("s")), F.sum("s") / k)
+    return s.groupBy(*by).agg(low.alias("min"), F.max("s").alias("max"), (F.max("s") - low).alias("minmax_diff"), mean.alias("mean"))
 
 
 def category_rates(df: DataFrame, categories: dict[str, str], domain: str = "domain", reward: str = "reward") -> DataFrame:

@@ -137,7 +137,7 @@ CORE.query("balanced_partition_sizes", f"WITH {_LEN}, n AS (SELECT batch, floor(
 )
 CORE.query("balanced_partitions")(lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8))
 CORE.query("greedy_partitions")(lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8, method="greedy"))
-CORE.query("balance_imbalance")(lambda s, d: metrics.imbalance(balance.partition(_whole(s, d), "batch", "row", "length", 8).filter("batch = 3"), "part", "length"))
+CORE.query("balance_imbalance")(lambda s, d: metrics.imbalance(balance.partition(_whole(s, d), "batch", "row", "length", 8), "part", "length", "batch", 8))
 CORE.query("micro_batch_counts", f"WITH {_LEN} SELECT batch, CAST(ceil(sum(length) / 3000.0) AS BIGINT) AS n_parts, count(*) AS n_rows FROM l GROUP BY batch")(
     lambda s, d: balance.micro_batches(_lengths(s, d), "batch", "row", "length", 3000).groupBy("batch").agg(F.countDistinct("part").alias("n_parts"), F.count("*").alias("n_rows"))
 )
