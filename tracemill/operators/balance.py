@@ -97,6 +97,19 @@ def balanced(lengths: Sequence[int], k: int, equal_size: bool = True, method: st
     return [sorted(p) for p in parts]
 
 
+def padded(lengths: Sequence[int], k: int, method: str = "karmarkar_karp") -> list[list[int]]:
+    """Parts of sizes that differ by one at most, of any number of items from 1 on; a part is empty where items are fewer than k.
+
+    Pads of length 0 fill up to a multiple of k. Differencing takes the least items first,
+    ties by place, so pads stand before the items there and no part gets two; greedy takes
+    items in order, so pads stand after them and change nothing for them.
+    """
+    n_pads = -len(lengths) % k
+    before = n_pads if method == "karmarkar_karp" else 0
+    items = [0] * before + list(lengths) + [0] * (n_pads - before)
+    return [[i - before for i in p if before <= i < before + len(lengths)] for p in balanced(items, k, True, method)]
+
+
 def n_micro_batches(lengths: Sequence[int], budget: int, least: int | None = None, multiple: int | None = None) -> int:
     """ceil(total / budget), at most one per item, at least ``least``, rounded up to a multiple."""
     if max(lengths) > budget:
@@ -120,6 +133,8 @@ ship_by_value(sys.modules[__name__])
 def partition(df: DataFrame, batch: str, row: str, length: str, k: int, equal_size: bool = True, method: str = "karmarkar_karp", most: int = 1_000_000) -> DataFrame:
     """``batch, row, length, part, place``: each batch's rows in k parts; place is the row's new position in the batch.
 
+    With equal_size a batch is padded to a multiple of k by items of length 0, which are
+    taken out again: every row comes out once, and parts differ by one row at most.
     A batch of more than ``most`` rows raises, as it is one task's work.
     """
     kind = df.schema[batch].dataType.simpleString()
@@ -128,7 +143,7 @@ def partition(df: DataFrame, batch: str, row: str, length: str, k: int, equal_si
         if len(pdf) > most:
             raise ValueError(f"batch of more than {most} rows")
         pdf = pdf.sort_values("row").reset_index(drop=True)
-        parts = balanced(pdf["length"].tolist(), k, equal_size, method)
+        parts = padded(pdf["length"].tolist(), k, method) if equal_size else balanced(pdf["length"].tolist(), k, equal_size, method)
         part, place, at = [0] * len(pdf), [0] * len(pdf), 0
         for p, members in enumerate(parts):
             for i in members:

@@ -123,7 +123,7 @@ def _lengths(s, d):
 
 
 def _whole(s, d):
-    """Batches of a multiple of 8 rows: the rows past the last multiple, by hash order, go."""
+    """Batches of a multiple of 8 rows: the rows past the last multiple, by hash order, go, as the SQL of balanced_partition_sizes has it."""
     from pyspark.sql import Window as W
 
     w = W.partitionBy("batch")
@@ -135,9 +135,9 @@ _LEN = "l AS (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS batch, CAST(l_qu
 CORE.query("balanced_partition_sizes", f"WITH {_LEN}, n AS (SELECT batch, floor(count(*) / 8) AS n FROM l GROUP BY batch) SELECT batch, CAST(p.i AS INTEGER) AS part, CAST(n AS BIGINT) AS n_rows FROM n, range(8) p(i)")(
     lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8).groupBy("batch", "part").agg(F.count("*").alias("n_rows"))
 )
-CORE.query("balanced_partitions")(lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8))
-CORE.query("greedy_partitions")(lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8, method="greedy"))
-CORE.query("balance_imbalance")(lambda s, d: metrics.imbalance(balance.partition(_whole(s, d), "batch", "row", "length", 8), "part", "length", "batch", 8))
+CORE.query("balanced_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8))
+CORE.query("greedy_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8, method="greedy"))
+CORE.query("balance_imbalance")(lambda s, d: metrics.imbalance(balance.partition(_lengths(s, d), "batch", "row", "length", 8), "part", "length", "batch", 8))
 CORE.query("micro_batch_counts", f"WITH {_LEN} SELECT batch, CAST(ceil(sum(length) / 3000.0) AS BIGINT) AS n_parts, count(*) AS n_rows FROM l GROUP BY batch")(
     lambda s, d: balance.micro_batches(_lengths(s, d), "batch", "row", "length", 3000).groupBy("batch").agg(F.countDistinct("part").alias("n_parts"), F.count("*").alias("n_rows"))
 )
