@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -60,6 +60,10 @@ def throughput(total_tokens: Column, seconds: Column, n_gpus: int) -> Column:
     return total_tokens / (seconds * n_gpus)
 
 
+#: Places of a draw block, and of draws that are kept for other lists of the same length.
+BLOCK, KEPT_PLACES = 1_000_000, 200_000
+
+
 @functools.lru_cache(maxsize=256)
 def draw_places(n: int, size: int, draws: int, seed: int) -> np.ndarray:
     """Places of each draw with replacement, by the legacy generator; the same for all lists of n values."""
@@ -67,19 +71,45 @@ def draw_places(n: int, size: int, draws: int, seed: int) -> np.ndarray:
     return np.stack([rng.choice(n, size, replace=True) for _ in range(draws)])
 
 
+def place_blocks(n: int, size: int, draws: int, seed: int) -> Iterator[np.ndarray]:
+    """The rows of :func:`draw_places`, about BLOCK places at a time, so that memory grows with n alone."""
+    if size * draws <= KEPT_PLACES:
+        yield draw_places(n, size, draws, seed)
+        return
+    rng, step = np.random.RandomState(seed), max(BLOCK // size, 1)
+    for a in range(0, draws, step):
+        yield np.stack([rng.choice(n, size, replace=True) for _ in range(min(step, draws - a))])
+
+
 def bootstrap(values: Sequence, size: int, reducers: Sequence[Callable], draws: int = 1000, seed: int = 42) -> list[tuple[float, float]]:
     """(mean, population std) of each reducer over draws with replacement."""
     if not len(values):
         raise ValueError("no values to draw from")
-    places = draw_places(len(values), size, draws, seed)
-    out = []
-    for f in reducers:
-        if f in (max, min):
-            reduced = (np.max if f is max else np.min)(np.asarray(values)[places], axis=1)
-        else:
-            reduced = [f([values[i] for i in row]) for row in places]
-        out.append((float(np.mean(reduced)), float(np.std(reduced))))
-    return out
+    reduced: list[list] = [[] for _ in reducers]
+    for places in place_blocks(len(values), size, draws, seed):
+        for f, out in zip(reducers, reduced):
+            if f in (max, min):
+                out.extend((np.max if f is max else np.min)(np.asarray(values)[places], axis=1))
+            else:
+                out.extend(f([values[i] for i in row]) for row in places)
+    return [(float(np.mean(out)), float(np.std(out))) for out in reduced]
+
+
+def bootstrap_majority(votes: Sequence, values: Sequence[float], size: int, draws: int = 1000, seed: int = 42) -> tuple[float, float]:
+    """What :func:`bootstrap` gives for :func:`majority`, by counting the votes of many draws at once."""
+    codes, names = pd.factorize(np.asarray(votes, dtype=object))
+    of, n_votes, out = np.asarray(values, dtype=np.float64), len(names), []
+    for block in place_blocks(len(of), size, draws, seed):
+        step = max(BLOCK // (n_votes + size), 1)
+        for a in range(0, len(block), step):
+            places = block[a : a + step]
+            row = np.arange(len(places))[:, None]
+            drawn = codes[places]
+            counts = np.bincount((row * n_votes + drawn).ravel(), minlength=len(places) * n_votes).reshape(-1, n_votes)
+            # the first place whose vote is as frequent as any
+            first = (counts[row, drawn] == counts.max(axis=1)[:, None]).argmax(axis=1)
+            out.extend(of[places[row[:, 0], first]])
+    return float(np.mean(out)), float(np.std(out))
 
 
 def majority(pairs: Sequence[tuple[object, float]]) -> float:
@@ -117,22 +147,20 @@ def prompt_metrics(values: Sequence[float], votes: Sequence | None = None, draws
             (bm, bs), (wm, ws) = bootstrap(values, k, [max, min], draws, seed)
             out |= {f"best@{k}/mean": bm, f"best@{k}/std": bs, f"worst@{k}/mean": wm, f"worst@{k}/std": ws}
             if votes is not None:
-                [(mm, ms)] = bootstrap(list(zip(votes, values)), k, [majority], draws, seed)
+                mm, ms = bootstrap_majority(votes, values, k, draws, seed)
                 out |= {f"maj@{k}/mean": mm, f"maj@{k}/std": ms}
     return out
 
 
-def validation(df: DataFrame, draws: int = 1000, seed: int = 42, max_samples: int = 4096) -> DataFrame:
+def validation(df: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
     """``source, var, metric, value``: the mean over prompts of each prompt's metrics.
 
     df: source, prompt, var, value (double), vote (string or null), order. A prompt's
-    samples are one group; more than max_samples of one prompt raise, as the draws run
-    in one task.
+    samples, of any number, are one group and one task's work: about 2 x draws places are
+    drawn a sample, a block at a time.
     """
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > max_samples:
-            raise ValueError(f"prompt with more than {max_samples} samples")
         pdf = pdf.sort_values("order")
         votes = pdf["vote"].tolist() if pdf["vote"].notna().all() else None
         m = prompt_metrics(pdf["value"].tolist(), votes, draws, seed)

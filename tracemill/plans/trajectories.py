@@ -348,12 +348,10 @@ CORE.query("validation_metrics")(lambda s, d: _validation(s, d))
 
 
 def _validation(s, d):
-    """Runs of 8 rows of a task stand for the samples of one prompt."""
-    from tracemill.operators.batch import number_rows
-
-    rows = number_rows(catalog(s, d).filter("reward is not null").select("task_id", "reward", "id"), "task_id", "id")
-    var = F.col("reward")
-    return metrics.validation(rows.select(F.lit("catalog").alias("source"), F.floor(F.col("_row") / 8).cast("string").alias("prompt"), F.lit("acc").alias("var"), var.alias("value"), var.cast("string").alias("vote"), F.col("_row").alias("order")), draws=100)
+    """The rollouts of a task in a run are the samples of one prompt."""
+    rows = catalog(s, d).filter("reward is not null")
+    prompt = F.to_json(F.struct("run_id", "task_id"))
+    return metrics.validation(rows.select(F.lit("catalog").alias("source"), prompt.alias("prompt"), F.lit("acc").alias("var"), F.col("reward").alias("value"), F.col("reward").cast("string").alias("vote"), F.col("id").alias("order")))
 
 
 @CORE.query("supervised_nested_read", "SELECT 'p' || o_orderkey AS prompt, 'c' || o_orderkey AS response FROM orders")
