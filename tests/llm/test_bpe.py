@@ -1,3 +1,6 @@
+import random
+import string
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,10 +34,23 @@ def test_equals_the_public_encoder_and_round_trips(spark, expected):
     assert bpe.encode(df.limit(0)).count() == 0 and bpe.encode(df.union(df)).count() == 2 * len(TEXTS)
 
 
-def test_long_words_take_the_same_tokens_on_both_ways():
-    e = bpe.Encoder(bpe.vocabulary())
-    for w in (b"aaaaaaaaaaaaaaaaaaaaaaa", b"abababababcabcabcabc", b"tokenization" * 9, bytes(range(200))):
-        assert e.contract([w])[0] == e.contract_long(w)
+def test_windows_join_to_the_tokens_of_whole_words():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(f"{bpe.TOKENIZERS}/byte_bpe_50k.json")
+    draw = random.Random(5)
+    words = []
+    for letters in ("=", "ab", "abc", "─", "\u3000", "ACGT", "xX", "あい", "=-", string.ascii_letters):
+        for n in (2, 49, 97, 700):
+            words += ["".join(draw.choice(letters) for _ in range(n)), "q" + (letters * n)[:n]]
+    words += ["=" * 1_000_000, "".join(draw.choice(string.ascii_letters) for _ in range(1_000_000))]
+    assert bpe.Encoder(bpe.vocabulary()).encode(words) == [x.ids for x in t.encode_batch(words, add_special_tokens=False)]
+
+
+def test_neighbours_without_a_common_token_are_told():
+    size = {1: 1, 2: 2}
+    assert bpe.joined([(0, (1, 2, 1)), (1, (2, 1, 1))], size) == [1, 2, 1, 1]
+    assert bpe.joined([(0, (2, 2)), (1, (2, 2))], size) is None
 
 
 def test_small_memory_gives_the_same(monkeypatch, expected):

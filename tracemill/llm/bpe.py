@@ -7,15 +7,18 @@ word's leftmost pair of minimum rank, by a join with the merge table, until no w
 has a mergeable pair; an ordered aggregation yields the ids. :func:`decode` goes back
 by an ordered aggregation of the tokens' bytes.
 
-Two things bound memory without changing a result. Words are first cut where no
-token of the vocabulary holds both neighbouring bytes, as no merge can cross there.
-Words of more than ``LONG`` bytes even then are not kept step by step: the same
-contraction runs statement by statement, merging in a step all places of the word's
-minimum-rank pair, left to right, which leads to the same tokens.
+Two things make the rows of that query linear in the text without changing a result.
+Words are first cut where no token of the vocabulary holds both neighbouring bytes, as
+no merge can cross there. What is left is covered by windows of ``2 * STEP`` bytes, each
+beginning ``STEP`` after the one before (a short word is one window), and equal windows
+are contracted once. Two neighbours that agree on one whole token in their common half
+are joined at it: a row of tokens is the encoding of its text if each two neighbours in
+it are that of theirs, and these stand together in a window. Where two windows agree on
+none, the word is covered anew by windows twice as long, at last by itself alone.
 
 The vocabulary (fixed size) is read once, on the driver, from a path that is a
-parameter, and broadcast. Work is linear in the text, plus once per distinct word
-and task; texts are shuffled only where the table comes in fewer partitions than cores.
+parameter, and broadcast. Work is linear in the text, plus once per distinct window
+and worker: a worker keeps its words from task to task, at most ``KEPT`` letters of them.
 
 Defined cases: null and empty texts give an empty list; blank texts are encoded as
 they are; strings of special tokens are ordinary text; lone surrogates are encoded
@@ -26,7 +29,10 @@ from __future__ import annotations
 
 import json
 import sys
+import types
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +43,8 @@ from tracemill.session import env_path, ship_by_value, spread
 TOKENIZERS = env_path("TRACEMILL_TOKENIZERS", "/opt/tokenizers")
 #: the pre-tokenizer's pattern, a fixed value of the vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LONG, BATCH, KEPT = 600, 2_000_000, 300_000
+#: first distance of windows in bytes; work of one query, as the sum of squared lengths; letters of the words that a worker keeps
+STEP, BATCH, KEPT = 24, 4_000_000, 8_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,6 +61,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         ids: dict[str, int] = model["vocab"]
+        self.mark = uuid.uuid4().hex
         letters = byte_letters()
         back = {c: b for b, c in letters.items()}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -71,137 +79,173 @@ class Vocabulary:
                     self.joined[a, b] = True
 
 
-_STEP = """
-SELECT {keep} w, pos, tok, nxt, coalesce(rank, 2147483647)::BIGINT AS rank, merged,
-       min(coalesce(rank, 2147483647)::BIGINT) OVER (PARTITION BY w) AS least
-FROM (SELECT {keep} w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM {src}) LEFT JOIN merges ON l = tok AND r = nxt
-"""
-
-_RECURSIVE = (
-    """
+_RECURSIVE = """
 WITH RECURSIVE state AS (
-  SELECT 0 AS step, w, pos, tok FROM bytes
+  SELECT w, pos, tok, false AS done FROM bytes
   UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN pos = place THEN merged ELSE tok END
-  FROM (SELECT *, lag(pos) OVER (PARTITION BY w ORDER BY pos) AS before
-        FROM (SELECT *, min(CASE WHEN rank = least THEN pos END) OVER (PARTITION BY w) AS place FROM ("""
-    + _STEP.format(keep="step,", src="state")
-    + """) WHERE least < 2147483647))
-  WHERE before IS NULL OR before <> place
+  (WITH pairs AS MATERIALIZED (
+     SELECT s.w, s.pos, s.tok, s.after, m.rank::BIGINT * 2147483648 + s.pos AS place, m.merged
+     FROM (SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt, lead(pos) OVER (PARTITION BY w ORDER BY pos) AS after FROM state WHERE NOT done) s
+     LEFT JOIN merges m ON m.l = s.tok AND m.r = s.nxt),
+   least AS (SELECT w, min(place) AS place, arg_min(after, place) AS gone FROM pairs GROUP BY w)
+   SELECT p.w, p.pos, CASE WHEN p.place = b.place THEN p.merged ELSE p.tok END AS tok, b.place IS NULL AS done
+   FROM pairs p JOIN least b ON p.w = b.w
+   WHERE b.gone IS NULL OR p.pos <> b.gone)
 )
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM (SELECT w, pos, tok, step, max(step) OVER (PARTITION BY w) AS last FROM state)
-WHERE step = last GROUP BY w ORDER BY w
+SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w
 """
-)
 
-_ALL_PLACES = (
+
+def joined(windows: list[tuple[int, tuple[int, ...]]], size: dict[int, int]) -> list[int] | None:
+    """Ids of the word that the windows (start, ids) cover, or None where two neighbours have no token in common.
+
+    size gives the bytes of each id.
     """
-CREATE OR REPLACE TEMP TABLE next AS
-SELECT w, pos, CASE WHEN taken THEN merged ELSE tok END AS tok
-FROM (SELECT *, coalesce(lag(taken) OVER (PARTITION BY w ORDER BY pos), false) AS gone
-      FROM (SELECT *, hit AND (row_number() OVER (PARTITION BY w, hit, island ORDER BY pos)) % 2 = 1 AS taken
-            FROM (SELECT *, i - row_number() OVER (PARTITION BY w, hit ORDER BY pos) AS island
-                  FROM (SELECT *, rank = least AND least < 2147483647 AS hit, row_number() OVER (PARTITION BY w ORDER BY pos) AS i FROM ("""
-    + _STEP.format(keep="", src="now")
-    + """)))))
-WHERE NOT gone
-"""
-)
+    out: list[int] = []
+    cut = windows[0][0]
+    for k, (start, ids) in enumerate(windows):
+        nxt = windows[k + 1] if k + 1 < len(windows) else None
+        theirs = {}
+        if nxt is not None:
+            at = nxt[0]
+            for i in nxt[1]:
+                theirs[at] = i
+                at += size[i]
+        at, found = start, nxt is None
+        for i in ids:
+            if at >= cut:
+                if theirs.get(at) == i:
+                    cut, found = at, True
+                    break
+                out.append(i)
+            at += size[i]
+        if not found:
+            return None
+    return out
 
 
 class Encoder:
-    """Encodes texts in one process. Words met are kept, up to KEPT of them."""
+    """Encodes texts in one process. Words met are kept, up to KEPT letters of them."""
 
     def __init__(self, vocabulary: Vocabulary):
         import duckdb
         import regex
 
         self.v = vocabulary
+        self.size = {i: len(raw) for i, raw in vocabulary.tokens.items()}
         self.find = regex.compile(PATTERN).findall
         self.kept: dict[str, tuple[int, ...]] = {}
+        self.count: dict[str, int] = {}
+        self.letters = 0
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = pd.DataFrame({"l": vocabulary.left, "r": vocabulary.right, "rank": np.arange(len(vocabulary.left), dtype=np.int32), "merged": vocabulary.merged})
         self.db.register("m", merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM m")
         self.db.unregister("m")
 
-    def parts(self, word: str) -> list[bytes]:
-        """The word's bytes, cut where no merge can cross."""
-        raw = word.encode("utf-8", "replace") if word.isascii() else word.encode("utf-16", "surrogatepass").decode("utf-16", "replace").encode()
-        if len(raw) < 3:
-            return [raw]
-        b = np.frombuffer(raw, dtype=np.uint8)
-        cut = np.flatnonzero(~self.v.joined[b[:-1], b[1:]]) + 1
-        if not len(cut):
-            return [raw]
-        at = [0, *cut.tolist(), len(raw)]
-        return [raw[x:y] for x, y in zip(at, at[1:])]
-
-    def _load(self, parts: list[bytes]) -> None:
+    def parts(self, words: list[str]) -> list[list[bytes]]:
+        """Each word's bytes, cut where no merge can cross."""
+        raws = [w.encode() if w.isascii() else w.encode("utf-16", "surrogatepass").decode("utf-16", "replace").encode() for w in words]
+        every = b"".join(raws)
+        b = np.frombuffer(every, dtype=np.uint8)
+        ends = np.cumsum([len(r) for r in raws])
+        cut = np.ones(len(b), dtype=bool)  # whether a part ends after the byte
+        cut[:-1] = ~self.v.joined[b[:-1], b[1:]]
+        cut[ends - 1] = True
+        at = np.flatnonzero(cut) + 1
+        n = np.diff(np.searchsorted(at, ends, side="right"), prepend=0)
+        whole = at.tolist()
+        cuts = [every[x:y] for x, y in zip([0, *whole], whole)]
+        out, k = [], 0
+        for m in n.tolist():
+            out.append(cuts[k : k + m])
+            k += m
+        return out
+
+    def contract(self, parts: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of parts of at least one byte, by one recursive query."""
         sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        joined = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        every = np.frombuffer(b"".join(parts), dtype=np.uint8)
         starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows = pd.DataFrame({"w": np.repeat(np.arange(len(parts), dtype=np.int32), sizes), "pos": (np.arange(len(joined)) - starts).astype(np.int32), "tok": self.v.byte_ids[joined]})
+        rows = pd.DataFrame({"w": np.repeat(np.arange(len(parts), dtype=np.int32), sizes), "pos": (np.arange(len(every)) - starts).astype(np.int32), "tok": self.v.byte_ids[every]})
         self.db.register("rows_", rows)
         self.db.execute("CREATE OR REPLACE TEMP TABLE bytes AS SELECT * FROM rows_")
         self.db.unregister("rows_")
+        return [tuple(ids) for _, ids in self.db.execute(_RECURSIVE).fetchall()]
 
-    def contract(self, parts: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of parts of at most LONG bytes each, by one recursive query."""
-        self._load(parts)
-        found = self.db.execute(_RECURSIVE).fetchall()
-        return [tuple(ids) for _, ids in found]
-
-    def contract_long(self, part: bytes) -> tuple[int, ...]:
-        self._load([part])
-        self.db.execute("CREATE OR REPLACE TEMP TABLE now AS SELECT * FROM bytes")
-        n = len(part)
-        while True:
-            self.db.execute(_ALL_PLACES)
-            left = self.db.execute("SELECT count(*) FROM next").fetchone()[0]
-            self.db.execute("CREATE OR REPLACE TEMP TABLE now AS SELECT * FROM next")
-            if left == n:
-                return tuple(x[0] for x in self.db.execute("SELECT tok FROM now ORDER BY pos").fetchall())
-            n = left
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes words that aren't kept yet, in batches of bounded work."""
-        cut = {w: self.parts(w) for w in words}
-        new = list(dict.fromkeys(p for ps in cut.values() for p in ps))
+    def contract_all(self, windows: list[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """The same in queries of bounded work, short windows first, as a query takes as many steps as its longest one."""
         done: dict[bytes, tuple[int, ...]] = {}
         batch, cost = [], 0
-        for p in new:
+        for p in sorted(windows, key=len):
             if len(p) == 1:
                 done[p] = (int(self.v.byte_ids[p[0]]),)
-            elif len(p) > LONG:
-                done[p] = self.contract_long(p)
-            else:
-                batch.append(p)
-                cost += len(p) ** 2
-                if cost > BATCH:
-                    done.update(zip(batch, self.contract(batch)))
-                    batch, cost = [], 0
+                continue
+            batch.append(p)
+            cost += len(p) ** 2
+            if cost > BATCH:
+                done.update(zip(batch, self.contract(batch)))
+                batch, cost = [], 0
         if batch:
             done.update(zip(batch, self.contract(batch)))
+        return done
+
+    def encode_parts(self, parts: list[bytes], step: int = STEP) -> dict[bytes, tuple[int, ...]]:
+        """Ids of each part, from windows that are made longer until all neighbours agree."""
+        done: dict[bytes, tuple[int, ...]] = {}
+        todo = list(dict.fromkeys(parts))
+        while todo:
+            starts = {p: range(0, max(len(p) - step, 1), step) for p in todo}
+            found = self.contract_all(list({p[a : a + 2 * step] for p in todo for a in starts[p]}))
+            left = []
+            for p in todo:
+                if len(starts[p]) == 1:
+                    done[p] = found[p]
+                    continue
+                ids = joined([(a, found[p[a : a + 2 * step]]) for a in starts[p]], self.size)
+                if ids is None:
+                    left.append(p)
+                else:
+                    done[p] = tuple(ids)
+            todo, step = left, 2 * step
+        return done
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes words that aren't kept yet."""
+        cut = dict(zip(words, self.parts(words)))
+        done = self.encode_parts([p for ps in cut.values() for p in ps])
         for w, ps in cut.items():
             self.kept[w] = done[ps[0]] if len(ps) == 1 else tuple(i for p in ps for i in done[p])
+            self.count[w] = len(self.kept[w])
+            self.letters += len(w)
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def words(self, texts: list[str | None]) -> list[list[str]]:
+        """The words of each text, all of them kept."""
         found = [self.find(t) if t else [] for t in texts]
-        if len(self.kept) > KEPT:
+        if self.letters > KEPT:
             self.kept.clear()
-        new = {w for ws in found for w in ws if w not in self.kept}
+            self.count.clear()
+            self.letters = 0
+        new = set(chain.from_iterable(found)).difference(self.kept)
         if new:
             self.learn(list(new))
-        kept = self.kept
-        out = []
-        for ws in found:
-            ids: list[int] = []
-            for w in ws:
-                ids += kept[w]
-            out.append(ids)
-        return out
+        return found
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        get = self.kept.__getitem__
+        return [list(chain.from_iterable(map(get, ws))) for ws in self.words(texts)]
+
+    def sizes(self, texts: list[str | None]) -> list[int]:
+        get = self.count.__getitem__
+        return [sum(map(get, ws)) for ws in self.words(texts)]
+
+
+def warm_encoder(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this process, which outlives a task: made at the first call for a vocabulary."""
+    held = sys.modules.setdefault("tracemill_warm", types.ModuleType("tracemill_warm"))
+    if getattr(held, "bpe", (None,))[0] != vocabulary.mark:
+        held.bpe = (vocabulary.mark, Encoder(vocabulary))
+    return held.bpe[1]
 
 
 def _slices(texts: list, most: int = 2_000_000) -> Iterator[list]:
@@ -228,12 +272,11 @@ def _mapper(spark: SparkSession, path: str, what: str):
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(shared.value)
+        encoder = warm_encoder(shared.value)
         for batch in batches:
             at = 0
             for texts in _slices(batch.column(1).to_pylist()):
-                ids = encoder.encode(texts)
-                out = pa.array(ids, pa.list_(pa.int32())) if what == "ids" else pa.array([len(x) for x in ids], pa.int32())
+                out = pa.array(encoder.encode(texts), pa.list_(pa.int32())) if what == "ids" else pa.array(encoder.sizes(texts), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), out], [batch.schema.names[0], what])
                 at += len(texts)
 
