@@ -53,6 +53,43 @@ def test_held_out_accuracy_and_wrong_labels(spark):
     assert agree > 0.75
 
 
+HELD_OUT = {
+    "en": ["I could not find the menu entry, so I searched for it.", "Please check whether the printer is connected.", "The report was sent yesterday evening.", "Nobody had closed the browser before lunch.", "We then compare both columns and remove the empty cells.", "Scroll down until the last picture appears."],
+    "de": ["Ich konnte den Menüeintrag nicht finden und habe danach gesucht.", "Bitte prüfen Sie, ob der Drucker angeschlossen ist.", "Der Bericht wurde gestern Abend verschickt.", "Niemand hatte vor dem Mittagessen den Browser geschlossen.", "Dann vergleichen wir beide Spalten und entfernen die leeren Zellen.", "Blättere nach unten, bis das letzte Bild erscheint."],
+    "nl": ["Ik kon het menu-item niet vinden, dus heb ik ernaar gezocht.", "Controleer of de printer is aangesloten.", "Het verslag is gisteravond verstuurd.", "Niemand had voor de lunch de browser gesloten.", "Daarna vergelijken we beide kolommen en verwijderen we de lege cellen.", "Blader naar beneden tot de laatste afbeelding verschijnt."],
+    "fr": ["Je n'ai pas trouvé l'entrée du menu, alors je l'ai cherchée.", "Veuillez vérifier si l'imprimante est branchée.", "Le rapport a été envoyé hier soir.", "Personne n'avait fermé le navigateur avant le déjeuner.", "Nous comparons ensuite les deux colonnes et supprimons les cellules vides.", "Faites défiler jusqu'à ce que la dernière image apparaisse."],
+    "es": ["No pude encontrar la opción del menú, así que la busqué.", "Compruebe si la impresora está conectada.", "El informe se envió ayer por la tarde.", "Nadie había cerrado el navegador antes del almuerzo.", "Después comparamos las dos columnas y eliminamos las celdas vacías.", "Desplázate hacia abajo hasta que aparezca la última imagen."],
+    "pt": ["Não consegui encontrar a opção do menu, então procurei por ela.", "Verifique se a impressora está ligada.", "O relatório foi enviado ontem à noite.", "Ninguém tinha fechado o navegador antes do almoço.", "Depois comparamos as duas colunas e removemos as células vazias.", "Role para baixo até que a última imagem apareça."],
+    "it": ["Non sono riuscito a trovare la voce del menu, quindi l'ho cercata.", "Controlla se la stampante è collegata.", "Il rapporto è stato inviato ieri sera.", "Nessuno aveva chiuso il browser prima di pranzo.", "Poi confrontiamo le due colonne e togliamo le celle vuote.", "Scorri verso il basso finché non appare l'ultima immagine."],
+}
+
+
+def test_held_out_sentences_of_the_latin_scripts(spark):
+    protos = langid.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    p = langid.Profiles(protos)
+    got = [(lang, p.classify([langid.clean(t)])[0][0]) for lang, texts in HELD_OUT.items() for t in texts]
+    right = sum(langid.CODES[k] == lang for lang, k in got)
+    assert right >= 0.95 * len(got)
+
+
+def test_training_reads_whole_texts():
+    one, other = "Qaxi bevu dolmi fane.", "Zutto gimbe rasla poke."
+    long = " ".join(f"{one[:-1]} {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}x." for k in range(5000)) + f" {other}"
+    assert len(langid.segments(long)) == 5001
+    whole, short = (langid.train_prototypes([t], ["nl"], rounds=0) for t in (long, long.removesuffix(other)))
+    assert (whole[langid.CODES.index("nl")] != short[langid.CODES.index("nl")]).any()  # the last sentence counts as well
+
+
+def test_run_numbers_start_anew_without_a_change(monkeypatch):
+    protos = langid.train_prototypes([], [])
+    texts = [t for ts in SENTENCES.values() for t in ts]
+    want = langid.label_texts(langid.Profiles(protos), texts)
+    monkeypatch.setattr(langid.Slots, "full", lambda self: True)
+    monkeypatch.setattr(langid, "KEPT", 1)
+    p = langid.Profiles(protos)
+    assert [langid.label_texts(p, [t])[0] for t in texts] == want
+
+
 def test_mixed_nulls_and_clashing_columns(spark):
     rows = [(1, SENTENCES["en"][0] + " " + SENTENCES["ru"][0] + "\n> " + SENTENCES["zh"][0], "en"), (2, None, "en"), (3, "   ", None), (4, SENTENCES["de"][0] * 3000, "de")]
     df = spark.createDataFrame(rows, "doc_id long, text string, segments string")

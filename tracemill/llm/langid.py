@@ -26,7 +26,6 @@ code of two or three letters or English name.
 
 from __future__ import annotations
 
-import functools
 import re
 import sys
 import unicodedata
@@ -41,7 +40,7 @@ from pyspark.sql import Window as W
 from tracemill.session import ship_by_value, spread
 
 DIM, SAMPLE, ROUNDS, WORDS, SIGNS, LETTERS = 8192, 300, 2, 3, 5, 8
-TEMPERATURE, MARGIN, KEPT = 25.0, 0.15, 200_000
+TEMPERATURE, KEPT = 25.0, 16_000_000
 
 # The languages, other codes and names, frequent function words.
 LANGUAGES = {
@@ -79,11 +78,20 @@ _FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _QUOTED = re.compile(r"“[^”\n]{0,80}”|„[^“”\n]{0,80}[“”]|«[^»\n]{0,80}»|「[^」\n]{0,80}」|『[^』\n]{0,80}』|\"[^\"\n]{0,80}\"|`[^`\n]{0,80}`")
 # letters of scripts without spaces: an identifier or number ends at them, as no blank parts it from the sentence
 _KANA_HAN = r"\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
-_NOISE = re.compile(
-    r"<\|[^|>\n]{0,40}\|>|<[^<>\n]{1,80}>|https?://\S+|www\.\S+|\S*[\\/]\S*[\\/]\S*|\S+@\S+|\b\w+\([^()\n]*\)"
-    r"|[\w\-]+\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()|[^\W\d_%s]*[\d_][^\W%s]*|\b[A-Za-z]+[a-z][A-Z]\w*" % (_KANA_HAN, _KANA_HAN)
-)
-_END = re.compile(r"(?<=[.!?…])[\"'”»)\]]*\s+|(?<=[。！？।])|[\r\n\x0b\x0c\x85  ]+|(?<=\s)[|•·](?=\s)|(?<=[;:])\s{2,}")
+# what is no sentence, in the order in which it is taken out; each begins at the start of a run of its letters,
+# so that a run is read once; the first column is a sign that a text must hold
+_NOISE = [
+    ("<", re.compile(r"<\|[^|>\n]{0,40}\|>|<[^<>\n]{1,80}>")),  # tags, special tokens
+    ("(", re.compile(r"\b\w+\([^()\n]*\)")),  # calls
+    ("/", re.compile(r"(?<!\S)[^\s\\/]*+[\\/][^\s\\/]*+[\\/]\S*")),  # paths and addresses
+    ("\\", re.compile(r"(?<!\S)[^\s\\/]*+[\\/][^\s\\/]*+[\\/]\S*")),
+    ("www.", re.compile(r"www\.\S+")),
+    ("@", re.compile(r"(?<!\S)\S[^\s@]*+@\S+")),
+    (".", re.compile(r"(?<![\w\-])[\w\-]++\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()")),  # file names
+    ("", re.compile(r"(?<![^\W\d_%s])[^\W\d_%s]*+[\d_][^\W%s]*" % (_KANA_HAN, _KANA_HAN, _KANA_HAN))),  # identifiers and numbers
+    ("", re.compile(r"\b[A-Za-z]+[a-z][A-Z]\w*")),  # names in camel case
+]
+_END = re.compile("[.!?\u2026][\"'\u201d\u00bb)\\]]*\\s+|[\u3002\uff01\uff1f\u0964]|[\r\n\x0b\x0c\x85\u2028\u2029]+|(?<=\\s)[|\u2022\u00b7](?=\\s)|[;:]\\s{2,}")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _DENSE = re.compile(r"[぀-ヿ㐀-鿿]")
 
@@ -103,26 +111,53 @@ def clean(text: str) -> str:
     return unicodedata.normalize("NFC", " ".join(_WORD.findall(text)).lower())
 
 
-@functools.lru_cache(maxsize=100_000)
 def is_sentence(cleaned: str) -> bool:
-    if len(_DENSE.findall(cleaned)) >= SIGNS:
+    if not cleaned.isascii() and len(_DENSE.findall(cleaned)) >= SIGNS:
         return True
     words = cleaned.split()
-    return len(words) >= WORDS and sum(len(set(w)) > 2 for w in words) >= 2 and sum(map(len, words)) >= LETTERS
+    if len(words) < WORDS or len(cleaned) - len(words) + 1 < LETTERS:
+        return False
+    varied = 0
+    for w in words:
+        if len(w) > 2 and len(set(w)) > 2:
+            varied += 1
+            if varied == 2:
+                return True
+    return False
 
 
-def segments(text: str) -> list[tuple[int, int, str]]:
+class Sentences(dict):
+    """What :func:`clean` makes of a stretch of text, or an empty string where it is no sentence; at most KEPT letters."""
+
+    letters = 0
+
+    def __missing__(self, stretch: str) -> str:
+        self.letters += len(stretch)
+        if self.letters > KEPT:
+            self.clear()
+            self.letters = len(stretch)
+        c = clean(stretch)
+        c = self[stretch] = c if is_sentence(c) else ""
+        return c
+
+
+def _blank(m: re.Match) -> str:
+    return " " * (m.end() - m.start())
+
+
+def segments(text: str, memo: Sentences | None = None) -> list[tuple[int, int, str]]:
     """``(start, end, cleaned)`` of each sentence of text."""
-    blank = lambda m: " " * len(m.group())
-    t = _FENCE.sub(blank, text)
-    t = _QUOTED.sub(lambda m: m.group() if len(m.group().split()) > 5 else blank(m), t)
-    t = _NOISE.sub(blank, t)
+    memo = Sentences() if memo is None else memo
+    t = _FENCE.sub(_blank, text) if "```" in text else text
+    t = _QUOTED.sub(lambda m: m.group() if len(m.group().split()) > 5 else _blank(m), t)
+    for sign, noise in _NOISE:
+        if sign in t:
+            t = noise.sub(_blank, t)
     out, start = [], 0
-    cuts = [*[m.end() for m in _END.finditer(t)], len(t)]
-    for e in cuts:
+    for e in [*[m.end() for m in _END.finditer(t)], len(t)]:
         if e > start:
-            c = clean(t[start:e])
-            if is_sentence(c):
+            c = memo[t[start:e]]
+            if c:
                 out.append((start, e, c))
         start = e
     return out
@@ -132,66 +167,122 @@ class Vectors:
     """Letters' and runs' vectors of one process."""
 
     def __init__(self) -> None:
-        self.letters: dict[tuple[str, int], np.ndarray] = {}
+        self.letters: dict[tuple[int, int], np.ndarray] = {}
 
-    def letter(self, c: str, place: int) -> np.ndarray:
-        """The letter's signs, rotated by its place in the run."""
+    def letter(self, c: int, place: int) -> np.ndarray:
+        """The letter's signs, rotated by its place in the run; ones where the run has no letter."""
         v = self.letters.get((c, place))
         if v is None:
             if len(self.letters) > 4000:
                 self.letters.clear()
-            v = (np.random.Generator(np.random.Philox(key=ord(c))).integers(0, 2, DIM, dtype=np.int8) * 2 - 1).astype(np.int8)
-            v = self.letters[(c, place)] = np.roll(v, place)
+            if c:
+                v = np.roll((np.random.Generator(np.random.Philox(key=c)).integers(0, 2, DIM, dtype=np.int8) * 2 - 1).astype(np.int8), place)
+            else:
+                v = np.ones(DIM, dtype=np.int8)
+            self.letters[(c, place)] = v
         return v
 
-    def run(self, g: str) -> np.ndarray:
-        v = self.letter(g[-1], 0)
-        for place, c in enumerate(g[-2::-1], 1):
-            v = v * self.letter(c, place)
-        return v
-
-    def blocks(self, names: list[str], size: int = 512):
-        """(first, vectors as rows) of the runs, a block at a time."""
+    def blocks(self, names: np.ndarray, size: int = 512):
+        """(first, vectors as rows) of the runs, rows of four letters' code points each, a block at a time."""
         for a in range(0, len(names), size):
-            yield a, np.stack([self.run(g) for g in names[a : a + size]]).astype(np.float32)
-
+            part = names[a : a + size].tolist()
+            v = np.stack([self.letter(g[-1], 0) for g in part])
+            for place in (1, 2, 3):
+                rows = [k for k, g in enumerate(part) if g[-1 - place]]
+                if rows:
+                    v[rows] *= np.stack([self.letter(part[k][-1 - place], place) for k in rows])
+            yield a, v.astype(np.float32)
 
-def runs(cleaned: str) -> list[str]:
-    """The runs of 2 to 4 letters of a cleaned sentence, which may begin or end with a word's end, and its dense signs."""
-    s = f" {cleaned} "
-    n = len(s)
-    out = [s[i : i + k] for k in (2, 3, 4) for i in range(n - k + 1)]
-    return out + _DENSE.findall(s)
 
+class Slots:
+    """Numbers of runs, given out in order of first use.
 
-class Slots(dict):
-    """Numbers of runs, given out in order of first use."""
+    A run is four letters of 16 bits in one number, zeros before a shorter one; letters
+    get their 16 bits in order of first use.
+    """
 
-    def __missing__(self, run: str) -> int:
-        n = self[run] = len(self)
-        return n
+    def __init__(self) -> None:
+        self.number = np.zeros(0x110000, dtype=np.uint16)  # of each letter
+        self.letters = np.zeros(0x10000, dtype=np.int64)  # code point of each number
+        self.n_letters = 1
+        self.keys = np.zeros(0, dtype=np.uint64)  # sorted
+        self.slot = np.zeros(0, dtype=np.int64)  # of each key
+        self.names = np.zeros((0, 4), dtype=np.int64)  # code points of each slot's run
+
+    def full(self) -> bool:
+        """Whether a new start is due, as it is before the letters' numbers run out."""
+        return len(self.keys) > 300_000 or self.n_letters > 0x8000
+
+    def numbered(self, codes: np.ndarray) -> np.ndarray:
+        fresh = np.unique(codes[(self.number[codes] == 0) & (codes != 0)])
+        if self.n_letters + len(fresh) > 0xFFFF:
+            raise ValueError("more than 65,535 different letters in one batch")
+        self.number[fresh] = np.arange(self.n_letters, self.n_letters + len(fresh))
+        self.letters[self.n_letters : self.n_letters + len(fresh)] = fresh
+        self.n_letters += len(fresh)
+        return self.number[codes].astype(np.uint64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of runs."""
+        codes, uniques = pd.factorize(keys)
+        at = np.searchsorted(self.keys, uniques)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == uniques[known]
+        fresh = uniques[~known]
+        if len(fresh):
+            shifts = np.array([48, 32, 16, 0], dtype=np.uint64)
+            self.names = np.vstack([self.names, self.letters[((fresh[:, None] >> shifts) & np.uint64(0xFFFF)).astype(np.int64)]])
+            keys_, slots = np.concatenate([self.keys, fresh]), np.concatenate([self.slot, np.arange(len(self.slot), len(self.slot) + len(fresh))])
+            order = np.argsort(keys_, kind="stable")
+            self.keys, self.slot = keys_[order], slots[order]
+        return self.slot[np.searchsorted(self.keys, uniques)][codes]
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+
+def runs(sentences: list[str], slot: Slots) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, slot)`` of each run of 2 to 4 letters of the cleaned sentences and of each dense sign.
+
+    A run may begin or end with the blank at a word's end.
+    """
+    sizes = np.array([len(c) + 3 for c in sentences], dtype=np.int64)
+    # a sentence and the blanks around it, then a zero that no run crosses
+    codes = np.frombuffer("".join(f" {c} \0" for c in sentences).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(sentences)), sizes)
+    c = slot.numbered(codes)
+    rows, keys = [], []
+    inside = c != 0
+    key, ok = c, inside
+    for k in (1, 2, 3):
+        key = (key[:-1] << np.uint64(16)) | c[k:]
+        ok = ok[:-1] & inside[k:]
+        rows.append(row[: len(ok)][ok])
+        keys.append(key[ok])
+    dense = ((codes >= 0x3040) & (codes <= 0x30FF)) | ((codes >= 0x3400) & (codes <= 0x9FFF))
+    rows.append(row[dense])
+    keys.append(c[dense])
+    return np.concatenate(rows), slot.of(np.concatenate(keys))
 
 
 class Counted:
     """Sentences as rows of run counts: entries (row, run, count) sorted by row."""
 
     def __init__(self, sentences: list[str], slot: Slots):
-        ids, sizes = [], []
-        for c in sentences:
-            r = runs(c)
-            ids += map(slot.__getitem__, r)
-            sizes.append(len(r))
+        row, ids = runs(sentences, slot)
         width = max(len(slot), 1)
-        key = np.repeat(np.arange(len(sentences), dtype=np.int64), sizes) * width + np.array(ids, dtype=np.int64)
-        key, self.n = np.unique(key, return_counts=True)
+        key, self.n = np.unique(row * width + ids, return_counts=True)
         self.row, self.run = key // width, key % width
         self.rows = len(sentences)
         self.norm = np.sqrt(np.bincount(self.row, weights=self.n.astype(np.float64) ** 2, minlength=self.rows))
 
     def cosines(self, dots: np.ndarray) -> np.ndarray:
         """Cosine of each row with each prototype, from the runs' dot products with the prototypes."""
-        cols = [np.bincount(self.row, weights=self.n * dots[self.run, k], minlength=self.rows) for k in range(dots.shape[1])]
-        return np.stack(cols, axis=1) / np.maximum(self.norm * np.sqrt(DIM), 1e-9)[:, None]
+        out = np.zeros((self.rows, dots.shape[1]))
+        if len(self.row):
+            starts = np.flatnonzero(np.diff(self.row, prepend=-1))
+            out[self.row[starts]] = np.add.reduceat(dots[self.run].astype(np.float64) * self.n[:, None], starts, axis=0)
+        return out / np.maximum(self.norm * np.sqrt(DIM), 1e-9)[:, None]
 
     def totals(self, share: np.ndarray, width: int) -> np.ndarray:
         """Run counts per language, where share[row, language] says how often a row counts for it."""
@@ -218,31 +309,32 @@ class Profiles:
         self.unit = centred(prototypes)
         self.slot = Slots()
         self.dots = np.zeros((0, len(self.unit)), dtype=np.float32)
-        self.seen: dict[str, tuple[int, float, float]] = {}
+        self.seen: dict[str, tuple[int, float]] = {}
+        self.letters = 0
+        self.memo = Sentences()
 
     def _learn(self) -> None:
-        names = list(self.slot)[len(self.dots) :]
-        if names:
+        names = self.slot.names[len(self.dots) :]
+        if len(names):
             self.dots = np.vstack([self.dots, *[v @ self.unit.T for _, v in self.vectors.blocks(names)]])
 
-    def classify(self, cleaned: list[str]) -> list[tuple[int, float, float]]:
-        """``(language, confidence, margin)`` of each; margin is that of the two best cosines over the best."""
-        if len(self.seen) > KEPT:
+    def classify(self, cleaned: list[str]) -> list[tuple[int, float]]:
+        """``(language, confidence)`` of each."""
+        if self.letters > KEPT:
             self.seen.clear()
-        if len(self.slot) > 300_000:
-            self.slot.clear()
+            self.letters = 0
+        if self.slot.full():
+            self.slot = Slots()
             self.dots = self.dots[:0]
         new = [c for c in dict.fromkeys(cleaned) if c not in self.seen]
+        self.letters += sum(map(len, new))
         for a in range(0, len(new), 2000):
             part = new[a : a + 2000]
             counted = Counted(part, self.slot)
             self._learn()
             cos = counted.cosines(self.dots)
             e = np.exp(TEMPERATURE * (cos - cos.max(axis=1, keepdims=True)))
-            top = np.sort(cos, axis=1)
-            margin = (top[:, -1] - top[:, -2]) / np.maximum(top[:, -1], 1e-9)
-            for c, k, p, m in zip(part, cos.argmax(axis=1).tolist(), (e.max(axis=1) / e.sum(axis=1)).tolist(), margin.tolist()):
-                self.seen[c] = (k, p, m)
+            self.seen.update(zip(part, zip(cos.argmax(axis=1).tolist(), (e.max(axis=1) / e.sum(axis=1)).tolist())))
         return [self.seen[c] for c in cleaned]
 
 
@@ -254,14 +346,15 @@ def train_prototypes(texts: list[str], labels: list[str | None], rounds: int = R
     """
     code = {c: i for i, c in enumerate(CODES)}
     votes: dict[str, np.ndarray] = {}
+    memo = Sentences()
     for t, l in zip(texts, labels):
         if t and l in code:
-            for _, _, c in segments(t)[:200]:
+            for _, _, c in segments(t, memo):
                 votes.setdefault(c, np.zeros(len(CODES)))[code[l]] += 1
     slot = Slots()
     seeds, vectors = Counted([SEEDS[c] for c in CODES], slot), Vectors()
     known = Counted(list(votes), slot)
-    names = list(slot)
+    names = slot.names
     share = np.array(list(votes.values())).reshape(-1, len(CODES))
     often = share.sum(axis=1)
     fixed = seeds.totals(np.eye(len(CODES)), len(names))
@@ -304,19 +397,10 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
 
 
 def label_texts(profiles: Profiles, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
-    """``(start, end, lang, confidence)`` of each sentence of each text; an unsure one gets its text's main language."""
-    found = [segments(t) if t else [] for t in texts]
+    """``(start, end, lang, confidence)`` of each sentence of each text, each by its own words alone."""
+    found = [segments(t, profiles.memo) if t else [] for t in texts]
     scored = iter(profiles.classify([c for f in found for _, _, c in f]))
-    out = []
-    for f in found:
-        own = [next(scored) for _ in f]
-        weight = [0.0] * len(CODES)
-        for (_, _, c), (k, _, m) in zip(f, own):
-            if m >= MARGIN:
-                weight[k] += len(c)
-        main = max(range(len(CODES)), key=weight.__getitem__) if any(weight) else None
-        out.append([(a, e, CODES[k if m >= MARGIN or main is None else main], conf) for (a, e, _), (k, conf, m) in zip(f, own)])
-    return out
+    return [[(a, e, CODES[k], conf) for (a, e, _), (k, conf) in zip(f, scored)] for f in found]
 
 
 def label_segments(profiles: Profiles, text: str | None) -> list[tuple[int, int, str, float]]:
