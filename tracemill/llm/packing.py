@@ -4,29 +4,37 @@ Items larger than the capacity are split into full containers and a rest; all ot
 items stay whole. Items are dealt by hash into groups of about ``GROUP`` containers'
 worth of tokens, and each group is packed by branch and bound:
 
-* the incumbent is the best-fit decreasing packing;
+* the incumbent is the best-fit decreasing packing, and the search ends as soon as the
+  incumbent meets the lower bound (the items' sum and the waste that they force);
 * a container is opened for the largest item left, and its undominated fillings are
-  enumerated, those with the least waste first (a filling is dominated if another
-  one's items could hold its items);
-* the waste so far plus the waste that a filling forces must stay below that of the
-  incumbent, else the branch is cut; when the lower bound ``ceil(total/capacity)``
-  is met, the search ends.
+  enumerated, those with the least waste first, then those of larger items (a filling is
+  dominated if another one's items could hold its items). The sums that the items left
+  can make are kept as bits, so the enumeration meets no dead end;
+* the waste so far plus the waste that the items left force (large items whose room the
+  small ones can't fill) must allow a packing with a container less than the
+  incumbent's, else the branch is cut.
 
-The search of a group is bounded by ``NODES`` opened containers and ``TRIES``
-fillings each; when they are used up, the incumbent stands, so a result is always
-complete. Containers left with more than ``SLACK`` of room are emptied and their items
-dealt anew into larger rounds, as only these waste room.
+Bin packing is NP-hard, so the search of a group is bounded: ``NODES`` opened containers
+and ``TRIES`` fillings of each. A group that uses them up keeps its incumbent, which is
+complete; :func:`searched` counts such groups and what the bound leaves open.
 
-Only (id, part, size) is shuffled; a group's rows are bounded by its token count.
+The container of each group that is left over is emptied with all others that have more
+than ``SLACK`` of room, and their items are dealt anew into fewer groups, as only these
+waste room. Rounds go on until there is one group, or until a round has more than half
+as many loose containers as the one before, where the items' sizes leave the room and
+dealing again can't help.
+
+Only (id, size, part) is shuffled; a group's rows are bounded by its token count.
 
 Defined cases: null and zero sizes are in no container; items of exactly the
 capacity fill one; equal sizes and repeated ids are separate items, told apart by
-part (repeated ids by a further number); an empty table gives no containers.
+size, part and copy; an empty table gives no containers.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
 import sys
 
 import pandas as pd
@@ -35,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tracemill.session import materialize, ship_by_value
 
-CAPACITY, GROUP, NODES, TRIES, SLACK = 2048, 256, 4000, 12, 0.02
+CAPACITY, GROUP, NODES, TRIES, SLACK = 2048, 256, 2000, 8, 0.02
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -68,84 +76,125 @@ def holds(big: tuple[int, ...], small: tuple[int, ...]) -> bool:
     return True
 
 
-def fillings(distinct: list[int], count: dict[int, int], room: int, allowed: int, tries: int) -> list[tuple[int, ...]]:
-    """Undominated sets of sizes with a sum in [room - allowed, room], least waste first.
+def forced_waste(sizes: list[int], capacity: int) -> int:
+    """Room that any packing of sizes (descending) must leave in its containers.
 
-    distinct is ascending. The search goes from large to small sizes and stops at
-    ``tries`` candidates.
+    From the largest item on, the room beside an item can only be filled by smaller items
+    that fit there; what they can't fill is lost.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    budget = [tries * 40]
+    waste, carried, low = 0, 0, len(sizes)
+    high = 0
+    while high < low:
+        room = capacity - sizes[high]
+        while low > high + 1 and sizes[low - 1] <= room:
+            low -= 1
+            carried += sizes[low]
+        if carried < room:
+            waste += room - carried
+            carried = 0
+        else:
+            carried -= room
+        high += 1
+    return waste
+
+
+def least_containers(sizes: list[int], capacity: int) -> int:
+    """Lower bound on the containers of sizes (descending)."""
+    return -(-(sum(sizes) + forced_waste(sizes, capacity)) // capacity)
 
-    def go(left: int, top: int, taken: tuple[int, ...]) -> None:
-        budget[0] -= 1
-        if budget[0] < 0 or len(found) >= tries:
-            return
-        k = bisect.bisect_right(distinct, min(left, top)) - 1
-        extended = False
-        while k >= 0 and budget[0] >= 0 and len(found) < tries:
-            s = distinct[k]
-            if count[s] > taken.count(s):
-                extended = True
-                go(left - s, s, (*taken, s))
-            k -= 1
-            if left == 0:
-                return
-        if not extended and left <= allowed:
-            found.append((left, taken))
 
-    go(room, room, ())
-    found.sort()
+def fillings(items: list[int], room: int, allowed: int, tries: int) -> tuple[list[tuple[int, ...]], bool]:
+    """Undominated fillings of room by items (ascending, each at most room) that waste at most ``allowed``.
+
+    Least waste first, then larger items first. The flag tells whether ``tries`` left some out.
+    """
+    mask = (1 << (room + 1)) - 1
+    upto = [1]  # bit s of upto[i]: items[:i] has a subset with the sum s
+    for s in items:
+        upto.append((upto[-1] | upto[-1] << s) & mask)
     out: list[tuple[int, ...]] = []
-    for _, f in found:
-        if f not in out and not any(len(g) <= len(f) and holds(g, f) for g in out):
-            out.append(f)
-    return out
+    left_out = False
 
+    def sets(i: int, rest: int, taken: tuple[int, ...]):
+        """Subsets of items[:i] with the sum rest, larger items first."""
+        if rest == 0:
+            yield taken
+            return
+        last = None
+        for j in range(bisect.bisect_right(items, rest, 0, i) - 1, -1, -1):
+            s = items[j]
+            if s != last and upto[j] >> (rest - s) & 1:
+                yield from sets(j, rest - s, (*taken, s))
+            last = s
+            if not upto[j] >> rest & 1:  # smaller items alone can't make it
+                return
 
-def complete(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, tries: int = TRIES) -> list[list[int]]:
-    """Packs sizes (descending, each in 1..capacity) and returns containers of places in ``sizes``."""
+    floor = max(room - allowed, 0)
+    sums = upto[-1] >> floor
+    while sums:
+        total = sums.bit_length() - 1 + floor
+        sums ^= 1 << (total - floor)
+        met = 0
+        for f in sets(len(items), total, ()):
+            met += 1
+            if met > tries or len(out) >= tries:
+                left_out = True
+                break
+            waste = room - total
+            unused = next((s for s in items if items.count(s) > f.count(s)), None) if waste else None
+            if unused is not None and unused <= waste:
+                continue  # not full: a filling with that item dominates it
+            if not any(len(g) <= len(f) and holds(g, f) for g in out):
+                out.append(f)
+        if len(out) >= tries:
+            return out, left_out or bool(sums)
+    return out, left_out
+
+
+def complete(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, tries: int = TRIES) -> tuple[list[list[int]], dict[str, int]]:
+    """Packs sizes (descending, each in 1..capacity).
+
+    Gives the containers as lists of places in ``sizes`` and what the search did: the
+    containers of best fit, the lower bound, opened containers, and whether the result is
+    proven to be the fewest (it meets the bound, or nothing was left out).
+    """
     best = best_fit(sizes, capacity)
-    total = sum(sizes)
-    bound = -(-total // capacity)
+    bound = least_containers(sizes, capacity)
+    did = {"best_fit": len(best), "bound": bound, "opened": 0, "proven": 1}
     if len(best) <= bound:
-        return best
-    count: dict[int, int] = {}
-    for s in sizes:
-        count[s] = count.get(s, 0) + 1
-    distinct = sorted(count)
-    spent, used = 0, 0  # opened containers; waste on the path
+        return best, did
+    total = sum(sizes)
     most = (len(best) - 1) * capacity - total  # waste of a packing with one container less than the incumbent
+    items = sizes[::-1]  # ascending, those left
+    used, all_tried = 0, True
     path: list[tuple[int, ...]] = []
     found: list[tuple[int, ...]] | None = None
     stack: list[list[tuple[int, ...]]] = []
 
-    def take(f: tuple[int, ...], sign: int) -> None:
+    def take(f: tuple[int, ...]) -> None:
         for s in f:
-            c = count.get(s, 0) - sign
-            if c:
-                if s not in count:
-                    bisect.insort(distinct, s)
-                count[s] = c
-            else:
-                del count[s]
-                distinct.pop(bisect.bisect_left(distinct, s))
+            items.pop(bisect.bisect_left(items, s))
 
     def open_bin() -> list[tuple[int, ...]]:
-        big = distinct[-1]
-        take((big,), 1)
-        out = [(big, *f) for f in fillings(distinct, count, capacity - big, most - used, tries)]
-        take((big,), -1)
-        return out[::-1]
+        nonlocal all_tried
+        if used + forced_waste(items[::-1], capacity) > most:
+            return []
+        big = items.pop()
+        room = capacity - big
+        out, left_out = fillings(items[: bisect.bisect_right(items, room)], room, most - used, tries)
+        items.append(big)
+        all_tried &= not left_out
+        return [(big, *f) for f in out[::-1]]
 
     def back() -> None:
         nonlocal used
         f = path.pop()
-        take(f, -1)
+        for s in f:
+            bisect.insort(items, s)
         used -= capacity - sum(f)
 
     stack.append(open_bin())
-    while stack and spent < nodes:
+    while stack and did["opened"] < nodes:
         if not stack[-1]:
             stack.pop()
             if path:
@@ -155,11 +204,11 @@ def complete(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, tri
         waste = capacity - sum(f)
         if used + waste > most:
             continue
-        spent += 1
-        take(f, 1)
+        did["opened"] += 1
+        take(f)
         path.append(f)
         used += waste
-        if count:
+        if items:
             stack.append(open_bin())
             continue
         found = list(path)  # a better incumbent
@@ -167,64 +216,95 @@ def complete(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, tri
         if len(found) <= bound:
             break
         back()
+    did["proven"] = int((found is not None and len(found) <= bound) or (not stack and all_tried))
     if found is None:
-        return best
+        return best, did
     places: dict[int, list[int]] = {}
     for i, s in enumerate(sizes):
         places.setdefault(s, []).append(i)
-    return [[places[s].pop() for s in f] for f in found]
+    return [[places[s].pop() for s in f] for f in found], did
+
+
+_KEY = ["id", "n", "part", "copy"]
 
 
 def _packer(capacity: int, nodes: int, tries: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "id", "part", "copy"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
-        bins = complete(pdf["size"].tolist(), capacity, nodes, tries)
+        pdf = pdf.sort_values(["size", *_KEY], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
+        bins, did = complete(pdf["size"].tolist(), capacity, nodes, tries)
         seq = [0] * len(pdf)
         for b, items in enumerate(bins):
             for i in items:
                 seq[i] = b
         pdf["seq"] = seq
         fill = pdf.groupby("seq")["size"].transform("sum")
-        return pdf.assign(fill=fill)[["id", "part", "copy", "size", "round", "grp", "seq", "fill"]]
+        first = pd.Series([json.dumps({**did, "used": len(bins)})] + [None] * (len(pdf) - 1), dtype=object)
+        return pdf.assign(fill=fill, did=first)[[*_KEY, "size", "round", "grp", "seq", "fill", "did"]]
 
     return run
 
 
 ship_by_value(sys.modules[__name__])
 
-_OUT = "id bigint, part int, copy int, size int, round int, grp bigint, seq int, fill int"
+_OUT = "id bigint, n int, part int, copy int, size int, round int, grp bigint, seq int, fill int, did string"
 
 
 def items(sizes: DataFrame, id_col: str, size_col: str, capacity: int = CAPACITY) -> DataFrame:
-    """``(id, part, size)``: full parts of oversized items, then the rest; whole items have part 0."""
-    n = F.col(size_col)
-    parts = F.sequence(F.lit(0), F.ceil(n / capacity).cast("int") - 1)
-    cut = sizes.filter(n > 0).select(F.col(id_col).cast("long").alias("id"), n.alias("n"), F.explode(parts).alias("part"))
-    return cut.select("id", "part", F.least(F.lit(capacity), F.col("n") - F.col("part") * capacity).cast("int").alias("size"))
+    """``(id, n, part, size, copy)``: full parts of oversized items, then the rest; whole items have part 0.
+
+    n is the item's own size; copy counts equal (id, n, part).
+    """
+    n = F.col(size_col).cast("int")
+    rows = sizes.filter(n > 0).groupBy(F.col(id_col).cast("long").alias("id"), n.alias("n")).agg(F.count("*").alias("times"))
+    parts = F.sequence(F.lit(0), F.ceil(F.col("n") / capacity).cast("int") - 1)
+    copies = F.sequence(F.lit(0), (F.col("times") - 1).cast("int"))
+    cut = rows.withColumn("copy", F.explode(copies)).withColumn("part", F.explode(parts))
+    return cut.select("id", "n", "part", F.least(F.lit(capacity), F.col("n") - F.col("part") * capacity).cast("int").alias("size"), "copy")
 
 
 def _deal(df: DataFrame, groups: int, no: int) -> DataFrame:
-    key: Column = F.pmod(F.xxhash64(F.lit(no), "id", "part", "copy"), F.lit(groups))
-    return df.select("id", "part", "copy", "size", F.lit(no).alias("round"), key.alias("grp"))
+    key: Column = F.pmod(F.xxhash64(F.lit(no), *_KEY), F.lit(groups))
+    return df.select(*_KEY, "size", F.lit(no).alias("round"), key.alias("grp"))
 
 
-def pack(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capacity: int = CAPACITY, group: int = GROUP, rounds: int = 2, nodes: int = NODES, tries: int = TRIES) -> DataFrame:
-    """``(id, part, size, container, fill)``; container is unique, part counts an oversized item's pieces."""
-    whole = items(sizes, id_col, size_col, capacity)
-    numbered = whole.groupBy("id", "part", "size").agg(F.count("*").alias("n")).select("id", "part", "size", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("copy"))
-    todo = materialize(numbered, "items")
-    name = lambda df: df.select("id", "part", "size", F.concat_ws("-", "round", "grp", "seq").alias("container"), "fill")
+def _rounds(sizes: DataFrame, id_col: str, size_col: str, capacity: int, group: int, nodes: int, tries: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The items that fill containers alone, and the packed items of each round with a flag ``last`` on those that stay."""
+    todo = materialize(items(sizes, id_col, size_col, capacity), "items")
     full = todo.filter(F.col("size") == capacity)
-    out = full.select("id", "part", "size", F.concat_ws("-", F.lit("full"), "id", "part", "copy").alias("container"), F.col("size").alias("fill"))
     todo = todo.filter(F.col("size") < capacity)
-    for no in range(rounds):
+    loose = F.col("fill") < int(capacity * (1 - SLACK))
+    packed, before, no = [], None, 0
+    while True:
         total = todo.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         groups = max(1, -(-total // (capacity * group)))
-        packed = _deal(todo, groups, no).groupBy("grp").applyInPandas(_packer(capacity, nodes, tries), _OUT)
-        if no == rounds - 1 or groups == 1:
-            return out.unionByName(name(packed))
-        packed = materialize(packed, "packed")
-        loose = F.col("fill") < int(capacity * (1 - SLACK))
-        out = out.unionByName(name(packed.filter(~loose)))
-        todo = packed.filter(loose)
+        done = materialize(_deal(todo, groups, no).groupBy("grp").applyInPandas(_packer(capacity, nodes, tries), _OUT), "packed")
+        n_loose = done.filter(loose).select("grp", "seq").distinct().count()
+        last = groups == 1 or (before is not None and n_loose * 2 > before)
+        packed.append(done.withColumn("last", F.lit(True) if last else ~loose))
+        if last:
+            return full, packed
+        todo, before, no = done.filter(loose).select(*_KEY, "size"), n_loose, no + 1
+
+
+def pack(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capacity: int = CAPACITY, group: int = GROUP, nodes: int = NODES, tries: int = TRIES) -> DataFrame:
+    """``(id, n, part, copy, size, container, fill)``; container is unique, part counts an oversized item's pieces."""
+    full, packed = _rounds(sizes, id_col, size_col, capacity, group, nodes, tries)
+    out = full.select(*_KEY, "size", F.concat_ws("-", F.lit("full"), *_KEY).alias("container"), F.col("size").alias("fill"))
+    for done in packed:
+        out = out.unionByName(done.filter("last").select(*_KEY, "size", F.concat_ws("-", "round", "grp", "seq").alias("container"), "fill"))
+    return out
+
+
+def searched(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capacity: int = CAPACITY, group: int = GROUP, nodes: int = NODES, tries: int = TRIES) -> DataFrame:
+    """What the search did in each group: ``(round, grp, best_fit, bound, used, opened, proven)``.
+
+    best_fit, bound and used count containers; a group whose best fit met the bound has
+    opened 0; one that ended without proof has proven false and ``used - bound`` open.
+    """
+    _, packed = _rounds(sizes, id_col, size_col, capacity, group, nodes, tries)
+    kind = "best_fit int, bound int, used int, opened int, proven int"
+    each = [d.filter("did is not null").select("round", "grp", F.from_json("did", kind).alias("d")).select("round", "grp", "d.best_fit", "d.bound", "d.used", "d.opened", (F.col("d.proven") == 1).alias("proven")) for d in packed]
+    out = each[0]
+    for d in each[1:]:
+        out = out.unionByName(d)
     return out

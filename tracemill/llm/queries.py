@@ -139,31 +139,55 @@ def p6_decoded(spark, d):
 # 7: containers ----------------------------------------------------------------------
 
 
-def _containers(spark, d):
-    sizes = materialize(bpe.count_tokens(table(spark, d, "documents", "doc_id", "text")), "sizes")
-    return packing.pack(sizes)
+def _sizes(spark, d):
+    return materialize(bpe.count_tokens(table(spark, d, "documents", "doc_id", "text")), "sizes")
 
 
 @LLM.query("p7_found")
 def p7_found(spark, d):
     """Documents that needed more than one container."""
-    return _containers(spark, d).groupBy("id").agg(F.countDistinct("container").alias("n")).filter("n > 1").select(F.col("id").alias("doc_id"))
+    parts = packing.pack(_sizes(spark, d)).groupBy("id", "n", "copy").agg(F.countDistinct("container").alias("containers"))
+    return parts.filter("containers > 1").select(F.col("id").alias("doc_id")).distinct()
 
 
 @LLM.query("p7_containers")
 def p7_containers(spark, d):
-    """Every document with its container; part counts the pieces of an oversized one."""
-    return _containers(spark, d).select(F.col("id").alias("doc_id"), "part", F.col("size").alias("n_tokens"), "container")
+    """Every document with its container; part counts the pieces of an oversized one, copy equal rows of an id."""
+    return packing.pack(_sizes(spark, d)).select(F.col("id").alias("doc_id"), "part", "copy", F.col("size").alias("n_tokens"), "container")
+
+
+@LLM.query("p7_checked", "SELECT doc_id, true AS all_tokens_once, true AS whole_if_it_fits, true AS within_capacity FROM documents WHERE length(text) > 0")
+def p7_checked(spark, d):
+    """What must hold of every document with a token: its tokens come out once, uncut if it fits, in no overfull container."""
+    sizes = _sizes(spark, d)
+    placed = packing.pack(sizes)
+    full = placed.groupBy("container").agg(F.sum("size").alias("held"))
+    docs = placed.join(full, "container").groupBy(F.col("id").alias("doc_id")).agg(F.sum("size").alias("n"), F.countDistinct("container").alias("containers"), F.max("held").alias("most"))
+    own = sizes.filter("n_tokens > 0").join(docs, "doc_id", "left")
+    return own.select(
+        "doc_id", F.coalesce(F.col("n") == F.col("n_tokens"), F.lit(False)).alias("all_tokens_once"),
+        ((F.col("n_tokens") > packing.CAPACITY) | (F.col("containers") == 1)).alias("whole_if_it_fits"), (F.col("most") <= packing.CAPACITY).alias("within_capacity"),
+    )
 
 
 @LLM.query("p7_fill")
 def p7_fill(spark, d):
     """Containers used, the fewest that the tokens could need, and the room left."""
-    c = _containers(spark, d).groupBy("container").agg(F.sum("size").alias("size"))
+    c = packing.pack(_sizes(spark, d)).groupBy("container").agg(F.sum("size").alias("size"))
     total = F.sum("size")
     return c.agg(F.count("*").alias("n_containers"), F.ceil(total / packing.CAPACITY).alias("lower_bound"), (1 - total / (F.count("*") * packing.CAPACITY)).alias("room_left"))
 
 
+@LLM.query("p7_search")
+def p7_search(spark, d):
+    """What the search did, by round: groups, those that needed a search, gained by it, ended without proof, and containers above the bound."""
+    g = packing.searched(_sizes(spark, d))
+    return g.groupBy("round").agg(
+        F.count("*").alias("n_groups"), F.count_if(F.col("opened") > 0).alias("n_searched"), F.count_if(F.col("used") < F.col("best_fit")).alias("n_improved"),
+        F.count_if(~F.col("proven")).alias("n_unproven"), F.sum("used").alias("n_containers"), F.sum(F.col("used") - F.col("bound")).alias("n_above_bound"),
+    )
+
+
 # 8: languages -----------------------------------------------------------------------
 
 
