@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,15 +35,21 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: what :func:`spread` moves at most, by the optimizer's estimate
+SPREAD_BYTES = 256 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can read, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a folder of this machine
-    is made and remembered in the session.
+    Only where the session names none and runs in this one process (tests, a laptop) a
+    folder of this machine is made and remembered in the session; on a cluster it is an error.
     """
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {key} to a folder that all executors share; {spark.sparkContext.master} can't use one of this machine")
         made = spark.conf.get("spark.tracemill.localShared", None)
         if not made:
             made = tempfile.mkdtemp(prefix="tracemill-")
@@ -64,22 +72,35 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 _written: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Removes the tables that :func:`materialize` wrote in this process; plans over them can't be read after."""
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Removes the tables that :func:`materialize` wrote in this process, but for the first ``since``; plans over them can't be read after."""
     jvm = spark.sparkContext._jvm
-    while _written:
+    while len(_written) > since:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes at its end what was materialized inside; results must be written by then."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt over all cores where df comes in fewer partitions, as from one small file; else df as it is.
+    """Rows dealt over all cores where df is a small table of fewer partitions than cores; else df as it is.
 
-    For work that costs far more than moving a row. Large tables have enough partitions
-    and aren't shuffled.
+    For work that costs far more than moving a row. No more than ``SPREAD_BYTES`` are moved,
+    whatever the cluster's size.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    plan = df._jdf.queryExecution()
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
+    have = plan.toRdd().getNumPartitions()
     return df.repartition(want) if 0 < have < want else df
 
 
