@@ -35,3 +35,34 @@ def test_tables_lead_back(spark):
     assert [(r.item_idx, r.value, r.kind) for r in t["commands"].orderBy("item_idx").collect()] == [(0, "x", "string"), (1, "1", "number")]
     assert t["records"].count() == 1
     assert all(x.limit(0).count() == 0 for x in t.values()) and n.values(df.limit(0)).count() == 0
+
+
+def test_walk_and_assemble():
+    for v in ({"a": [1, {"b": None}, []], "c": {}, "d": True, "e": "", "f": 1.5, "g": "1"}, [], {}, 3, [[["x"]], None]):
+        rows = n.walk(v)
+        assert n.assemble(rows) == v and [r[0] for r in rows] == list(range(len(rows))) and all(r[1] is None or r[1] < r[0] for r in rows)
+    assert n.walk({"b": 1, "a": [2, "x"]})[0][5] == n.walk({"a": ["y", 7, 8], "b": 0.5})[0][5] == "{a:[ms],b:m}"
+    assert n.walk([{"x": 1}, {"x": "t"}])[0][5] == "[{x:m}{x:s}]"
+    assert n.walk({f"key{i}": i for i in range(100)})[0][5].startswith("#")
+    assert n.members("{a:[ms],b:m,c:{d:s},e:n,f:s}") == {"b": "double", "e": "string", "f": "string"} and n.members("[m]") == {} == n.members("{}")
+    deep = json.loads("[" * 800 + "]" * 800)
+    assert len(n.walk(deep)) == 800
+
+
+def test_nodes_subtypes_and_rebuild(spark):
+    text = '{"files": [{"url": "a", "headers": [{"name": "h", "n": 2}]}, null], "deep": {"l": [[1], "x"]}}'
+    df = frame(spark, [[("t", text), ("u", json.dumps(json.dumps({"name": "top", "n": 1}))), ("v", "{"), ("w", None)], None])
+    found = n.nodes(df)
+    sub = n.subtype(found, "{n:m,name:s}").collect()
+    assert sorted((r.rec_no, r.step_idx, r.m_name, r.m_n) for r in sub) == [(0, 0, "h", 2.0), (0, 1, "top", 1.0)]
+    head = next(r for r in sub if r.m_name == "h")
+    ups = {r.node: r for r in found.filter("rec_no = 0 and step_idx = 0").collect()}
+    chain = []
+    at = head.node
+    while at is not None:
+        chain.append(ups[at].key or ups[at].item_idx)
+        at = ups[at].parent
+    assert chain == [0, "headers", 0, "files", None]
+    again = {(r.rec_no, r.section, r.step_idx): json.loads(r.json) for r in n.rebuild(found).collect()}
+    assert again == {(0, "config", 0): json.loads(text), (0, "config", 1): {"name": "top", "n": 1}}
+    assert n.nodes(df.limit(0)).count() == 0 and n.subtype(found, "{zzz:s}").count() == 0

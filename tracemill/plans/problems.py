@@ -59,7 +59,24 @@ def p2_steps(spark, d):
     return nested_records.flatten(table(spark, d, "task_config", *TASK_COLUMNS))["steps"].drop("variant")
 
 
-@CORE.query("p2_variants")
+_P2_STATE = """CASE coalesce(json_type({e}), 'NULL') WHEN 'NULL' THEN 'n' WHEN 'BOOLEAN' THEN 'b' WHEN 'VARCHAR' THEN CASE WHEN {e}->>'$' = '' THEN 'e' ELSE 's' END WHEN 'ARRAY' THEN 'l'
+WHEN 'OBJECT' THEN CASE WHEN json_type({e}->'$.url') IN ('UBIGINT', 'BIGINT', 'DOUBLE') OR (json_type({e}->'$.url') = 'VARCHAR' AND {e}->>'$.url' <> '') THEN 'F' ELSE 'o' END ELSE 'm' END"""
+
+
+def _p2_member(name: str) -> str:
+    at = f"(j->'$.{name}')"
+    listed = f"'[' || coalesce(array_to_string(list_sort(list_distinct(list_transform(CAST({at} AS JSON[]), lambda x: {_P2_STATE.format(e='x')}))), ''), '') || ']'"
+    return f"CASE WHEN json_type({at}) = 'ARRAY' THEN '{name}:' || {listed} WHEN json_type({at}) IS NOT NULL THEN '{name}:' || {_P2_STATE.format(e=at)} END"
+
+
+@CORE.query(
+    "p2_variants",
+    _P2_STEPS
+    + f""", v AS (SELECT p.section, CASE WHEN s.st.parameters IS NULL THEN 'absent' WHEN p.j IS NULL THEN 'invalid'
+  ELSE coalesce(nullif(concat_ws('|', {_p2_member("files")}, {_p2_member("command")}), ''), 'plain') END AS variant
+  FROM p JOIN s ON p.rec_no = s.rec_no AND p.section = s.section AND p.step_idx = s.step_idx)
+SELECT section, variant, count(*) AS n_steps FROM v GROUP BY ALL""",
+)
 def p2_variants(spark, d):
     """How many steps the automaton sent to each variant."""
     return nested_records.flatten(table(spark, d, "task_config", *TASK_COLUMNS))["steps"].groupBy("section", "variant").agg(F.count("*").alias("n_steps"))
@@ -75,6 +92,79 @@ def p2_records(spark, d):
     return r.withColumn("related_apps", F.array_join("related_apps", "|"))
 
 
+# every JSON document of a record, unwrapped, with its nodes
+_P2_NODES = r"""
+WITH s AS (
+  SELECT rec_no, 'config' AS section, unnest(config).parameters AS t, CAST(generate_subscripts(config, 1) - 1 AS INTEGER) AS step_idx FROM task_config
+  UNION ALL SELECT rec_no, 'postconfig', unnest(evaluator.postconfig).parameters, CAST(generate_subscripts(evaluator.postconfig, 1) - 1 AS INTEGER) FROM task_config
+  UNION ALL SELECT rec_no, 'result', evaluator.result, 0 FROM task_config
+  UNION ALL SELECT rec_no, 'expected', evaluator.expected, 0 FROM task_config
+), u0 AS (SELECT rec_no, section, step_idx, CASE WHEN json_valid(t) THEN CAST(t AS JSON) END AS j FROM s
+), u1 AS (SELECT * REPLACE (CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j->>'$') THEN CAST(j->>'$' AS JSON) END ELSE j END AS j) FROM u0
+), u2 AS (SELECT * REPLACE (CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j->>'$') THEN CAST(j->>'$' AS JSON) END ELSE j END AS j) FROM u1
+), u3 AS (SELECT * REPLACE (CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j->>'$') THEN CAST(j->>'$' AS JSON) END ELSE j END AS j) FROM u2
+), u4 AS (SELECT * REPLACE (CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j->>'$') THEN CAST(j->>'$' AS JSON) END ELSE j END AS j) FROM u3
+), docs AS (SELECT rec_no, section, step_idx, j FROM u4 WHERE j IS NOT NULL AND json_type(j) <> 'VARCHAR'
+), tree AS (SELECT rec_no, section, step_idx, t.id, t.parent, t.key, t.type, t.value FROM docs, json_tree(docs.j) AS t)
+"""
+
+
+def _nodes(spark, d):
+    return nested_records.nodes(table(spark, d, "task_config", "rec_no", "config", "evaluator"))
+
+
+@CORE.query(
+    "p2_nodes",
+    _P2_NODES
+    + """, named AS (SELECT n.*, p.key AS in_key, p.type AS in_type FROM tree n LEFT JOIN tree p ON n.rec_no = p.rec_no AND n.section = p.section AND n.step_idx = p.step_idx AND n.parent = p.id)
+SELECT rec_no, section, step_idx, CASE WHEN in_type = 'OBJECT' THEN key END AS key, CASE WHEN in_type = 'ARRAY' THEN CAST(key AS INTEGER) END AS item_idx, in_key,
+CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS type,
+CASE WHEN type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN value->>'$' END AS value FROM named""",
+)
+def p2_nodes(spark, d):
+    """Every JSON value of every record with its place in its parent and the parent's own place."""
+    n = _nodes(spark, d)
+    keys = ["rec_no", "section", "step_idx"]
+    above = n.select(*keys, F.col("node").alias("parent"), F.coalesce("key", F.col("item_idx").cast("string")).alias("in_key"))
+    return n.join(above, [*keys, "parent"], "left").select(*keys, "key", "item_idx", "in_key", "type", "value")
+
+
+@CORE.query("p2_rebuilt", _P2_NODES + "SELECT rec_no, section, step_idx, true AS same FROM docs")
+def p2_rebuilt(spark, d):
+    """Whether each document, made anew from its nodes alone, is the one in the table."""
+    t = table(spark, d, "task_config", "rec_no", "config", "evaluator")
+    own = nested_records.documents(t).select("rec_no", "section", "step_idx", nested_records.normal_json(F.col("json")).alias("was")).filter("was is not null")
+    again = nested_records.rebuild(nested_records.nodes(t))
+    return own.join(again, ["rec_no", "section", "step_idx"], "left").select("rec_no", "section", "step_idx", F.coalesce(F.col("was") == F.col("json"), F.lit(False)).alias("same"))
+
+
+@CORE.query(
+    "p2_headers",
+    _P2_STEPS
+    + """, h0 AS (SELECT rec_no, section, step_idx, item_idx AS file_idx, CAST(e->'$.headers' AS JSON[]) AS l FROM f WHERE json_type(e->'$.headers') = 'ARRAY'),
+h AS (SELECT rec_no, section, step_idx, file_idx, unnest(l) AS e, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS item_idx FROM h0)
+SELECT rec_no, section, step_idx, file_idx, item_idx, e->>'$.name' AS name, e->>'$.url' AS url FROM h WHERE json_type(e->'$.name') = 'VARCHAR' AND json_type(e->'$.url') = 'VARCHAR' AND len(json_keys(e)) = 2""",
+)
+def p2_headers(spark, d):
+    """Headers of files, the objects of one shape, with the place of their file: a subtype table two levels down."""
+    n = _nodes(spark, d)
+    keys = ["rec_no", "section", "step_idx"]
+    found = nested_records.subtype(n, *[f"{{name:{a},url:{b}}}" for a in "se" for b in "se"])
+    lists = n.filter("type = 'array' and key = 'headers'").select(*keys, F.col("node").alias("parent"), F.col("parent").alias("file"))
+    top = n.filter("type = 'array' and key = 'files' and parent = 0").select(*keys, F.col("node").alias("list"))
+    listed = n.filter("type = 'object' and item_idx is not null").select(*keys, F.col("node").alias("file"), F.col("item_idx").alias("file_idx"), F.col("parent").alias("list")).join(top, [*keys, "list"], "left_semi")
+    alone = n.filter("type = 'object' and key = 'files' and parent = 0").select(*keys, F.col("node").alias("file"), F.lit(0).alias("file_idx"))
+    placed = found.join(lists, [*keys, "parent"]).join(listed.drop("list").unionByName(alone), [*keys, "file"])
+    return placed.filter("section in ('config', 'postconfig')").select(*keys, "file_idx", "item_idx", F.col("m_name").alias("name"), F.col("m_url").alias("url"))
+
+
+@CORE.query("p2_shapes", _P2_NODES + "SELECT section, json_type(j) = 'ARRAY' AS is_list, count(*) AS n FROM docs GROUP BY ALL")
+def p2_shapes(spark, d):
+    """Documents by section and by whether their root is a list."""
+    roots = _nodes(spark, d).filter("parent is null")
+    return roots.groupBy("section", (F.col("type") == "array").alias("is_list")).agg(F.count("*").alias("n"))
+
+
 _P5 = """
 WITH cur AS (SELECT id, max(used) AS used, max(create_at) AS create_at FROM rollout_run WHERE id IS NOT NULL GROUP BY id),
 good AS (SELECT DISTINCT s.rollout_id, s.sync_no, s.used, s.create_at FROM monitor_seen s JOIN monitor_run r ON s.sync_no = r.sync_no WHERE r.status = 'COMPLETED'),
