@@ -29,6 +29,63 @@ def test_only_differing_leaves(spark):
     assert [r.node for r in leaves] == [4711 >> merkle.LEAF_BITS]
 
 
+def scanned(df):
+    """Rows that the scans of an executed plan gave out."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif hasattr(p, "plan") and p.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(p.plan())
+        elif p.getClass().getSimpleName() == "FileSourceScanExec" and "v0#" in p.toString():
+            total += p.metrics().apply("numOutputRows").value()
+        for i in range(p.children().size()):
+            todo.append(p.children().apply(i))
+    return total
+
+
+def test_rows_read_fall_with_the_share_of_changed_ranges(spark, tmp_path):
+    log = merkle.ChangeLog(spark, str(tmp_path / "state"), "id", ["v"])
+    n = 400_000
+    base = spark.range(n).select("id", (F.col("id") % 7).cast("int").alias("v"))
+    log.run(base, lambda df: df.limit(0))
+    edit = lambda share: base.withColumn("v", F.when(F.col("id") >= int(n * (1 - share)), 99).otherwise(F.col("v")))
+    read = {}
+    for share in (1.0, 0.02):
+        changes = log.pending(edit(share))
+        assert changes.count() == n - int(n * (1 - share))
+        read[share] = scanned(changes)
+    assert read[1.0] == 2 * n and read[0.02] < 0.6 * n
+    assert log.pending(base).count() == 0 and scanned(log.pending(base)) == 0
+
+
+def test_versions_that_nobody_needs_go(spark, tmp_path):
+    log = merkle.ChangeLog(spark, str(tmp_path / "state"), "id", ["v"])
+    for i in range(4):
+        log.run(spark.range(5).select("id", F.lit(i).alias("v")), lambda df: df)
+        log.pending(spark.range(3).select("id", F.lit(i).alias("v")))
+    last = log.run(spark.range(5).select("id", F.lit(9).alias("v")), lambda df: df)
+    assert len(log._versions()) == 2 and log.version() == last
+
+
+def test_differing_rows_of_a_key_are_one_whole_row(spark):
+    df = spark.createDataFrame([(1, 1, "b"), (1, 2, "a"), (1, None, "c")], "id long, used int, at string")
+    (r,) = merkle.records(df, "id", ["used", "at"]).collect()
+    assert (r.v0, r.v1) in {(1, "b"), (2, "a"), (None, "c")}
+    assert merkle.key_ranges(spark.createDataFrame([(0,), (1,), (9,)], "node long"), 6) == [(0, 127), (576, 639)]
+    assert merkle.key_ranges(spark.createDataFrame([], "node long")) == []
+
+
+def test_trees_of_other_heights(spark):
+    low = merkle.records(spark.range(100).select("id", F.lit(1).alias("v")), "id", ["v"])
+    high = low.unionByName(low.filter("k = 5").withColumn("k", F.lit(10**12).cast("long")))
+    assert len(merkle.tree(high)) > len(merkle.tree(low))
+    assert [(r.k, r.change) for r in merkle.diff(high, low).collect()] == [(10**12, "added")]
+
+
 def test_empty_tables(spark):
     df = merkle.records(spark.range(5).select("id", F.lit(1).alias("v")), "id", ["v"])
     none = df.limit(0)
