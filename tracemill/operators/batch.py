@@ -22,8 +22,8 @@ class BatchError(ValueError):
     """A batch invariant doesn't hold."""
 
 
-def number_rows(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Adds ``_row`` by the order of keys, which should be unique, without one task holding all rows.
+def number_rows(df: DataFrame, *keys: str | Column, name: str = ROW) -> DataFrame:
+    """Adds ``_row``, or a column of another name, by the order of keys, which should be unique, without one task holding all rows.
 
     Rows are range-partitioned and sorted; each partition's rows are counted and
     offsets (one number per partition) come back through a broadcast.
@@ -37,7 +37,7 @@ def number_rows(df: DataFrame, *keys: str | Column) -> DataFrame:
         offsets.append((pid, upto))
         upto += n
     off = df.sparkSession.createDataFrame(offsets, "__pid long, __off long")
-    return marked.join(F.broadcast(off), "__pid").withColumn(ROW, F.col("__at") + F.col("__off")).drop("__pid", "__at", "__off")
+    return marked.join(F.broadcast(off), "__pid").withColumn(name, F.col("__at") + F.col("__off")).drop("__pid", "__at", "__off")
 
 
 def first_rows(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
