@@ -40,6 +40,24 @@ def test_all_equal_and_empty_and_share(spark):
     assert caps.over_cap(df.limit(0), ["who"], "q", order, "id").count() == 0
 
 
+@pytest.mark.parametrize("cap", [8, 40, 600])
+def test_ranking_by_ranges_equals_the_window(spark, monkeypatch, cap):
+    monkeypatch.setattr(caps, "RANKED", 8)
+    rng = random.Random(cap)
+    rows = [(i, "hot" if rng.random() < 0.8 else rng.choice(["a", "b", None]), rng.choice([1.0, 1.0, None, 0.5, 40.0, -7.5, float("inf"), float("nan"), rng.random()]), rng.choice([None, 1, 2])) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = caps.over_cap(df, ["who"], "q", [F.col("at").desc_nulls_last(), F.col("id").desc()], "id", cap=cap)
+    assert {r.id for r in got.collect()} == brute(rows, cap)
+
+
+def test_a_share_of_a_contributor_with_half_of_all_rows(spark):
+    n = 200_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5000)).alias("who"), F.lit(1.0).alias("q"))
+    out = caps.over_cap(df, ["who"], "q", [F.col("id").desc()], "id", cap=None, share=0.1)
+    left = out.agg(F.count("*"), F.max("id")).first()
+    assert tuple(left) == (n // 2 - n // 10, n - 2 * (n // 10) - 2)  # the newest tenth stays
+
+
 def test_histograms_merge(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("who"), (F.col("id") / 100).alias("__q"))
     whole = caps.histograms(df, ["who"]).collect()

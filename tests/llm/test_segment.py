@@ -43,6 +43,27 @@ def test_cut_falls_into_the_valley_between_topics():
     assert ends[0] == seam
 
 
+def test_slabs_give_the_same_depths(monkeypatch):
+    rng = random.Random(9)
+    text = "".join(f"{rng.choice(['cat', 'tax', 'mouse', 'income', 'form'])} {rng.choice(['a', 'b'])}{rng.randint(0, 9)}. " for _ in range(500))
+    at, _ = segment.boundaries(text, [])
+    whole = segment.valley_depths(text, at, segment.Slots())
+    for size in (1, 3, 64):
+        monkeypatch.setattr(segment, "SLAB", size)
+        assert (segment.valley_depths(text, at, segment.Slots()) == whole).all()
+
+
+def test_memory_of_a_transcript_of_4_million_characters():
+    import tracemalloc
+
+    text = "".join(f"Word {k} of it is here. " for k in range(180_000))
+    tracemalloc.start()
+    ends = segment.plan_cuts(text, [len(text)], segment.Slots())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 4_000_000 and ends[-1] == len(text) and peak < 120e6
+
+
 def test_word_end_then_hard_cut():
     assert segment.plan_cuts("ab " * 400, [1200], segment.Slots(), limit=100, overlap=10)[0] % 3 == 0
     ends = segment.plan_cuts("x" * 1000, [1000], segment.Slots(), limit=100, overlap=10)

@@ -5,12 +5,15 @@
    contributor with a third of all rows is a few dozen counters per task.
 2. From the top bin down, the bin in which the running count meets the cap is the
    contributor's cutoff bin; ``need`` records of it may stay.
-3. Records in bins below the cutoff go. Only those in the cutoff bin are ranked,
-   with ``row_number() <= need``: Spark limits each group to the cap before the
-   shuffle, so a hot bin never comes together in one task.
+3. Records in bins below the cutoff go. Only those in the cutoff bin are ranked. Caps of at
+   most ``RANKED`` take ``row_number() <= need``: Spark limits each group to the cap before
+   the shuffle, so a hot bin never comes together in one task. Greater caps and shares, for which
+   Spark sets no such limit, are ranked by a range partition over contributor and order,
+   which spreads a hot bin over many tasks, and counts per partition.
 
-The binning need only be monotone: any value falls into a bin, so the result is
-exact, and bins only decide how many records get ranked.
+The bins divide the range of the scored qualities evenly. The binning need only be
+monotone: any value falls into a bin, so the result is exact, and bins only decide how many
+records get ranked.
 
 Contributors whose histogram holds at least 1/HOT of all rows (at most HOT of them,
 by counting) meet their cutoffs through a broadcast of at most HOT rows; all
@@ -31,9 +34,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tracemill.operators.batch import number_rows
 from tracemill.session import materialize
 
-BINS, HOT = 64, 1000
+#: RANKED is what Spark's spark.sql.optimizer.windowGroupLimitThreshold allows by default
+BINS, HOT, RANKED = 64, 1000, 1000
 
 
 def scored(q: Column) -> Column:
@@ -41,9 +46,10 @@ def scored(q: Column) -> Column:
     return F.when(F.isnan(q) | (q == -1), None).otherwise(q)
 
 
-def quality_bin(q: Column, bins: int = BINS) -> Column:
-    """0 for unscored, then 1..bins, growing with q; values outside [0, 1] fall into the end bins."""
-    inside = F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
+def quality_bin(q: Column, bins: int = BINS, low: float = 0.0, high: float = 1.0) -> Column:
+    """0 for unscored, then 1..bins, growing with q; values outside [low, high] fall into the end bins."""
+    width = (high - low) if high > low else 1.0
+    inside = (F.least(F.greatest(q, F.lit(low)), F.lit(high)) - low) / width
     return F.when(q.isNull(), F.lit(0)).otherwise((F.floor(inside * (bins - 1)) + 1).cast("int"))
 
 
@@ -53,9 +59,9 @@ def current_rows(df: DataFrame, key: Sequence[str], id_col: str, *kept: str) ->
     return df.filter(F.col(id_col).isNotNull()).groupBy(*key).agg(F.max(id_col).alias(id_col), picked).select(*key, id_col, "r.*")
 
 
-def histograms(df: DataFrame, contributor: Sequence[str], bins: int = BINS) -> DataFrame:
+def histograms(df: DataFrame, contributor: Sequence[str], bins: int = BINS, low: float = 0.0, high: float = 1.0) -> DataFrame:
     """``contributor..., __bin, __n`` of rows that have a column ``__q``."""
-    return df.groupBy(*contributor, quality_bin(F.col("__q"), bins).alias("__bin")).agg(F.count("*").alias("__n"))
+    return df.groupBy(*contributor, quality_bin(F.col("__q"), bins, low, high).alias("__bin")).agg(F.count("*").alias("__n"))
 
 
 def cutoffs(hist: DataFrame, contributor: Sequence[str], cap: Column) -> DataFrame:
@@ -70,14 +76,32 @@ def cutoffs(hist: DataFrame, contributor: Sequence[str], cap: Column) -> DataFra
     return h.filter((F.col("__total") > F.col("__cap")) & met).select(*contributor, F.col("__bin").alias("__cut"), (F.col("__cap") - F.col("__upto") + F.col("__n")).alias("__need"), "__total")
 
 
-def _match(df: DataFrame, cut: DataFrame, contributor: Sequence[str]) -> DataFrame:
-    renamed = cut.select(*[F.col(c).alias(f"__{c}") for c in contributor], "__cut", "__need")
+def _match(df: DataFrame, cut: DataFrame, contributor: Sequence[str], *more: str) -> DataFrame:
+    renamed = cut.select(*[F.col(c).alias(f"__{c}") for c in contributor], *more)
     on = F.lit(True)
     for c in contributor:
         on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return df.join(renamed, on).drop(*[f"__{c}" for c in contributor])
 
 
+def ranked(rows: DataFrame, contributor: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Adds ``__rk``, the place within the contributor from 1 on, without bringing a contributor into one task.
+
+    Rows are numbered along a range partition over (contributor, order); a rank is the number
+    less the contributor's first one.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in contributor]
+    numbered = number_rows(rows, *keys, *order, name="__no")
+    first = numbered.groupBy(*contributor).agg(F.min("__no").alias("__first"), F.count("*").alias("__rows"))
+    total = first.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    hot = max(1, total // HOT)
+    out = None
+    for part in (F.broadcast(first.filter(F.col("__rows") > hot)), first.filter(F.col("__rows") <= hot)):  # fewer than HOT rows are broadcast
+        one = _match(numbered, part, contributor, "__first")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("__rk", F.col("__no") - F.col("__first") + 1).drop("__no", "__first")
+
+
 def over_cap(rows: DataFrame, contributor: Sequence[str], q: str, then: Sequence[Column], id_col: str, cap: int | None = 8, share: float | None = None, bins: int = BINS) -> DataFrame:
     """Ids of the rows beyond the cap, best kept first.
 
@@ -85,21 +109,25 @@ def over_cap(rows: DataFrame, contributor: Sequence[str], q: str, then: Sequence
     cap: the most records of a contributor; share: the most as a share of all rows
     (at least one record); the smaller of those given holds.
     """
+    if cap is None and share is None:
+        raise ValueError("cap or share must be given")
     base = materialize(rows.withColumn("__q", scored(F.col(q))), "caps")
-    hist = materialize(histograms(base, contributor, bins), "hist")
+    finite = F.when(F.abs("__q") < float("inf"), F.col("__q"))
+    low, high = base.agg(F.coalesce(F.min(finite), F.lit(0.0)), F.coalesce(F.max(finite), F.lit(1.0))).first()
+    hist = materialize(histograms(base, contributor, bins, low, high), "hist")
     n_rows = hist.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
-    limits = [x for x in (cap, None if share is None else max(1, int(share * n_rows))) if x is not None]
-    if not limits:
-        raise ValueError("cap or share must be given")
-    most = min(limits)
+    most = min(x for x in (cap, None if share is None else max(1, int(share * n_rows))) if x is not None)
     cut = cutoffs(hist, contributor, F.lit(most).cast("long"))
-    binned = base.withColumn("__bin", quality_bin(F.col("__q"), bins))
+    binned = base.withColumn("__bin", quality_bin(F.col("__q"), bins, low, high))
     least_hot = max(1, n_rows // HOT)
     hot = F.broadcast(cut.filter(F.col("__total") > least_hot))  # fewer than HOT rows, since each has more than n_rows / HOT
     cold = cut.filter(F.col("__total") <= least_hot)
-    met = _match(binned, hot, contributor).unionByName(_match(binned, cold, contributor)).filter("__bin <= __cut")
-    below = met.filter("__bin < __cut").select(id_col)
-    border = met.filter("__bin = __cut")
-    rank = F.row_number().over(W.partitionBy(*contributor).orderBy(F.col("__q").desc_nulls_last(), *then))
-    kept = border.withColumn("__rk", rank).filter(F.col("__rk") <= most).filter("__rk <= __need").select(id_col)
-    return below.unionByName(border.select(id_col).join(kept, id_col, "left_anti"))
+    found = [_match(binned, part, contributor, "__cut", "__need").filter("__bin <= __cut") for part in (hot, cold)]
+    met = materialize(found[0].unionByName(found[1]), "met")
+    border, order = met.filter("__bin = __cut"), [F.col("__q").desc_nulls_last(), *then]
+    if most <= RANKED:
+        placed = border.withColumn("__rk", F.row_number().over(W.partitionBy(*contributor).orderBy(*order))).filter(F.col("__rk") <= most)
+    else:
+        placed = ranked(border, contributor, order)
+    kept = placed.filter("__rk <= __need").select(id_col)
+    return met.select(id_col).join(kept, id_col, "left_anti")

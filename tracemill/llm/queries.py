@@ -48,6 +48,24 @@ def p1_pieces(spark, d):
     return segment.pieces(segment.transcripts(spark, f"{d}/trajectory_messages.parquet"))
 
 
+@LLM.query(
+    "p1_rebuilt",
+    """WITH t AS (SELECT run_id, trajectory_id, saved_at, coalesce(list_aggregate(list_transform(flatten(list_transform(list_filter(messages, lambda x: x IS NOT NULL), lambda x: coalesce(x.content, [])))
+  , lambda y: CASE WHEN y.type = 'text' THEN coalesce(y.text, '') ELSE '' END), 'string_agg', ''), '') AS text FROM trajectory_messages),
+latest AS (SELECT *, rank() OVER (PARTITION BY run_id, trajectory_id ORDER BY saved_at DESC NULLS LAST) AS rk FROM t)
+SELECT run_id, trajectory_id, max(text) AS text, true AS within_limit, true AS overlaps FROM latest WHERE rk = 1 GROUP BY ALL""",
+)
+def p1_rebuilt(spark, d):
+    """Each transcript put together again from its pieces, and whether these keep the limit and the overlap."""
+    p = segment.pieces(segment.transcripts(spark, f"{d}/trajectory_messages.parquet"))
+    all_ = F.array_sort(F.collect_list(F.struct("piece_no", "start", "end", "text"))).alias("p")
+    rows = p.groupBy("run_id", "trajectory_id").agg(all_)
+    before = lambda x: F.get("p", x.getField("piece_no") - 1)
+    fresh = F.transform("p", lambda x: F.when(x.getField("piece_no") == 0, x.getField("text")).otherwise(F.substring(x.getField("text"), before(x).getField("end") - x.getField("start") + 1, segment.LIMIT)))
+    starts = lambda x: (x.getField("piece_no") == 0) | F.startswith(x.getField("text"), F.right(before(x).getField("text"), F.lit(segment.OVERLAP)))
+    return rows.select("run_id", "trajectory_id", F.array_join(fresh, "").alias("text"), F.forall("p", lambda x: F.length(x.getField("text")) <= segment.LIMIT).alias("within_limit"), F.forall("p", starts).alias("overlaps"))
+
+
 @LLM.query("p1_rollout_updates")
 def p1_rollout_updates(spark, d):
     """num_chunks and split_dir that tell the cut, for the current rows with a transcript."""

@@ -6,7 +6,8 @@ paragraphs, lines, sentences and words. Cohesion: the text is cut into sentence
 units; the similarity at a gap is the cosine between the term counts of the blocks
 of ``BLOCK`` units before and after it; a valley's depth is how far the similarity
 climbs to the nearest peak on either side. Terms are hashed to ``DIMS`` counters,
-so a transcript is one small matrix whose running sums give all blocks at once.
+and running sums over ``SLAB`` units at a time give the blocks, so memory doesn't grow with
+the transcript beyond its text.
 
 Each piece ends at the deepest valley between ``FILL`` and all of the size limit;
 a stronger boundary wins among equally deep ones, then the
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 
 from tracemill.session import ship_by_value, spread
 
-LIMIT, OVERLAP, FILL, BLOCK, DIMS = 6000, 200, 0.5, 4, 256
+LIMIT, OVERLAP, FILL, BLOCK, DIMS, SLAB = 6000, 200, 0.5, 4, 256, 1024
 
 #: image is left out of the schema, so the scan skips the image bytes
 MESSAGES = T.StructType(
@@ -94,6 +95,25 @@ def boundaries(text: str, message_ends: list[int]) -> tuple[np.ndarray, np.ndarr
     return at, np.array([found[int(p)] for p in at], dtype=np.int64)
 
 
+def _similarities(text: str, bounds: list[int], first: int, last: int, memo: Slots) -> np.ndarray:
+    """Cosines of the blocks beside the gaps first to last - 1; gap g lies before unit g. Counts only the units of these blocks."""
+    a, b = max(first - BLOCK, 0), min(last - 1 + BLOCK, len(bounds) - 1)
+    slots: list[int] = []
+    sizes = []
+    for start, end in zip(bounds[a:b], bounds[a + 1 : b + 1]):
+        words = _WORD.findall(text, start, end)
+        slots += map(memo.__getitem__, words)
+        sizes.append(len(words))
+    unit = np.repeat(np.arange(b - a, dtype=np.int64), sizes)
+    counts = np.bincount(unit * DIMS + np.array(slots, dtype=np.int64), minlength=(b - a) * DIMS).reshape(b - a, DIMS)
+    upto = np.vstack([np.zeros((1, DIMS), np.int64), np.cumsum(counts, axis=0)])
+    gap = np.arange(first, last) - a
+    left = (upto[gap] - upto[np.maximum(gap - BLOCK, 0)]).astype(np.float64)
+    right = (upto[np.minimum(gap + BLOCK, b - a)] - upto[gap]).astype(np.float64)
+    norm = np.sqrt((left * left).sum(1) * (right * right).sum(1))
+    return np.where(norm > 0, (left * right).sum(1) / np.maximum(norm, 1e-9), 0.0)
+
+
 def valley_depths(text: str, at: np.ndarray, memo: Slots) -> np.ndarray:
     """Depth of the cohesion valley at each boundary."""
     n = len(at) + 1
@@ -101,22 +121,8 @@ def valley_depths(text: str, at: np.ndarray, memo: Slots) -> np.ndarray:
         return np.zeros(0)
     low = text.lower()
     low = low if len(low) == len(text) else text
-    slots: list[int] = []
-    sizes = []
-    start = 0
-    for end in (*at.tolist(), len(text)):
-        words = _WORD.findall(low, start, end)
-        slots += map(memo.__getitem__, words)
-        sizes.append(len(words))
-        start = end
-    unit = np.repeat(np.arange(n, dtype=np.int64), sizes)
-    counts = np.bincount(unit * DIMS + np.array(slots, dtype=np.int64), minlength=n * DIMS).reshape(n, DIMS).astype(np.float32)
-    upto = np.vstack([np.zeros((1, DIMS), np.float32), np.cumsum(counts, axis=0)])
-    gap = np.arange(1, n)
-    left = upto[gap] - upto[np.maximum(gap - BLOCK, 0)]
-    right = upto[np.minimum(gap + BLOCK, n)] - upto[gap]
-    norm = np.sqrt((left * left).sum(1) * (right * right).sum(1))
-    sim = np.where(norm > 0, (left * right).sum(1) / np.maximum(norm, 1e-9), 0.0)
+    bounds = [0, *at.tolist(), len(text)]
+    sim = np.concatenate([_similarities(low, bounds, a, min(a + SLAB, n), memo) for a in range(1, n, SLAB)])
     climb = np.zeros_like(sim)
     for s, out in ((sim, slice(None)), (sim[::-1], slice(None, None, -1))):
         side = np.zeros_like(s)
