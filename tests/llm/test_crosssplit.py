@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tracemill.llm import crosssplit
 
 
@@ -32,15 +34,44 @@ def test_against_brute_force(spark):
     texts["k8"] = " ... "
     e = spark.createDataFrame(entries, "entry long, k string, is_a boolean")
     t = spark.createDataFrame(list(texts.items()), "k string, text string")
-    got = {(r.a, r.b) for r in crosssplit.cross_split(e, t).collect()}
-    assert got == brute(entries, texts)
-    assert crosssplit.cross_split(e.limit(0), t).count() == 0
-    assert crosssplit.cross_split(e, t.limit(0)).count() == len({(a, b) for a, b in brute(entries, {})})
+    pairs = lambda *x: {(r.a, r.b) for r in crosssplit.entry_pairs(*crosssplit.cross_split(*x)).collect()}
+    assert pairs(e, t) == brute(entries, texts)
+    # with every word of two records hot and hardly a chunk to join, the other ways find the same
+    assert pairs(e, t, 0.7, 1) == brute(entries, texts)
+    assert pairs(e.limit(0), t) == set()
+    assert pairs(e, t.limit(0)) == brute(entries, {})
+
+
+def test_chunks_find_most_pairs_alone(spark):
+    """Recall of the chunk join against brute force, on texts of which up to a sixth of the words are changed."""
+    rng = random.Random(11)
+    texts, entries = {}, []
+    for i in range(150):
+        base = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(8, 40))]
+        for j, a in enumerate((True, False)):
+            words = list(base)
+            for _ in range(rng.randint(0, len(words) // 6) if j else 0):
+                words[rng.randrange(len(words))] = f"n{rng.randint(0, 3000)}"
+            texts[f"k{i}-{j}"] = " ".join(words)
+            entries.append((2 * i + j, f"k{i}-{j}", a))
+    e = spark.createDataFrame(entries, "entry long, k string, is_a boolean")
+    t = spark.createDataFrame(list(texts.items()), "k string, text string")
+    members, links = crosssplit.cross_split(e, t)
+    by = {r.by_chunks: r["count"] for r in links.groupBy("by_chunks").count().collect()}
+    assert {(r.a, r.b) for r in crosssplit.entry_pairs(members, links).collect()} == brute(entries, texts)
+    assert by[True] >= 0.9 * sum(by.values())
+
+
+def test_hot_class_isn_t_expanded(spark):
+    e = spark.range(3000).select(F.col("id").alias("entry"), F.concat(F.lit("k"), F.col("id")).alias("k"), (F.col("id") % 2 == 0).alias("is_a"))
+    t = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit("one and the same text").alias("text"))
+    members, links = crosssplit.cross_split(e, t)
+    assert links.count() == 1 and members.count() == 3000 and crosssplit.entry_pairs(members, links).count() == 1500 * 1500
 
 
 def test_equal_runs_are_cut_alike(spark):
     df = spark.sql("SELECT split('r1 r2 r3 r4 a b c d e f g h i j', ' ') x, split('r1 r2 r3 q4 a b c d e f g h i j', ' ') y")
-    cut = lambda c: crosssplit.with_chunks(df, c, 0.95, 1).first().chunks
+    cut = lambda c: crosssplit.with_chunks(df, c).first().chunks
     x, y = cut("x"), cut("y")
     assert sum(c["len"] for c in x) == 14 and [c.digest for c in x][-2:] == [c.digest for c in y][-2:]
 

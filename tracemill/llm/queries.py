@@ -129,15 +129,46 @@ pairs AS (SELECT a.entry_id AS t, b.entry_id AS v, b.manifest, b.domain FROM kp
 
 @LLM.query("p4_found", _P4 + "SELECT DISTINCT least(t, v) AS entry_a, greatest(t, v) AS entry_b FROM pairs")
 def p4_found(spark, d):
-    return _overlaps(spark, d).select(F.least("a", "b").alias("entry_a"), F.greatest("a", "b").alias("entry_b"))
+    pairs = crosssplit.entry_pairs(*_overlaps(spark, d))
+    return pairs.select(F.least("a", "b").alias("entry_a"), F.greatest("a", "b").alias("entry_b"))
 
 
 @LLM.query("p4_report", _P4 + "SELECT manifest, domain, count(DISTINCT (t, v)) AS n_pairs, count(DISTINCT v) AS n_eval_entries FROM pairs GROUP BY ALL")
 def p4_report(spark, d):
-    """Overlaps per evaluation manifest and domain."""
-    m = table(spark, d, "task_manifest", "entry_id", "manifest", "domain").withColumnRenamed("entry_id", "b").distinct()
-    found = _overlaps(spark, d).groupBy("b").agg(F.count("*").alias("n"))
-    return found.join(m.filter("manifest <> 'training_set'"), "b").groupBy("manifest", "domain").agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_eval_entries"))
+    """Overlaps per evaluation manifest and domain, from counts per class."""
+    members, links = _overlaps(spark, d)
+    training = members.filter("is_a").groupBy(F.col("class").alias("class_a")).agg(F.count("*").alias("n"))
+    linked = links.join(training, "class_a").groupBy(F.col("class_b").alias("class")).agg(F.sum("n").alias("n"))
+    m = table(spark, d, "task_manifest", "entry_id", "manifest", "domain").filter("manifest <> 'training_set'").withColumnRenamed("entry_id", "entry").distinct()
+    found = members.filter("not is_a").select("entry", "class").join(linked, "class")
+    return found.join(m, "entry").groupBy("manifest", "domain").agg(F.sum("n").alias("n_pairs"), F.count("*").alias("n_eval_entries"))
+
+
+@LLM.query(
+    "p4_links",
+    _P4
+    + """, c AS (SELECT k, ws, md5(array_to_string(list_sort(ws), ' ')) AS class FROM w WHERE len(ws) > 0),
+mem AS (SELECT DISTINCT e.entry_id, e.manifest = 'training_set' AS is_a, coalesce(c.class, 'key ' || e.k) AS class, c.ws FROM e LEFT JOIN c USING (k)),
+cl AS (SELECT class, any_value(ws) AS ws, count(*) FILTER (is_a) AS n_a, count(*) FILTER (NOT is_a) AS n_b FROM mem GROUP BY class),
+near AS (SELECT md5(array_to_string(list_sort(wa.ws), ' ')) AS class_a, md5(array_to_string(list_sort(wb.ws), ' ')) AS class_b FROM (SELECT DISTINCT ka, kb FROM kp) JOIN w wa ON wa.k = ka JOIN w wb ON wb.k = kb WHERE len(wa.ws) > 0
+  UNION SELECT class, class FROM cl WHERE n_a > 0 AND n_b > 0)
+SELECT class_a, class_b, a.n_a AS n_training, b.n_b AS n_eval,
+round(CASE WHEN class_a = class_b THEN 1.0 ELSE len(list_intersect(a.ws, b.ws)) / (len(a.ws) + len(b.ws) - len(list_intersect(a.ws, b.ws))) END, 9) AS jaccard
+FROM near JOIN cl a ON a.class = class_a JOIN cl b ON b.class = class_b""",
+)
+def p4_links(spark, d):
+    """Linked classes of equal wording with their similarity and how many entries of either side they hold."""
+    members, links = _overlaps(spark, d)
+    n = members.groupBy("class").agg(F.count_if(F.col("is_a")).alias("n_training"), F.count_if(~F.col("is_a")).alias("n_eval"))
+    a, b = n.select(F.col("class").alias("class_a"), "n_training"), n.select(F.col("class").alias("class_b"), "n_eval")
+    return links.join(a, "class_a").join(b, "class_b").select("class_a", "class_b", "n_training", "n_eval", F.round("jaccard", 9).alias("jaccard"))
+
+
+@LLM.query("p4_ways")
+def p4_ways(spark, d):
+    """Links of different classes by the way that found them, with their mean overlap of shared chunks."""
+    _, links = _overlaps(spark, d)
+    return links.filter("class_a <> class_b").groupBy("by_chunks").agg(F.count("*").alias("n_links"), F.avg("overlap_a").alias("mean_overlap_a"), F.avg("overlap_b").alias("mean_overlap_b"))
 
 
 # 6: token ids -----------------------------------------------------------------------
