@@ -2,7 +2,7 @@
 
 Plain functions take and return Python values; ``*_udf`` are the vectorised columns.
 Null and unparsable inputs score 0 and never raise. Nothing is evaluated: symbolic
-equality is used only where sympy is installed, through its parser on a checked text.
+equality compares quotients of polynomials, read by a small parser.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -103,6 +104,7 @@ def math_score(solution: str | None, truth: str | None) -> float:
         return 0.0
 
 
+# Patterns of marked-up text and what stays of them.
 _FINAL_LATEX = [
     (r"(.*?)(\$)(.*?)(\$)(.*)", r"$\3$"), (r"(\\text\{)(.*?)(\})", r"\2"), (r"(\\textbf\{)(.*?)(\})", r"\2"), (r"(\\overline\{)(.*?)(\})", r"\2"), (r"(\\boxed\{)(.*)(\})", r"\2"),
     (r"(frac)([^{])(.)", r"frac{\2}{\3}"), (r"(sqrt)([^{])", r"sqrt{\2}"),
@@ -175,7 +177,7 @@ def close(a: float, b: float, percent: bool = True, tolerance: float = 1e-4) ->
 
 
 def math_equal(prediction: str | None, reference: str | None, percent: bool = True, tolerance: float = 1e-4) -> bool:
-    """Text, number, then element-wise (intervals, tuples and matrices) equality, then sympy if it is there."""
+    """Text, number, then element-wise (intervals, tuples and matrices) equality, then that of algebra."""
     if prediction is None or reference is None:
         return False
     p, r = _plain(str(prediction))[:1000], _plain(str(reference))
@@ -201,17 +203,124 @@ def math_equal(prediction: str | None, reference: str | None, percent: bool = Tr
     return symbolic(p, r)
 
 
+#: greatest exponent and most terms of a polynomial that :func:`symbolic` expands
+DEGREE, TERMS = 64, 2000
+
+
+class _Algebra:
+    """Reads plain algebra as a quotient of polynomials: dicts from exponents per letter to a fraction."""
+
+    def __init__(self, text: str):
+        self.parts = re.findall(r"\d+\.\d*|\.\d+|\d+|[a-z]|\*\*|[-+*/^()]", text)
+        if "".join(self.parts) != re.sub(r"\s", "", text):
+            raise ValueError("not plain algebra")
+        self.at = 0
+
+    def peek(self) -> str:
+        return self.parts[self.at] if self.at < len(self.parts) else ""
+
+    def take(self) -> str:
+        self.at += 1
+        return self.parts[self.at - 1]
+
+    def whole(self):
+        value = self.sum()
+        if self.peek():
+            raise ValueError(f"unread {self.peek()}")
+        return value
+
+    def sum(self):
+        value = self.product()
+        while self.peek() in ("+", "-"):
+            sign = Fraction(1 if self.take() == "+" else -1)
+            n, d = self.product()
+            value = _add(_times(value[0], d), _times(_times(n, value[1]), {(): sign})), _times(value[1], d)
+        return value
+
+    def product(self):
+        value = self.factor()
+        while True:
+            p = self.peek()
+            if p in ("*", "/"):
+                self.take()
+                n, d = self.factor()
+            elif p and (p[0].isalnum() or p in "(."):  # 2x, (a)(b)
+                p, (n, d) = "*", self.factor()
+            else:
+                return value
+            value = (_times(value[0], n), _times(value[1], d)) if p == "*" else (_times(value[0], d), _times(value[1], n))
+            if not value[1]:
+                raise ValueError("division by zero")
+
+    def factor(self):
+        if self.peek() in ("-", "+"):
+            sign = Fraction(-1 if self.take() == "-" else 1)
+            n, d = self.factor()
+            return _times(n, {(): sign}), d
+        p = self.take() if self.peek() else ")"
+        if p == "(":
+            value = self.sum()
+            if not self.peek() or self.take() != ")":
+                raise ValueError("open bracket")
+        elif p[0].isdigit() or p[0] == ".":
+            value = {(): Fraction(p)} if Fraction(p) else {}, {(): Fraction(1)}
+        elif p.isalpha():
+            value = {((p, 1),): Fraction(1)}, {(): Fraction(1)}
+        else:
+            raise ValueError(f"unexpected {p}")
+        if self.peek() in ("^", "**"):
+            self.take()
+            n, d = self.factor()
+            e = n.get((), Fraction(0)) / d[()] if set(n) <= {()} and set(d) == {()} else None
+            if e is None or e.denominator != 1 or abs(e) > DEGREE:
+                raise ValueError("exponent")
+            if e < 0:
+                value, e = (value[1], value[0]), -e
+                if not value[1]:
+                    raise ValueError("division by zero")
+            base, value = value, ({(): Fraction(1)}, {(): Fraction(1)})
+            for _ in range(int(e)):
+                value = _times(value[0], base[0]), _times(value[1], base[1])
+        return value
+
+
+def _times(a: dict, b: dict) -> dict:
+    out: dict = {}
+    for m, x in a.items():
+        for k, y in b.items():
+            powers = dict(m)
+            for letter, e in k:
+                powers[letter] = powers.get(letter, 0) + e
+            key = tuple(sorted(powers.items()))
+            out[key] = out.get(key, 0) + x * y
+        if len(out) > TERMS:
+            raise ValueError("too many terms")
+    return {m: x for m, x in out.items() if x and all(e <= DEGREE for _, e in m) or _too_high(m)}
+
+
+def _too_high(m) -> bool:
+    if any(e > DEGREE for _, e in m):
+        raise ValueError("degree")
+    return False
+
+
+def _add(a: dict, b: dict) -> dict:
+    out = dict(a)
+    for m, x in b.items():
+        out[m] = out.get(m, 0) + x
+    return {m: x for m, x in out.items() if x}
+
+
 def symbolic(a: str, b: str) -> bool:
-    """Whether sympy simplifies the difference to 0; False where it isn't installed or the text isn't plain algebra."""
-    if not all(re.fullmatch(r"[0-9a-z+\-*/^(). ]{1,100}", x) and len(set(re.findall(r"[a-z]", x))) <= 2 for x in (a, b)):
-        return False
-    try:
-        from sympy import simplify
-        from sympy.parsing.sympy_parser import implicit_multiplication_application, parse_expr, standard_transformations
+    """Whether two quotients of polynomials in any letters are equal, by exact fractions.
 
-        read = lambda t: parse_expr(t.replace("^", "**"), transformations=(*standard_transformations, implicit_multiplication_application))
-        return simplify(read(a) - read(b)) == 0
-    except Exception:  # noqa: BLE001
+    Nothing is evaluated: numbers, letters, brackets, signs and whole powers are read, other text
+    is equal to nothing, and so are powers above DEGREE and products of more than TERMS terms.
+    """
+    try:
+        (n, d), (m, e) = _Algebra(a.replace(" ", "")).whole(), _Algebra(b.replace(" ", "")).whole()
+        return _times(n, e) == _times(m, d)
+    except (ValueError, ZeroDivisionError, RecursionError, OverflowError):
         return False
 
 

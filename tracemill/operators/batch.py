@@ -12,6 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tracemill.session import materialize
 
@@ -40,6 +41,34 @@ def number_rows(df: DataFrame, *keys: str | Column, name: str = ROW) -> DataFram
     return marked.join(F.broadcast(off), "__pid").withColumn(name, F.col("__at") + F.col("__off")).drop("__pid", "__at", "__off")
 
 
+def running_total(df: DataFrame, value: str, group: Sequence[str], *order: str, name: str = "total") -> DataFrame:
+    """Adds the running sum of value (null counts as 0) within each group, without bringing a group into one task.
+
+    Rows are range-partitioned by (group, order); a row's total is the running sum of its partition, and what
+    the group has in earlier partitions, of which there is at most one group per partition border.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (*group, *order)]
+    mono = F.shiftright(F.monotonically_increasing_id(), 33)
+    placed = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__pid", mono), "totals")
+    own = F.coalesce(F.col(value), F.lit(0))
+    g = F.struct(*group)
+    ends = placed.groupBy("__pid").agg(F.min(g).alias("a"), F.max(g).alias("z"))
+    last = ends.select("__pid", F.col("z").alias("g"))
+    sums = placed.withColumn("g", g).join(F.broadcast(last), ["__pid", "g"]).groupBy("__pid", "g").agg(F.sum(own).alias("s"))
+    first_of = {r["__pid"]: r.a for r in ends.collect()}  # two values per partition
+    carried, before = [], None
+    for r in sorted(sums.collect(), key=lambda r: r["__pid"]):
+        pid = r["__pid"]
+        into = before[1] if before is not None and before[0] == first_of[pid] else 0
+        carried.append((pid, into))
+        before = (r.g, r.s + (into if r.g == first_of[pid] else 0))
+    off = df.sparkSession.createDataFrame(carried, "__pid long, __in long") if carried else df.sparkSession.createDataFrame([], "__pid long, __in long")
+    w = W.partitionBy("__pid", *group).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(W.unboundedPreceding, 0)
+    joined = placed.join(F.broadcast(off), "__pid", "left").join(F.broadcast(ends.select("__pid", "a")), "__pid")
+    into = F.when(g.eqNullSafe(F.col("a")), F.coalesce("__in", F.lit(0))).otherwise(0)
+    return joined.withColumn(name, (F.sum(own).over(w) + into).cast("long")).drop("__pid", "__in", "a")
+
+
 def first_rows(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
     """The first n rows by keys. Unlike a sorted limit, n rows never come together in one task."""
     return number_rows(df, *keys).filter(F.col(ROW) < n).drop(ROW)
@@ -103,15 +132,16 @@ def reorder(df: DataFrame, permutation: Sequence[int]) -> DataFrame:
 
 
 def union(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Columns of both; shared ones must be equal (null equals null, NaN equals NaN), else reading raises."""
+    """Columns of both; shared ones must be equal (null equals null, NaN equals NaN), else BatchError is raised at once."""
     shared = [c for c in a.columns if c in b.columns and c != ROW]
     right = b.withColumnsRenamed({c: f"_b_{c}" for c in shared})
     both = a.join(right, ROW)
     same = F.lit(True)
     for c in shared:
         same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    checked = F.when(same, F.col(ROW)).otherwise(F.raise_error(F.lit("shared columns differ")))
-    return both.withColumn(ROW, checked.cast("long")).drop(*[f"_b_{c}" for c in shared]) if shared else both
+    if shared and both.filter(~same).select(ROW).first() is not None:
+        raise BatchError("shared columns differ")
+    return both.drop(*[f"_b_{c}" for c in shared])
 
 
 def union_meta(a: Mapping, b: Mapping) -> dict:
@@ -123,10 +153,17 @@ def union_meta(a: Mapping, b: Mapping) -> dict:
 
 
 def concat(parts: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all parts, one after the other (counts each part but the last)."""
+    """Rows of all parts, one after the other (one job counts the parts)."""
+    sizes = {}
+    if len(parts) > 1:
+        each = [p.groupBy().agg(F.lit(i).alias("i"), F.count("*").alias("n")) for i, p in enumerate(parts[:-1])]
+        counted = each[0]
+        for c in each[1:]:
+            counted = counted.unionByName(c)
+        sizes = {r.i: r.n for r in counted.collect()}
     out, offset = parts[0], 0
-    for prev, df in zip(parts, parts[1:]):
-        offset += prev.count()
+    for i, df in enumerate(parts[1:]):
+        offset += sizes[i]
         out = out.unionByName(df.withColumn(ROW, F.col(ROW) + offset))
     return out
 
@@ -217,10 +254,17 @@ def minibatches(df: DataFrame, size: int, epochs: int = 1, seed: int | None = No
     each = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     if seed is None:
         return each.withColumn("batch", F.floor(F.col(ROW) / size))
-    mixed = number_rows(each.withColumnRenamed(ROW, "_src").withColumn("_h", F.xxhash64(F.lit(seed), "epoch", "_src")), "epoch", "_h", "_src")
+    mixed = number_rows(each.withColumnRenamed(ROW, "_src").withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "epoch", "_src"))), "epoch", "_h", "_src")
     return mixed.withColumn("batch", F.floor(F.pmod(F.col(ROW), F.lit(n)) / size)).drop("_h").withColumnRenamed("_src", "_source_row")
 
 
+def split_by_share(df: DataFrame, share: float, seed: int, *keys: str, name: str = "part", first: str = "train", rest: str = "test") -> DataFrame:
+    """Adds ``name``: exactly floor(n * share) rows, those first by a hash of seed and keys, are ``first``, the others ``rest``."""
+    placed = number_rows(df.withColumn("__h", F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))), "__h", *keys, name="__no")
+    n = placed.count()
+    return placed.withColumn(name, F.when(F.col("__no") < int(n * share), first).otherwise(rest)).drop("__h", "__no")
+
+
 def iterate(df: DataFrame, size: int) -> Iterator[DataFrame]:
     for k in range(-(-df.count() // size)):
         yield slice_rows(df, k * size, (k + 1) * size)

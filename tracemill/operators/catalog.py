@@ -53,14 +53,13 @@ def upsert_with_events(current: DataFrame, changes: DataFrame, key: Sequence[str
 
 
 def insert(current: DataFrame, rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Appends rows; a key that exists already, or twice in rows, raises when read."""
-    known = current.select(*key).distinct().withColumn("_k", F.lit(1))
-    twice = F.count("*").over(W.partitionBy(*key)) > 1
-    checked = rows.join(known, list(key), "left").withColumn("_bad", twice | F.col("_k").isNotNull())
-    first = rows.columns[0]
-    kind = rows.schema[first].dataType
-    ok = checked.withColumn(first, F.when(F.col("_bad"), F.raise_error(F.lit("duplicate key")).cast(kind)).otherwise(F.col(first)))
-    return current.unionByName(ok.select(*current.columns))
+    """Appends rows; a key that exists already, or twice in rows, raises ValueError at once (one job over the keys)."""
+    counted = rows.groupBy(*key).agg(F.count("*").alias("_n"))
+    known = counted.join(current.select(*key), list(key), "left_semi")
+    bad = counted.filter("_n > 1").select(*key).unionByName(known.select(*key)).first()
+    if bad is not None:
+        raise ValueError(f"duplicate key {bad.asDict()}")
+    return current.unionByName(rows.select(*current.columns))
 
 
 def add_usage(current: DataFrame, uses: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

@@ -56,7 +56,7 @@ def replace_all_zero(group: DataFrame, pool: DataFrame, positive: Column, task:
 
 def trim_random(df: DataFrame, limit: int, seed: int, positive: Column, task: str = "task_id") -> DataFrame:
     """At most limit rows per task by hash; of larger groups one positive and one other row stay, if there are any."""
-    h = F.xxhash64(F.lit(seed), "id")
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")))
     # a kept row is among the first limit of its kind, so at most 2 * limit rows per task are left here
     few = df.withColumns({"_pos": positive, "_h": h}).withColumn("_c", F.row_number().over(W.partitionBy(task, "_pos").orderBy("_h", "id"))).filter(F.col("_c") <= limit)
     rank = F.row_number().over(W.partitionBy(task).orderBy((F.col("_c") > 1).cast("int"), "_h", "id"))
@@ -110,6 +110,17 @@ def training_groups(df: DataFrame, n: int = 8, task: str = "task_id") -> DataFra
     return swapped.withColumn("group_at", F.min("create_at").over(w))
 
 
+def newest_full_groups(df: DataFrame, n: int, task: str = "task_id") -> DataFrame:
+    """The newest n rows of each task that has at least n.
+
+    A count beside the rank would keep Spark from limiting a task's rows before the shuffle, so
+    tasks are counted by those n rows.
+    """
+    top = df.withColumn("_rk", F.row_number().over(_newest(task))).filter(F.col("_rk") <= n)
+    full = top.filter(F.col("_rk") == n).select(F.col(task).alias("_full"))
+    return top.join(full, top[task].eqNullSafe(F.col("_full")), "left_semi").drop("_rk")
+
+
 def rotate(groups: DataFrame, last_task: str | None, task: str = "task_id") -> DataFrame:
     """Groups by ``group_at`` in a ring that starts after last_task: task, place (from 0)."""
     ranked = number_rows(groups.select(task, "group_at").distinct(), F.col("group_at").asc_nulls_last(), F.col(task))
@@ -126,7 +137,7 @@ def proportional(df: DataFrame, most: int = 8, seed: int = 0, task: str = "task_
     """
     kind = F.when(F.col("reward") > 0.8, "correct").when(F.col("reward") == 0, "wrong")
     per = df.groupBy(task).agg(F.count("*").alias("_n"), F.count_if(F.col("reward") > 0.8).alias("_c")).withColumn("_p", F.col("_c") / F.col("_n"))
-    rank = F.row_number().over(W.partitionBy(task, "_k").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
+    rank = F.row_number().over(W.partitionBy(task, "_k").orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"))), "id"))
     few = df.withColumn("_k", kind).filter("_k is not null").withColumn("_rk", rank).filter(F.col("_rk") <= most)
     quota = F.when(F.col("_c") == 0, F.lit(most)).when((F.col("_p") > 0.875) | (F.col("_p") < 0.125), F.lit(0))
     correct = F.least(F.ceil(F.col("_p") * most), F.col("_c"))

@@ -6,6 +6,7 @@ on. Per-token terms are array expressions in the row; a loss is one aggregation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -113,6 +114,37 @@ def _first(long: DataFrame, n: int, key: Column) -> DataFrame:
     return first_rows(long.withColumnRenamed("_row", "_r"), n, key, F.col("_r"), F.col("pos")).withColumnRenamed("_r", "_row")
 
 
+def _greatest(long: DataFrame, n: int, key: str, bins: int = 4096) -> DataFrame:
+    """The n tokens of the greatest key, then of the first rows and places.
+
+    A histogram, narrowed three times to the bin where the n-th token lies, gives two thresholds: tokens above
+    the upper one are taken as they are, and only those between are sorted.
+    """
+    low, high = long.agg(F.min(key), F.max(key)).first()
+    if low is None or not (math.isfinite(low) and math.isfinite(high)):
+        return _first(long, n, F.col(key).desc())
+    upper, above = high, 0  # tokens with a key greater than upper: all taken
+    for _ in range(3):
+        if not low < upper:
+            break
+        width = (upper - low) / bins
+        # a key falls into the bin of its distance from the top
+        at = F.least(F.floor((F.lit(upper) - F.col(key)) / width), F.lit(bins - 1))
+        inside = long.filter((F.col(key) <= upper) & (F.col(key) >= low))
+        counts = {r.b: (r.n, r.x, r.y) for r in inside.groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.min(key).alias("x"), F.max(key).alias("y")).collect()}
+        for b in sorted(counts):
+            c, x, y = counts[b]
+            if above + c >= n:
+                low, upper = x, y
+                break
+            above += c
+        else:
+            return long
+    sure = long.filter(F.col(key) > upper)
+    between = _first(long.filter((F.col(key) <= upper) & (F.col(key) >= low)), n - above, F.col(key).desc())
+    return sure.unionByName(between.select(*long.columns))
+
+
 @register("clip_cov")
 def clip_cov(df: DataFrame, clip: float = 0.2, ratio: float = 0.0002, lower: float = 1.0, upper: float = 5.0, seed: int = 0) -> DataFrame:
     """token-mean loss without the clip_num tokens, picked by hash, whose covariance lies in (lower, upper)."""
@@ -121,7 +153,7 @@ def clip_cov(df: DataFrame, clip: float = 0.2, ratio: float = 0.0002, lower: flo
     long = long.withColumns({"l1": l1, "l2": l2})
     n = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1))).first()[0]
     able = long.filter((F.col("cov") > lower) & (F.col("cov") < upper) & (F.col("l2") <= F.col("l1")))
-    gone = _first(able.withColumn("_h", F.xxhash64(F.lit(seed), "_row", "pos")), n, F.col("_h")).select("_row", "pos", F.lit(0.0).alias("keep"))
+    gone = _first(able.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), "_row", "pos"))), n, F.col("_h")).select("_row", "pos", F.lit(0.0).alias("keep"))
     kept = long.join(gone, ["_row", "pos"], "left").withColumn("keep", F.coalesce("keep", F.lit(1.0)))
     return kept.agg((F.sum(F.greatest("l1", "l2") * F.col("keep")) / F.count("*")).alias("pg_loss"), F.avg((F.col("keep") == 0).cast("int")).alias("pg_clipfrac"), F.avg(-F.col("d")).alias("ppo_kl"))
 
@@ -131,7 +163,7 @@ def kl_cov(df: DataFrame, ratio: float = 0.0002, coef: float = 1.0) -> DataFrame
     """token-mean loss in which the max(1, n * ratio) tokens of greatest covariance also pay coef * abs(kl)."""
     long = _covariance(df)
     n = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1))).first()[0]
-    top = _first(long, n, F.col("cov").desc()).select("_row", "pos", F.lit(coef).alias("c"))
+    top = _greatest(long, n, "cov").select("_row", "pos", F.lit(coef).alias("c"))
     each = long.join(top, ["_row", "pos"], "left")
     loss = -F.col("a") * F.exp("d") + F.coalesce("c", F.lit(0.0)) * F.abs("d")
     return each.agg((F.sum(loss) / F.count("*")).alias("pg_loss"), F.avg(F.abs("d")).alias("ppo_kl"))

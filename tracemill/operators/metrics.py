@@ -67,18 +67,20 @@ BLOCK, KEPT_PLACES = 1_000_000, 200_000
 @functools.lru_cache(maxsize=256)
 def draw_places(n: int, size: int, draws: int, seed: int) -> np.ndarray:
     """Places of each draw with replacement, by the legacy generator; the same for all lists of n values."""
-    rng = np.random.RandomState(seed)
-    return np.stack([rng.choice(n, size, replace=True) for _ in range(draws)])
+    return np.random.RandomState(seed).randint(0, n, size=(draws, size))
 
 
 def place_blocks(n: int, size: int, draws: int, seed: int) -> Iterator[np.ndarray]:
-    """The rows of :func:`draw_places`, about BLOCK places at a time, so that memory grows with n alone."""
+    """The rows of :func:`draw_places`, about BLOCK places at a time, so that memory grows with n alone.
+
+    Drawing many rows at once gives the places that one call of ``choice`` after the other does.
+    """
     if size * draws <= KEPT_PLACES:
         yield draw_places(n, size, draws, seed)
         return
     rng, step = np.random.RandomState(seed), max(BLOCK // size, 1)
     for a in range(0, draws, step):
-        yield np.stack([rng.choice(n, size, replace=True) for _ in range(min(step, draws - a))])
+        yield rng.randint(0, n, size=(min(step, draws - a), size))
 
 
 def bootstrap(values: Sequence, size: int, reducers: Sequence[Callable], draws: int = 1000, seed: int = 42) -> list[tuple[float, float]]:

@@ -71,6 +71,10 @@ _reg(
     lambda x: b.upsample_with_padding(x.withColumnsRenamed({"o_orderstatus": "uid", "o_totalprice": "reward"}), 768)[0].agg(F.count_if(F.col("uid") == "padding").alias("n_padding"), F.round(F.sum("reward"), 4).alias("reward")),
     "o_orderstatus", "o_totalprice",
 )
-CORE.query("batch_shuffled_minibatches")(lambda s, d: b.minibatches(_b(s, d), 100, 2, seed=7))
+_reg(
+    "batch_shuffled_minibatches",
+    "SELECT CAST(row_number() OVER (ORDER BY e.i, md5('7|' || e.i || '|' || _row), _row) - 1 AS BIGINT) AS _row, _row AS _source_row, o_orderkey, CAST(e.i AS INTEGER) AS epoch, CAST(floor((row_number() OVER (PARTITION BY e.i ORDER BY md5('7|' || e.i || '|' || _row), _row) - 1) / 100) AS BIGINT) AS batch FROM o, (VALUES (0), (1)) e(i)",
+    lambda x: b.minibatches(x, 100, 2, seed=7),
+)
 _reg("batch_mod_partition", "SELECT _row, _row % 5 AS worker FROM o", lambda x: x.select("_row", (F.col("_row") % 5).alias("worker")))
 _reg("batch_head_tail_split", "SELECT _row, CASE WHEN _row < floor(n * 0.9) THEN 'train' ELSE 'test' END AS part FROM o, n", lambda x: x.select("_row", F.when(F.col("_row") < int(x.count() * 0.9), "train").otherwise("test").alias("part")))

@@ -67,7 +67,7 @@ SELECT c.run_id, c.trajectory_id, CAST(coalesce(c.used, 0) + coalesce(u.n, 0) AS
 )(lambda s, d: catalog.add_usage(cat(s, d), table(s, d, "rollout_run", *_K, "used").filter("used > 1")).select(*_K, "used"))
 CORE.query("delete_run", f"{_C} SELECT id FROM cat WHERE run_id <> {_BIG_RUN}")(lambda s, d: (lambda c: c.join(F.broadcast(_big_run(c)), "run_id", "left_anti").select("id"))(cat(s, d)))
 CORE.query("usage_running_total", f"{_C} SELECT id, CAST(sum(coalesce(used, 0)) OVER (PARTITION BY run_id, task_id ORDER BY id) AS BIGINT) AS total FROM cat")(
-    lambda s, d: cat(s, d).select("id", F.sum(F.coalesce("used", F.lit(0))).over(W.partitionBy("run_id", "task_id").orderBy("id")).alias("total"))
+    lambda s, d: batch.running_total(cat(s, d).select("id", "run_id", "task_id", "used"), "used", ["run_id", "task_id"], "id").select("id", "total")
 )
 CORE.query("row_md5", "SELECT DISTINCT id, md5(coalesce(CAST(id AS VARCHAR), '') || '|' || coalesce(run_id, '') || '|' || coalesce(task_id, '') || '|' || coalesce(CAST(used AS VARCHAR), '') || '|' || coalesce(model_version, '')) AS row_hash FROM rollout_run")(
     lambda s, d: _row_hash(table(s, d, "rollout_run", "id", "run_id", "task_id", "used", "model_version")).distinct()
@@ -145,7 +145,12 @@ CORE.query(
         lambda c: curation.trainable(c, catalog.newest_versions(c, 2).select("model_version"), per_task=4).groupBy("task_id").agg(F.count("*").alias("n"), (F.max("reward") > 0).alias("has_positive"))
     )(cat(s, d))
 )
-CORE.query("trainable_rollouts")(lambda s, d: (lambda c: curation.trainable(c, catalog.newest_versions(c, 2).select("model_version"), per_task=4).select("id", "task_id"))(cat(s, d)))
+CORE.query(
+    "trainable_rollouts",
+    f"""{_FRESH}, {_swap('el', f'(SELECT * FROM cat WHERE {_SCORED})', 'reward > 0')},
+tr AS (SELECT *, md5('42|' || id) AS h, row_number() OVER (PARTITION BY task_id, reward > 0 ORDER BY md5('42|' || id), id) AS c FROM sw)
+SELECT id, task_id FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY CASE WHEN c > 1 THEN 1 ELSE 0 END, h, id) AS rk FROM tr WHERE c <= 4) WHERE rk <= 4""",
+)(lambda s, d: (lambda c: curation.trainable(c, catalog.newest_versions(c, 2).select("model_version"), per_task=4).select("id", "task_id"))(cat(s, d)))
 CORE.query(
     "monitor_trainable",
     f"""{_V}, fresh AS (SELECT c.* FROM cat c JOIN vr ON c.run_id = vr.run_id AND c.model_version = vr.model_version AND vr.rank <= 2 WHERE {_SCORED}),
@@ -162,7 +167,7 @@ CORE.query("group_order", f"{_GROUPS}, o AS (SELECT DISTINCT task_id, group_at F
     lambda s, d: curation.rotate(curation.training_groups(cat(s, d), 4), None)
 )
 CORE.query("latest_n_per_task", f"{_C} SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY task_id ORDER BY {_NEW}) AS k, count(*) OVER (PARTITION BY task_id) AS n FROM cat) WHERE k <= 8 AND n >= 8")(
-    lambda s, d: cat(s, d).withColumns({"k": F.row_number().over(W.partitionBy("task_id").orderBy(F.col("create_at").desc_nulls_last(), F.col("id").desc())), "n": F.count("*").over(W.partitionBy("task_id"))}).filter("k <= 8 and n >= 8").select("id")
+    lambda s, d: curation.newest_full_groups(cat(s, d), 8).select("id")
 )
 CORE.query(
     "proportional_sizes",

@@ -187,7 +187,13 @@ CORE.query(
     f"""{_T}, z AS (SELECT *, (a - avg(a) OVER ()) * (lp - avg(lp) OVER ()) AS cov FROM t WHERE m > 0), k AS (SELECT *, row_number() OVER (ORDER BY cov DESC, _row, pos) AS rk, count(*) OVER () AS n FROM z)
 SELECT round(avg(-a * exp(lp - op) + CASE WHEN rk <= greatest(1, CAST(floor(n * 0.01) AS BIGINT)) THEN abs(lp - op) ELSE 0 END), 6) + 0.0 AS pg_loss, round(avg(abs(lp - op)), 6) + 0.0 AS ppo_kl FROM k""",
 )(lambda s, d: _rounded(loss.kl_cov(token_batch(s, d), ratio=0.01)))
-CORE.query("loss_clip_cov")(lambda s, d: _rounded(loss.clip_cov(token_batch(s, d), ratio=0.01, lower=0.0001, upper=5.0)))
+CORE.query(
+    "loss_clip_cov",
+    f"""{_T}, z AS (SELECT *, (a - avg(a) OVER ()) * (lp - avg(lp) OVER ()) AS cov, -a * exp(lp - op) AS l1, -a * least(greatest(exp(lp - op), 0.8), 1.2) AS l2, count(*) OVER () AS n FROM t WHERE m > 0),
+k AS (SELECT _row, pos, row_number() OVER (ORDER BY md5('0|' || _row || '|' || pos), _row, pos) AS rk FROM z WHERE cov > 0.0001 AND cov < 5.0 AND l2 <= l1),
+j AS (SELECT z.*, CASE WHEN k.rk <= greatest(1, CAST(floor(n * 0.01) AS BIGINT)) THEN 0.0 ELSE 1.0 END AS keep FROM z LEFT JOIN k ON z._row = k._row AND z.pos = k.pos)
+SELECT round(sum(greatest(l1, l2) * keep) / count(*), 6) + 0.0 AS pg_loss, round(avg(CASE WHEN keep = 0 THEN 1.0 ELSE 0.0 END), 6) + 0.0 AS pg_clipfrac, round(avg(op - lp), 6) + 0.0 AS ppo_kl FROM j""",
+)(lambda s, d: _rounded(loss.clip_cov(token_batch(s, d), ratio=0.01, lower=0.0001, upper=5.0)))
 _V2 = "(least(greatest(rf, v - 0.2), v + 0.2) - r) * (least(greatest(rf, v - 0.2), v + 0.2) - r)"
 CORE.query("loss_value", f"{_T} SELECT round(0.5 * {_MM.format(f'greatest((rf - r) * (rf - r), {_V2})')}, 6) + 0.0 AS vf_loss, round({_MM.format(f'CASE WHEN {_V2} > (rf - r) * (rf - r) THEN 1 ELSE 0 END')}, 6) + 0.0 AS vf_clipfrac FROM t")(
     lambda s, d: _rounded(loss.value_loss(token_batch(s, d).withColumnsRenamed({"ref_logp": "vpreds", "rewards": "returns"}), 0.2))

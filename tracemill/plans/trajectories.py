@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracemill.functions import text
-from tracemill.operators import balance, metrics
+from tracemill.operators import balance, batch, metrics
 from tracemill.operators import trajectory as tr
 from tracemill.plans.adapters import CATALOG, catalog
 from tracemill.plans.registry import CORE
@@ -104,8 +104,15 @@ def _masked(m):
 
 
 _P = "p AS (SELECT n_nationkey AS n FROM nation)"
-CORE.query("log_spaced_history", f"WITH {_P} SELECT n, CASE WHEN n <= 5 THEN array_to_string(range(n), ',') ELSE array_to_string(list_sort(list_concat([], (SELECT list(x) FROM (SELECT DISTINCT greatest(least(n - 1 - CAST(round_even(exp(j * ln(greatest(n, 1)) / 4) - 1, 0) AS INTEGER), n - 1), 0) AS x FROM (SELECT unnest([0, 1, 2, 3, 4]) AS j))))), ',') END AS kept FROM p WHERE n <= 5 OR n >= 16")(
-    lambda s, d: table(s, d, "nation", F.col("n_nationkey").alias("n")).filter("n <= 5 or n >= 16").select("n", F.array_join(tr.log_spaced(F.col("n"), 5), ",").alias("kept"))
+# places at growing distance, then, where they coincide, the newest of the others
+CORE.query(
+    "log_spaced_history",
+    f"""WITH {_P}, f AS (SELECT DISTINCT n, greatest(least(n - 1 - CAST(round_even(exp(j * ln(n) / 4) - 1, 0) AS INTEGER), n - 1), 0) AS x FROM p, (SELECT unnest([0, 1, 2, 3, 4]) AS j) WHERE n > 5),
+r AS (SELECT p.n, i.x, row_number() OVER (PARTITION BY p.n ORDER BY i.x DESC) AS k FROM p, range(1000) i(x) WHERE p.n > 5 AND i.x < p.n AND NOT EXISTS (SELECT 1 FROM f WHERE f.n = p.n AND f.x = i.x)),
+a AS (SELECT n, x FROM f UNION ALL SELECT n, x FROM r WHERE k <= 5 - (SELECT count(*) FROM f WHERE f.n = r.n))
+SELECT n, CASE WHEN n <= 5 THEN array_to_string(range(n), ',') ELSE (SELECT string_agg(CAST(x AS VARCHAR), ',' ORDER BY x) FROM a WHERE a.n = p.n) END AS kept FROM p""",
+)(
+    lambda s, d: table(s, d, "nation", F.col("n_nationkey").alias("n")).select("n", F.array_join(tr.log_spaced(F.col("n"), 5), ",").alias("kept"))
 )
 CORE.query("equally_spaced_images", f"WITH {_P} SELECT n, CASE WHEN n <= 4 THEN array_to_string(range(n), ',') ELSE array_to_string(list_transform(range(4), lambda i: CAST(round_even(i * (n - 1) / 3.0, 0) AS INTEGER)), ',') END AS places FROM p")(
     lambda s, d: table(s, d, "nation", F.col("n_nationkey").alias("n")).select("n", F.array_join(tr.spaced_places(F.col("n"), 4), ",").alias("places"))
@@ -122,19 +129,29 @@ def _lengths(s, d):
     return table(s, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").select(F.floor(F.col("l_orderkey") / 256).alias("batch"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row"), F.col("l_quantity").cast("long").alias("length"))
 
 
-def _whole(s, d):
-    """Batches of a multiple of 8 rows: the rows past the last multiple, by hash order, go, as the SQL of balanced_partition_sizes has it."""
-    from pyspark.sql import Window as W
+_LEN = "l AS (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS batch, CAST(l_quantity AS BIGINT) AS length FROM lineitem)"
+_PARTS = f"WITH {_LEN} SELECT batch, count(*) AS n_rows, true AS each_row_once"
+
 
-    w = W.partitionBy("batch")
-    m = _lengths(s, d).withColumns({"rk": F.row_number().over(w.orderBy("row")), "n": F.count("*").over(w)})
-    return m.filter(F.col("rk") <= F.floor(F.col("n") / 8) * 8).drop("rk", "n")
+def _parts(s, d, method="differencing", **options):
+    """Per batch: rows, whether each is in one part, and the rows of the greatest and the smallest part."""
+    own = _lengths(s, d)
+    parts = balance.partition(own, "batch", "row", "length", 8, method=method, **options)
+    per = parts.groupBy("batch", "part").agg(F.count("*").alias("n"), F.sum("length").alias("s"))
+    once = parts.groupBy("batch", "row").agg(F.count("*").alias("c")).groupBy("batch").agg(F.sum("c").alias("rows"), F.count("*").alias("ids"))
+    sizes = per.groupBy("batch").agg(F.max("n").alias("most"), F.when(F.count("*") == 8, F.min("n")).otherwise(0).alias("least"))
+    want = own.groupBy("batch").agg(F.count("*").alias("n"), F.countDistinct("row").alias("ids"))
+    found = want.join(sizes, "batch", "left").join(once.withColumnRenamed("ids", "found"), "batch", "left")
+    return found.withColumn("each_row_once", F.coalesce((F.col("rows") == F.col("n")) & (F.col("found") == F.col("ids")), F.lit(False)))
 
 
-_LEN = "l AS (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS batch, CAST(l_quantity AS BIGINT) AS length FROM lineitem)"
-CORE.query("balanced_partition_sizes", f"WITH {_LEN}, n AS (SELECT batch, floor(count(*) / 8) AS n FROM l GROUP BY batch) SELECT batch, CAST(p.i AS INTEGER) AS part, CAST(n AS BIGINT) AS n_rows FROM n, range(8) p(i)")(
-    lambda s, d: balance.partition(_whole(s, d), "batch", "row", "length", 8).groupBy("batch", "part").agg(F.count("*").alias("n_rows"))
+CORE.query("balanced_partition_sizes", f"{_PARTS}, CAST(ceil(count(*) / 8) AS BIGINT) AS largest_part FROM l GROUP BY batch")(
+    lambda s, d: _parts(s, d).select("batch", F.col("n").alias("n_rows"), "each_row_once", F.col("most").alias("largest_part"))
+)
+CORE.query("balanced_partitions_checked", f"{_PARTS}, true AS within_one_row FROM l GROUP BY batch")(
+    lambda s, d: _parts(s, d).select("batch", F.col("n").alias("n_rows"), "each_row_once", (F.col("most") - F.col("least") <= 1).alias("within_one_row"))
 )
+CORE.query("greedy_partitions_checked", f"{_PARTS} FROM l GROUP BY batch")(lambda s, d: _parts(s, d, "greedy").select("batch", F.col("n").alias("n_rows"), "each_row_once"))
 CORE.query("balanced_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8))
 CORE.query("greedy_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8, method="greedy"))
 CORE.query("balance_imbalance")(lambda s, d: metrics.imbalance(balance.partition(_lengths(s, d), "batch", "row", "length", 8), "part", "length", "batch", 8))
@@ -188,7 +205,7 @@ CORE.query(
     lambda s, d: table(s, d, "task_config", F.coalesce(F.nullif("snapshot", F.lit("")), F.nullif("raw.task_type", F.lit("")), F.lit("unknown")).alias("domain"), F.coalesce("task_id", "id").alias("task_id"))
     .groupBy("domain").agg(F.countDistinct("task_id").alias("n_tasks"), F.count_if(F.col("task_id").isNull()).alias("n_skipped"))
 )
-CORE.query("unfinished_tasks", f"WITH {CATALOG}, m AS (SELECT DISTINCT {_TK.format('task_id')} AS task_id FROM task_manifest WHERE task_id IS NOT NULL) SELECT task_id FROM m WHERE task_id NOT IN (SELECT split_part(trajectory_id, '_', 1) FROM cat WHERE reward IS NOT NULL)")(
+CORE.query("unfinished_tasks", f"WITH {CATALOG}, m AS (SELECT DISTINCT {_TK.format('task_id')} AS task_id FROM task_manifest WHERE task_id IS NOT NULL) SELECT task_id FROM m WHERE NOT EXISTS (SELECT 1 FROM cat WHERE reward IS NOT NULL AND starts_with(trajectory_id, m.task_id))")(
     lambda s, d: recipes.unfinished(
         table(s, d, "task_manifest", "task_id").filter("task_id is not null").select(_task_key("task_id").alias("task_id"), F.lit("t").alias("task_type")).distinct(),
         catalog(s, d).select(F.col("trajectory_id").alias("folder"), "reward", F.lit("t").alias("task_type")),
@@ -237,9 +254,19 @@ CORE.query("recipe_multiturn", "SELECT user_id, count(*) AS n, md5(string_agg(ev
     )(recipes.multiturn(table(s, d, "events", "user_id", "event_id", F.col("event_type").alias("role"), F.col("value").cast("string").alias("text")), "user_id", "event_id"))
 )
 CORE.query("recipe_char_count", f"SELECT k, CAST(length(CAST(k AS VARCHAR)) - length(replace(CAST(k AS VARCHAR), '1', '')) AS INTEGER) AS n FROM ({_OK})")(lambda s, d: (lambda o: recipes.char_count(o, F.col("w"), F.lit("1")).select(F.regexp_extract("prompt", r"word (\d+)\?", 1).cast("long").alias("k"), "n"))(table(s, d, "orders", F.col("o_orderkey").cast("string").alias("w"))))
-CORE.query("recipe_choices_prompt", f"SELECT k, 1 AS n FROM ({_OK})")(lambda s, d: (lambda o: o.select("k", recipes.choices_prompt(F.lit("q?"), F.array(F.lit("right"), F.lit("no"), F.lit("nope")), 3, F.col("k")).alias("c")).select("k", F.regexp_count("c.text", F.concat(F.col("c.gold"), F.lit(r"\) right"))).cast("int").alias("n")))(table(s, d, "orders", F.col("o_orderkey").alias("k"))))
+CORE.query(
+    "recipe_choices_prompt",
+    f"""WITH a AS (SELECT k, i, ['right', 'no', 'nope'][i + 1] AS a, row_number() OVER (PARTITION BY k ORDER BY md5('3|' || k || '|' || i)) - 1 AS pl FROM ({_OK}), (VALUES (0), (1), (2)) t(i))
+SELECT k, 'q' || k || '?' || chr(10) || chr(10) || string_agg(chr(CAST(65 + pl AS INTEGER)) || ') ' || a, chr(10) ORDER BY pl) AS text, max(CASE WHEN i = 0 THEN chr(CAST(65 + pl AS INTEGER)) END) AS gold FROM a GROUP BY k""",
+)(
+    lambda s, d: table(s, d, "orders", F.col("o_orderkey").alias("k"))
+    .withColumn("c", recipes.choices_prompt(F.concat(F.lit("q"), F.col("k"), F.lit("?")), F.array(F.lit("right"), F.lit("no"), F.lit("nope")), 3, F.col("k")))
+    .select("k", "c.text", "c.gold")
+)
 CORE.query("date_range_as_text", "SELECT o_orderkey FROM orders WHERE strftime(o_orderdate, '%Y-%m') || '-00' >= '1996-02' AND strftime(o_orderdate, '%Y-%m') || '-00' < '1996-09'")(lambda s, d: recipes.since(table(s, d, "orders", "o_orderkey", "o_orderdate").withColumn("t", F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit("-00"))), "t", "1996-02", "1996-09").select("o_orderkey"))
-CORE.query("ratio_split_by_hash")(lambda s, d: table(s, d, "orders", "o_orderkey").select("o_orderkey", F.when(F.pmod(F.xxhash64(F.lit(42), "o_orderkey"), F.lit(10)) < 9, "train").otherwise("test").alias("part")))
+CORE.query("ratio_split_by_hash", "SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY md5('42|' || o_orderkey), o_orderkey) <= floor(count(*) OVER () * 0.9) THEN 'train' ELSE 'test' END AS part FROM orders")(
+    lambda s, d: batch.split_by_share(table(s, d, "orders", "o_orderkey"), 0.9, 42, "o_orderkey")
+)
 CORE.query("overlong_prompts_left_out", "SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) <= 4")(lambda s, d: readers.overlong(table(s, d, "lineitem", "l_orderkey", "l_linenumber").groupBy("l_orderkey").agg(F.collect_list("l_linenumber").alias("t")), "t", 4).select("l_orderkey", F.size("t").alias("n")))
 
 # sinks and sources, round trips --------------------------------------------------------------------
@@ -345,6 +372,11 @@ def _is_file(s, path):
 
 
 CORE.query("validation_metrics")(lambda s, d: _validation(s, d))
+CORE.query(
+    "validation_means",
+    f"""WITH {CATALOG}, p AS (SELECT run_id, task_id, count(*) AS n, avg(reward) AS m, stddev_pop(reward) AS sd FROM cat WHERE reward IS NOT NULL GROUP BY ALL)
+SELECT 'mean@' || n AS metric, round(avg(m), 9) + 0.0 AS value FROM p GROUP BY n UNION ALL SELECT 'std@' || n, round(avg(sd), 9) + 0.0 FROM p WHERE n > 1 GROUP BY n""",
+)(lambda s, d: _validation(s, d).filter("metric like 'mean@%' or metric like 'std@%'").select("metric", (F.round("value", 9) + 0.0).alias("value")))
 
 
 def _validation(s, d):

@@ -85,13 +85,14 @@ def trajectories(spark: SparkSession, root: str) -> DataFrame:
 
 def trajectory_tree(spark: SparkSession, root: str) -> DataFrame:
     """``run, task, trajectory, reward, n_images`` of a tree run/task/trajectory."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    level = F.regexp_extract_all("path", F.lit(r"([^/]+)/([^/]+)/([^/]+)/[^/]+$"), F.lit(0))
-    parts = F.split(F.get(level, F.lit(0)), "/")
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    reward = F.max(F.when(name == "reward.txt", F.trim(F.decode("content", "UTF-8")).try_cast("double")))
-    images = F.count_if(name.rlike(r"^image_\d+\.png$"))
-    return files.groupBy(F.get(parts, F.lit(0)).alias("run"), F.get(parts, F.lit(1)).alias("task"), F.get(parts, F.lit(2)).alias("trajectory")).agg(reward.alias("reward"), images.alias("n_images"))
+    # only names of the files are read, and of reward.txt, in a scan of its own, the text
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    keys = lambda path: [F.get(F.split(F.regexp_extract(path, r"([^/]+/[^/]+/[^/]+)/[^/]+$", 1), "/"), F.lit(i)).alias(k) for i, k in enumerate(("run", "task", "trajectory"))]
+    images = F.count_if(F.col("path").rlike(r"/image_\d+\.png$"))
+    counted = files.groupBy(*keys("path")).agg(images.alias("n_images"))
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "reward.txt").text(root, wholetext=True)
+    reward = text.select(*keys(F.col("_metadata.file_path")), F.trim(F.regexp_replace("value", r"\s+$", "")).try_cast("double").alias("reward"))
+    return counted.join(reward, ["run", "task", "trajectory"], "left").select("run", "task", "trajectory", "reward", "n_images")
 
 
 def json_array(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

@@ -83,7 +83,7 @@ def multiturn(df: DataFrame, conversation: str, position: str) -> DataFrame:
 
 def choices_prompt(question: Column, answers: Column, seed: int, key: Column) -> Column:
     """Struct (text, gold): answers in a hash order, lettered A.. ; the first given answer is the right one."""
-    order = F.array_sort(F.transform(answers, lambda a, i: F.struct(F.xxhash64(F.lit(seed), key, i).alias("h"), i.alias("i"), a.alias("a"))))
+    order = F.array_sort(F.transform(answers, lambda a, i: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), i)).alias("h"), i.alias("i"), a.alias("a"))))
     letters = F.array(*[F.lit(x) for x in "ABCDEFGH"])
     lines = F.transform(order, lambda o, k: F.concat(F.get(letters, k), F.lit(") "), o["a"]))
     gold = F.get(letters, (F.array_position(F.transform(order, lambda o: o["i"]), F.lit(0)) - 1).cast("int"))
@@ -121,9 +121,12 @@ def missing_files(expected: DataFrame, present: DataFrame, on: str) -> DataFrame
 def unfinished(tasks: DataFrame, results: DataFrame) -> DataFrame:
     """Tasks without a result: no folder of the task's type whose name starts with the task id and that has a reward.
 
-    The id is the folder's part before the first ``_``, so this is an equi-join.
+    This is an equi-join on the beginnings of folder names, of the lengths that task ids have.
     """
-    done = results.filter("reward is not null").select("task_type", F.substring_index("folder", "_", 1).alias("task_id")).distinct()
+    lengths = tasks.agg(F.collect_set(F.length("task_id"))).scalar()  # few: ids are names of files
+    cuts = F.filter("_lengths", lambda n: n <= F.length("folder"))
+    done = results.filter("reward is not null and folder is not null").withColumn("_lengths", lengths)
+    done = done.select("task_type", F.explode(F.transform(cuts, lambda n: F.substring("folder", F.lit(1), n))).alias("task_id")).distinct()
     return tasks.join(done, ["task_type", "task_id"], "left_anti")
 
 
