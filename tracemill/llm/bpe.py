@@ -4,8 +4,10 @@ Each Python worker holds one in-memory DuckDB with the merge table. The words of
 batch of texts (cut by the tokenizer's own pattern) that the worker hasn't met are
 loaded as token-position rows, one per byte, and a recursive query contracts each
 word's leftmost pair of minimum rank, by a join with the merge table, until no word
-has a mergeable pair; an ordered aggregation yields the ids. :func:`decode` goes back
-by an ordered aggregation of the tokens' bytes.
+has a mergeable pair; an ordered aggregation yields the ids. A step contracts that pair
+at all its places from left to right, every second one in a run of one token, as steps of
+one place each would do one after the other, since a merge makes no pair of a lower rank.
+:func:`decode` goes back by an ordered aggregation of the tokens' bytes.
 
 Two things make the rows of that query linear in the text without changing a result.
 Words are first cut where no token of the vocabulary holds both neighbouring bytes, as
@@ -84,13 +86,17 @@ WITH RECURSIVE state AS (
   SELECT w, pos, tok, false AS done FROM bytes
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT s.w, s.pos, s.tok, s.after, m.rank::BIGINT * 2147483648 + s.pos AS place, m.merged
+     SELECT s.w, s.pos, s.tok, s.after, m.rank, m.merged
      FROM (SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt, lead(pos) OVER (PARTITION BY w ORDER BY pos) AS after FROM state WHERE NOT done) s
      LEFT JOIN merges m ON m.l = s.tok AND m.r = s.nxt),
-   least AS (SELECT w, min(place) AS place, arg_min(after, place) AS gone FROM pairs GROUP BY w)
-   SELECT p.w, p.pos, CASE WHEN p.place = b.place THEN p.merged ELSE p.tok END AS tok, b.place IS NULL AS done
-   FROM pairs p JOIN least b ON p.w = b.w
-   WHERE b.gone IS NULL OR p.pos <> b.gone)
+   least AS MATERIALIZED (SELECT w, min(rank) AS rank FROM pairs GROUP BY w),
+   hits AS (SELECT p.w, p.pos, p.after, p.merged, CASE WHEN lag(p.after) OVER (PARTITION BY p.w ORDER BY p.pos) = p.pos THEN 0 ELSE 1 END AS fresh
+     FROM pairs p JOIN least l ON p.w = l.w AND p.rank = l.rank),
+   runs AS (SELECT *, sum(fresh) OVER (PARTITION BY w ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM hits),
+   taken AS MATERIALIZED (SELECT w, pos, after, merged FROM (SELECT *, row_number() OVER (PARTITION BY w, run ORDER BY pos) AS k FROM runs) WHERE k % 2 = 1)
+   SELECT p.w, p.pos, coalesce(t.merged, p.tok) AS tok, l.rank IS NULL AS done
+   FROM pairs p JOIN least l ON p.w = l.w LEFT JOIN taken t ON t.w = p.w AND t.pos = p.pos
+   WHERE NOT EXISTS (SELECT 1 FROM taken g WHERE g.w = p.w AND g.after = p.pos))
 )
 SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w
 """
