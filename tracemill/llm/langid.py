@@ -167,30 +167,32 @@ class Vectors:
     """Letters' and runs' vectors of one process."""
 
     def __init__(self) -> None:
-        self.letters: dict[tuple[int, int], np.ndarray] = {}
-
-    def letter(self, c: int, place: int) -> np.ndarray:
-        """The letter's signs, rotated by its place in the run; ones where the run has no letter."""
-        v = self.letters.get((c, place))
-        if v is None:
-            if len(self.letters) > 4000:
-                self.letters.clear()
-            if c:
-                v = np.roll((np.random.Generator(np.random.Philox(key=c)).integers(0, 2, DIM, dtype=np.int8) * 2 - 1).astype(np.int8), place)
-            else:
-                v = np.ones(DIM, dtype=np.int8)
-            self.letters[(c, place)] = v
-        return v
+        self.rows: dict[int, int] = {}
+        self.tables = [np.ones((0, DIM), dtype=np.int8) for _ in range(4)]
+
+    def _known(self, codes: list[int]) -> None:
+        """Makes the signs of letters: a row of each table per letter, rotated by the letter's place in the run; ones for no letter."""
+        fresh = [c for c in codes if c not in self.rows]
+        if not fresh:
+            return
+        if len(self.rows) + len(fresh) > 4000:
+            self.__init__()
+            fresh = codes
+        signs = [(np.random.Generator(np.random.Philox(key=c)).integers(0, 2, DIM, dtype=np.int8) * 2 - 1).astype(np.int8) if c else np.ones(DIM, dtype=np.int8) for c in fresh]
+        for c in fresh:
+            self.rows[c] = len(self.rows)
+        self.tables = [np.vstack([t, np.roll(signs, place, axis=1)]) for place, t in enumerate(self.tables)]
 
     def blocks(self, names: np.ndarray, size: int = 512):
         """(first, vectors as rows) of the runs, rows of four letters' code points each, a block at a time."""
         for a in range(0, len(names), size):
-            part = names[a : a + size].tolist()
-            v = np.stack([self.letter(g[-1], 0) for g in part])
+            part = names[a : a + size]
+            codes, at = np.unique(part, return_inverse=True)
+            self._known(codes.tolist())
+            rows = np.array([self.rows[c] for c in codes.tolist()])[at.reshape(part.shape)]
+            v = self.tables[0][rows[:, 3]]
             for place in (1, 2, 3):
-                rows = [k for k, g in enumerate(part) if g[-1 - place]]
-                if rows:
-                    v[rows] *= np.stack([self.letter(part[k][-1 - place], place) for k in rows])
+                v *= self.tables[place][rows[:, 3 - place]]
             yield a, v.astype(np.float32)
 
 
@@ -281,7 +283,7 @@ class Counted:
         out = np.zeros((self.rows, dots.shape[1]))
         if len(self.row):
             starts = np.flatnonzero(np.diff(self.row, prepend=-1))
-            out[self.row[starts]] = np.add.reduceat(dots[self.run].astype(np.float64) * self.n[:, None], starts, axis=0)
+            out[self.row[starts]] = np.add.reduceat(dots[self.run] * self.n.astype(np.float32)[:, None], starts, axis=0)
         return out / np.maximum(self.norm * np.sqrt(DIM), 1e-9)[:, None]
 
     def totals(self, share: np.ndarray, width: int) -> np.ndarray:
