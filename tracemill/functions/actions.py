@@ -113,6 +113,73 @@ def to_code(action_type: str | None, inputs: dict, width: int, height: int) -> s
         return None
 
 
+# Names that models use for keys, and those of the automation library.
+KEY_NAMES = {"arrowleft": "left", "arrowright": "right", "arrowup": "up", "arrowdown": "down", "space": " "}
+#: actions that are an outcome instead of code
+OUTCOMES = {"finished": "DONE", "wait": "WAIT", "call_user": "FAIL"}
+_CLICKS = {"click": "click", "left_single": "click", "left_double": "doubleClick", "right_single": "click"}
+
+
+def _middle(box: object, width: int, height: int) -> tuple[float, float]:
+    n = [float(x) for x in re.findall(r"-?\d+(?:\.\d+)?(?:e-?\d+)?", str(box))]
+    left, top, right, bottom = n * 2 if len(n) == 2 else n
+    return round((left + right) / 2 * width, 3), round((top + bottom) / 2 * height, 3)
+
+
+def _lines(kind: str | None, inputs: dict, width: int, height: int, paste: bool) -> str:
+    """Code of one action, each line after a line end."""
+    call = lambda name, *args: f"\npyautogui.{name}({', '.join(args)})"
+    key = lambda *names: next((str(inputs[n]) for n in names if inputs.get(n)), "")
+    if kind == "hotkey":
+        keys = KEY_NAMES.get(key("key", "hotkey"), key("key", "hotkey"))
+        parts = [" "] if keys == " " else [KEY_NAMES["space"] if k == "space" else k for k in keys.split()]
+        return call("hotkey", *map(repr, parts)) if keys else ""
+    if kind == "press":
+        k = key("key", "press")
+        return call("press", repr(KEY_NAMES.get(k, k))) if k else ""
+    if kind in ("keyup", "keydown"):
+        return call("keyUp" if kind == "keyup" else "keyDown", repr(str(inputs.get("key", ""))))
+    if kind == "type":
+        text = escape_quotes(str(inputs.get("content", "")))
+        if not text:
+            return ""
+        ends = text.endswith(("\n", "\\n"))
+        body = text.rstrip("\\n").rstrip("\n") if ends else text
+        put = f"\nimport pyperclip\npyperclip.copy('{body}')" + call("hotkey", "'ctrl'", "'v'") if paste else call("write", f"'{body}'", "interval=0.1")
+        return put + "\ntime.sleep(0.5)\n" + (call("press", "'enter'") if ends else "")
+    if kind in ("drag", "select"):
+        if not (inputs.get("start_box") and inputs.get("end_box")):
+            return ""
+        ends = [map(str, _middle(inputs[n], width, height)) for n in ("start_box", "end_box")]
+        return call("moveTo", *ends[0]) + "\n" + call("dragTo", *ends[1], "duration=1.0") + "\n"
+    if kind == "scroll":
+        way = str(inputs.get("direction", "")).lower()
+        place = [f"{n}={v}" for n, v in zip("xy", _middle(inputs["start_box"], width, height))] if inputs.get("start_box") else []
+        return call("scroll", "5", *place) if "up" in way else call("scroll", "-5", *place) if "down" in way else ""
+    if kind in (*_CLICKS, "hover"):
+        at = [str(v) for v in _middle(inputs.get("start_box"), width, height)]
+        if kind == "hover":
+            return call("moveTo", *at)
+        return call(_CLICKS[kind], *at, f"button='{'right' if kind == 'right_single' else 'left'}'")
+    return f"\n# Unrecognized action type: {kind}"
+
+
+def script(actions: list[dict], width: int, height: int, paste: bool = True) -> str | None:
+    """One script of several actions: imports, what was observed and thought, then each action after a pause.
+
+    An outcome (finished, wait, call_user) takes the place of all before it. Null where a box can't be read.
+    """
+    out = "import pyautogui\nimport time\n"
+    try:
+        for no, a in enumerate(actions):
+            out += f"'''\nObservation:\n{a.get('observation') or ''}\n\nThought:\n{a.get('thought') or ''}\n'''\n" if no == 0 else "\ntime.sleep(1)\n"
+            kind = a.get("action_type")
+            out = OUTCOMES[kind] if kind in OUTCOMES else out + _lines(kind, a.get("action_inputs") or {}, width, height, paste)
+    except (ValueError, TypeError):
+        return None
+    return out
+
+
 def accessibility_table(xml: str | None) -> str:
     """Tab-separated rows (tag, name, text, class, description, position, size) of the nodes with a position and a name or text."""
     out = ["tag\tname\ttext\tclass\tdescription\tposition (top-left x&y)\tsize (w&h)"]
@@ -153,6 +220,17 @@ def to_code_udf(action_type: pd.Series, inputs: pd.Series) -> pd.Series:
     return pd.Series([to_code(a, json.loads(i) if i else {}, 1920, 1080) for a, i in zip(action_type, inputs)])
 
 
+@F.pandas_udf(T.StringType())
+def script_udf(reply: pd.Series) -> pd.Series:
+    """The script of all actions of a reply on a screen of 1920 x 1080; boxes count thousandths."""
+
+    def one(t):
+        found = structured(t)
+        return script([{**a, "action_inputs": json.loads(a["action_inputs"])} for a in found], 1920, 1080) if found else None
+
+    return pd.Series([one(t) for t in reply], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def accessibility_udf(xml: pd.Series) -> pd.Series:
     return pd.Series([accessibility_table(x) for x in xml])

@@ -39,6 +39,25 @@ def compute(df: DataFrame, estimator: str, **options) -> DataFrame:
     return ESTIMATORS[estimator](df, **options)
 
 
+def response_mask(df: DataFrame, attention: str = "attention_mask") -> DataFrame:
+    """Adds ``mask``, the part of the attention mask that belongs to the response, where there is none yet."""
+    return df if "mask" in df.columns else df.withColumn("mask", F.slice(attention, F.size(attention) - F.size("rewards") + 1, F.size("rewards")))
+
+
+def dispatch(df: DataFrame, estimator: str, multi_turn: bool = False, effective: str = "mask_eff", loss_mask: str = "loss_mask", attention: str = "attention_mask", **options) -> DataFrame:
+    """:func:`compute` on the mask that the estimator is meant for; the batch keeps its own mask.
+
+    grpo counts the places of the effective mask, if the batch has one, and in multi-turn batches the last
+    places of the loss mask; all other estimators count those of the response.
+    """
+    df = response_mask(df, attention)
+    if estimator != "grpo" or not (multi_turn or effective in df.columns):
+        return compute(df, estimator, **options)
+    other = F.slice(loss_mask, F.size(loss_mask) - F.size("mask") + 1, F.size("mask")) if multi_turn else F.col(effective)
+    swapped = df.withColumn("_own_mask", F.col("mask")).withColumn("mask", other)
+    return compute(swapped, estimator, **options).withColumn("mask", F.col("_own_mask")).drop("_own_mask")
+
+
 def score() -> Column:
     return t.total("rewards")
 

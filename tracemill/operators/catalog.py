@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tracemill.operators.batch import number_rows
+from tracemill.session import materialize
+
 KEY = ("run_id", "trajectory_id")
 
 
@@ -120,6 +123,26 @@ def top_per_task(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def serve(df: DataFrame, batches: int, batch: int, per_task: int, key: Sequence[str] = KEY) -> tuple[list[DataFrame], DataFrame]:
+    """(rows of each batch with ``slot``, catalog after) of reads in order: X5.
+
+    At the start of a batch the task queue is sorted anew by what was used so far; read i of a batch serves the
+    queue's place i, from the front again after its end, and every row that is served counts one use more.
+    """
+    out, now = [], df
+    for _ in range(batches):
+        queue = materialize(task_priority(now).limit(batch), "queue").select("task_id", "max_version", "min_used")
+        slots = number_rows(queue, F.col("max_version").desc(), "min_used", "task_id", name="_place")
+        n = slots.count()
+        reads = slots.withColumn("slot", F.explode(F.sequence(F.col("_place"), F.lit(batch - 1).cast("long"), F.lit(max(n, 1)).cast("long")))).select("task_id", "slot")
+        # a task that is read again within the batch has its uses counted by then
+        served = top_per_task(now.join(reads.select("task_id").distinct(), "task_id", "left_semi"), per_task).join(reads, "task_id")
+        served = materialize(served, "served")
+        out.append(served)
+        now = materialize(add_usage(now, served.select(*key), key), "catalog")
+    return out, now
+
+
 def queue_slot(index: Column, batch: int, queue_length: int) -> Column:
     """Place in the task queue that a read of this index serves."""
     return F.pmod(F.pmod(index, F.lit(batch)), F.lit(queue_length))

@@ -9,6 +9,7 @@ repeat and are spread evenly. Ties in time go to the greater id.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,6 +159,25 @@ def drop_flat_groups(df: DataFrame, metric: str, group: str = "uid") -> DataFram
     return df.join(varied, group, "left_semi")
 
 
+def accumulate(rounds: Iterable[DataFrame], metric: str, prompts: int, per_prompt: int, most_rounds: int = 0, group: str = "uid", order: str = ROW) -> DataFrame:
+    """Rows of varied groups from one round of generation after the other, until there are enough prompts, cut to the batch.
+
+    Each round's kept rows are written once; rounds go on while there are fewer than ``prompts`` groups. Too few after
+    ``most_rounds`` rounds (0: no bound), or when the rounds end, raise ValueError.
+    """
+    kept, n, done = None, 0, 0
+    for df in rounds:
+        own = materialize(drop_flat_groups(df, metric, group).withColumn("_round", F.lit(done)), "round")
+        n += own.select(group).distinct().count()
+        kept = own if kept is None else kept.unionByName(own)
+        done += 1
+        if n >= prompts:
+            return first_rows(kept, prompts * per_prompt, "_round", order).drop("_round")
+        if most_rounds and done >= most_rounds:
+            break
+    raise ValueError(f"{n} of {prompts} prompts after {done} rounds")
+
+
 def cut_batch(df: DataFrame, prompts: int, per_prompt: int, order: str) -> DataFrame:
     return first_rows(df, prompts * per_prompt, F.col(order))
 

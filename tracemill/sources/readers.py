@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,54 @@ def conversations(spark: SparkSession, paths: str | Sequence[str], messages: str
     return df.select(messages, *optional)
 
 
+LOADERS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def loader(name: str) -> Callable:
+    """Registers a function (spark, ...) that gives a dataset; a name taken by another one raises ValueError."""
+
+    def add(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        if LOADERS.get(name, f) is not f:
+            raise ValueError(f"loader {name} is already registered")
+        LOADERS[name] = f
+        return f
+
+    return add
+
+
+def load(spark: SparkSession, name: str, *needed: str, **options) -> DataFrame:
+    """The dataset of a registered loader; it must be a DataFrame that has the needed columns."""
+    if name not in LOADERS:
+        raise ValueError(f"unknown loader {name}")
+    df = LOADERS[name](spark, **options)
+    if not isinstance(df, DataFrame):
+        raise TypeError(f"loader {name} gave no DataFrame")
+    missing = [c for c in needed if c not in df.columns]
+    if missing:
+        raise ValueError(f"loader {name} lacks {missing}")
+    return df
+
+
+def catalog_stream(spark: SparkSession, path: str, schema: str | T.StructType, files: int = 16) -> DataFrame:
+    """New files of a catalog folder as a stream; a micro-batch takes at most ``files`` of them, which bounds what waits."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).option("recursiveFileLookup", "true").parquet(path)
+
+
+def searched(df: DataFrame, query: str, search: Callable[[list[str], int], list[list[dict]]], topk: int = 3) -> DataFrame:
+    """Adds ``hits``, what a search service gives for each query: an array of (title, text, score), empty for null queries.
+
+    search takes a list of queries; it is called in the tasks, once per Arrow batch.
+    """
+    kind = T.ArrayType(T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType())]))
+
+    def run(queries: pd.Series) -> pd.Series:
+        asked = [q for q in queries if q]
+        found = iter(search(asked, topk) if asked else [])
+        return pd.Series([next(found)[:topk] if q else [] for q in queries])
+
+    return df.withColumn("hits", F.pandas_udf(run, kind)(query))
+
+
 def overlong(df: DataFrame, tokens: str, most: int) -> DataFrame:
     """Rows whose token list has at most ``most`` elements."""
     return df.filter(F.size(tokens) <= most)

@@ -110,6 +110,33 @@ def allow_listed(tasks: DataFrame, allowed: DataFrame, *on: str) -> DataFrame:
     return tasks.join(allowed.select(*on).distinct(), list(on), "left_semi")
 
 
+DOMAIN_FIELDS = ("domain", "task_type", "category", "app")
+
+
+def domain_of(config: Column) -> Column:
+    """Domain of a task config in JSON: of the first of the four fields that is there, else of those in ``raw``, else ``unknown``."""
+
+    def first(at: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(config, at))
+        found = F.lit(None).cast("string")
+        for name in reversed(DOMAIN_FIELDS):
+            found = F.when(F.array_contains(keys, name), F.get_json_object(config, f"{at}.{name}")).otherwise(found)
+        return F.nullif(found, F.lit(""))
+
+    return F.coalesce(first("$"), first("$.raw"), F.lit("unknown"))
+
+
+def tasks_by_domain(df: DataFrame, config: str, reward: str) -> DataFrame:
+    """``domain, task_id`` of the tasks with an id and a reward above 0, each once."""
+    task = F.get_json_object(config, "$.id")
+    return df.filter((F.col(reward) > 0) & (F.length(task) > 0)).select(domain_of(F.col(config)).alias("domain"), task.alias("task_id")).distinct()
+
+
+def evaluation_set(df: DataFrame, source: str, question: Column, truth: Column, ability: str, style: str = "rule", index: str = "index", split: str = "test") -> DataFrame:
+    """Rows of an evaluation benchmark in the prompt format, with the truth as text."""
+    return prompt_row(df, source, ability, question, truth.cast("string"), split, F.col(index)).withColumn("reward_model", F.col("reward_model").withField("style", F.lit(style)))
+
+
 def feasible(tasks: DataFrame, func: str = "func") -> DataFrame:
     return tasks.filter(F.coalesce(F.col(func), F.lit("")) != "infeasible")
 

@@ -39,6 +39,22 @@ def chunks(df: DataFrame, folder: str) -> DataFrame:
     return df.groupBy("trajectory_id").agg(F.count("*").cast("int").alias("num_chunks")).withColumn("split_dir", F.concat(F.lit(f"{folder}/trajectory_id="), "trajectory_id"))
 
 
+def episodes(df: DataFrame, folder: str) -> None:
+    """Episodes as three tables: ``episodes`` (keys, task config, messages), ``rewards`` and ``frames`` (one row per image).
+
+    df: run_id, trajectory_id, config, messages (JSON), reward, frames (array of binary). A run's rows go to a
+    partition of their own; a run that is written again replaces its rows.
+    """
+    keys = ["run_id", "trajectory_id"]
+
+    def put(out: DataFrame, name: str) -> None:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{folder}/{name}")
+
+    put(df.select(*keys, "config", "messages"), "episodes")
+    put(df.select(*keys, "reward").filter("reward is not null"), "rewards")
+    put(df.select(*keys, F.posexplode("frames").alias("step", "frame")), "frames")
+
+
 def report(detail: DataFrame, summary: DataFrame, path: str) -> None:
     """Detail and summary rows as one CSV table; ``row_kind`` tells them apart."""
     both = detail.withColumn("row_kind", F.lit("detail")).unionByName(summary.withColumn("row_kind", F.lit("summary")), allowMissingColumns=True)

@@ -8,6 +8,7 @@ again replaces its own output and counts nothing twice.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,28 +52,57 @@ def tick(rows: DataFrame, state: DataFrame | None, passes) -> tuple[DataFrame, D
     return counters, now
 
 
-def _latest(spark: SparkSession, folder: str, before: int) -> DataFrame | None:
+def _done(spark: SparkSession, folder: str, before: int) -> list[int]:
+    """Numbers of the batches below ``before`` that were written to their end, ascending."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
+        return []
     done = sorted(int(f.getPath().getName()[6:]) for f in fs.listStatus(path) if f.getPath().getName().startswith("batch=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")))
-    done = [b for b in done if b < before]
+    return [b for b in done if b < before]
+
+
+def _latest(spark: SparkSession, folder: str, before: int) -> DataFrame | None:
+    done = _done(spark, folder, before)
     return spark.read.parquet(f"{folder}/batch={done[-1]}") if done else None
 
 
+#: every so many batches the whole state is written, between them only what changed
+WHOLE = 16
+
+
+def _state(spark: SparkSession, folder: str, before: int) -> DataFrame | None:
+    """The newest row of each id since the last batch that wrote the whole state."""
+    done = _done(spark, folder, before)
+    if not done:
+        return None
+    since = [b for b in done if b >= max((x for x in done if x % WHOLE == 0), default=done[0])]
+    rows = None
+    for b in since:  # at most WHOLE
+        one = spark.read.parquet(f"{folder}/batch={b}").withColumn("_b", F.lit(b))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("id").agg(F.max_by("row_hash", "_b").alias("row_hash"), F.max_by("passes", "_b").alias("passes"))
+
+
+def newest_rows(df: DataFrame) -> DataFrame:
+    """One row per id: the latest by create_at, then of the greatest use, then of the greatest hash."""
+    cols = [c for c in df.columns if c != "id"]
+    order = F.struct(*[F.col(c) for c in ("create_at", "used") if c in cols], row_md5(*cols).alias("_h"))
+    return df.groupBy("id").agg(F.max_by(F.struct(*cols), order).alias("r")).select("id", "r.*")
+
+
 def monitor(stream: DataFrame, folder: str, passes, checkpoint: str):
     """Starts the monitor on a stream of catalog rows; counters go to folder/counters, state to folder/state.
 
-    A row of an id that comes again replaces the known one.
+    A row of an id that comes again replaces the known one. A micro-batch writes the state of its own rows; every
+    ``WHOLE`` batches the whole state is written.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = _latest(spark, f"{folder}/state", batch_id)
-        rows = batch.dropDuplicates(["id"])
-        counters, now = tick(rows, state, passes)
-        if state is not None:
+        state = _state(spark, f"{folder}/state", batch_id)
+        counters, now = tick(newest_rows(batch), state, passes)
+        if state is not None and batch_id % WHOLE == 0:
             now = now.unionByName(state.join(now.select("id"), "id", "left_anti"))
         now.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
         counters.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").json(f"{folder}/counters/batch={batch_id}")
@@ -80,26 +110,42 @@ def monitor(stream: DataFrame, folder: str, passes, checkpoint: str):
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def feed(stream: DataFrame, folder: str, curate: Callable[[DataFrame], DataFrame], batch_min: int, per_task: int, checkpoint: str):
+def feed(
+    stream: DataFrame, folder: str, curate: Callable[[DataFrame], DataFrame], batch_min: int, per_task: int, checkpoint: str,
+    batch_max: int | None = None, rotate_tasks: bool = False, max_wait: float = float("inf"), clock: Callable[[], float] = time.time,
+):
     """Curated training batches: a micro-batch's pending rows are curated and, once there are enough, written with their usage.
 
-    Rows that don't fill a batch stay pending for the next one. Output and usage of a
-    batch id are overwritten when it is run again.
+    A batch goes with batch_min * per_task rows, or with fewer once rows have waited max_wait seconds. Tasks come in
+    order of their oldest row; with rotate_tasks the ring starts after the last task of the batch before. At most
+    batch_max * per_task rows are taken. Rows that don't go stay pending for the next batch. Output, usage and state of
+    a batch id are overwritten when it is run again. ``place`` is the task's place.
     """
-    from tracemill.operators.curation import ready
+    from tracemill.operators.batch import first_rows
+    from tracemill.operators.curation import ready, rotate
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        pending = _latest(spark, f"{folder}/pending", batch_id)
+        pending, state = _latest(spark, f"{folder}/pending", batch_id), _latest(spark, f"{folder}/ring", batch_id)
+        last, since = state.first() if state is not None else (None, None)
         rows = batch if pending is None else batch.unionByName(pending)
         picked = curate(rows).persist()
-        n = picked.count()
-        go = ready(n, batch_min, per_task, 0, float("inf"))
-        if go:
-            picked.write.mode("overwrite").parquet(f"{folder}/batches/batch={batch_id}")
-            picked.select("id", F.lit(1).alias("used_delta"), F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{folder}/usage/batch={batch_id}")
-            rows = rows.join(picked.select("id"), "id", "left_anti")
+        n, now = picked.count(), clock()
+        since = (now if since is None else since) if n else None
+        if ready(n, batch_min, per_task, now - since if since is not None else 0.0, max_wait):
+            groups = picked.groupBy("task_id").agg(F.min("create_at").alias("group_at"))
+            placed = picked.join(rotate(groups, last if rotate_tasks else None), "task_id")
+            if batch_max is not None:
+                placed = first_rows(placed, batch_max * per_task, "place", "create_at", "id")
+            out = f"{folder}/batches/batch={batch_id}"
+            placed.write.mode("overwrite").parquet(out)
+            gone = spark.read.parquet(out)
+            gone.select("id", F.lit(1).alias("used_delta"), F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(f"{folder}/usage/batch={batch_id}")
+            last = gone.agg(F.max_by("task_id", "place")).first()[0]
+            rows = rows.join(gone.select("id"), "id", "left_anti")
+            since = None if rows.isEmpty() else now
         rows.write.mode("overwrite").parquet(f"{folder}/pending/batch={batch_id}")
+        spark.createDataFrame([(last, since)], "last_task string, since double").write.mode("overwrite").parquet(f"{folder}/ring/batch={batch_id}")
         picked.unpersist()
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
