@@ -2,7 +2,7 @@
 
 
 def core():
-    from tracemill.plans import batches, evaluation, problems, rollouts, scores, tokenmath, trajectories  # noqa: F401
+    from tracemill.plans import batches, evaluation, extras, problems, rollouts, scores, tokenmath, trajectories  # noqa: F401
     from tracemill.plans.registry import CORE
 
     return CORE
