@@ -176,6 +176,6 @@ def test_running_totals_over_partition_borders(spark):
 def test_greatest_tokens_by_thresholds(spark):
     df = spark.range(3000).select(F.col("id").alias("_row"), F.lit(0).alias("pos"), F.when(F.col("id") % 7 == 0, 5.0).otherwise((F.col("id") * 37 % 1000) / 100).alias("cov"))
     for n in (1, 40, 2999, 5000):
-        got = {r._row for r in loss._greatest(df, n, "cov").collect()}
+        got = {r._row for r in loss._greatest(df, n, "cov", 0.0, 9.99, 50).collect()}
         want = {r._row for r in df.orderBy(F.col("cov").desc(), "_row").limit(n).collect()}
         assert got == want

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.session import ship_by_value
+from tracemill.session import by_key, ship_by_value
 
 
 class Pile:
@@ -152,7 +152,7 @@ def partition(df: DataFrame, batch: str, row: str, length: str, k: int, equal_si
         return pdf.assign(part=part, place=place)
 
     src = df.select(F.col(batch).alias("batch"), F.col(row).cast("long").alias("row"), F.col(length).cast("long").alias("length"))
-    return src.groupBy("batch").applyInPandas(run, f"batch {kind}, row bigint, length bigint, part int, place int")
+    return by_key(src, "batch").groupBy("batch").applyInPandas(run, f"batch {kind}, row bigint, length bigint, part int, place int")
 
 
 def micro_batches(df: DataFrame, batch: str, row: str, length: str, budget: int, least: int | None = None, multiple: int | None = None) -> DataFrame:
@@ -169,4 +169,4 @@ def micro_batches(df: DataFrame, batch: str, row: str, length: str, budget: int,
         return pdf.assign(part=part)
 
     src = df.select(F.col(batch).alias("batch"), F.col(row).cast("long").alias("row"), F.col(length).cast("long").alias("length"))
-    return src.groupBy("batch").applyInPandas(run, f"batch {kind}, row bigint, length bigint, part int")
+    return by_key(src, "batch").groupBy("batch").applyInPandas(run, f"batch {kind}, row bigint, length bigint, part int")

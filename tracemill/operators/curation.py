@@ -96,6 +96,7 @@ def trainable(df: DataFrame, versions: DataFrame | None = None, per_task: int =
 
 def monitor_trainable(df: DataFrame, per_task: int = 8, acc_max: float = 1.0) -> DataFrame:
     """Trainable rows as the monitor counts them (C2): the two newest versions, positive means 1, newest rows stay."""
+    df = materialize(df, "catalog")  # read four times
     versions = newest_versions(df).select("run_id", "model_version")
     fresh = scored(df.join(versions, ["run_id", "model_version"], "left_semi"))
     return trim_newest(replace_all_zero(eligible(fresh, per_task, acc_max), scored(df), F.col("reward") == 1), per_task, F.col("reward") == 1)

@@ -114,35 +114,25 @@ def _first(long: DataFrame, n: int, key: Column) -> DataFrame:
     return first_rows(long.withColumnRenamed("_row", "_r"), n, key, F.col("_r"), F.col("pos")).withColumnRenamed("_r", "_row")
 
 
-def _greatest(long: DataFrame, n: int, key: str, bins: int = 4096) -> DataFrame:
-    """The n tokens of the greatest key, then of the first rows and places.
+def _greatest(long: DataFrame, n: int, key: str, low: float | None, high: float | None, bins: int = 65536) -> DataFrame:
+    """The n tokens of the greatest key, then of the first rows and places; low and high are the key's least and greatest value.
 
-    A histogram, narrowed three times to the bin where the n-th token lies, gives two thresholds: tokens above
-    the upper one are taken as they are, and only those between are sorted.
+    A histogram tells the bin where the n-th token lies: tokens above it are taken as they are, and only
+    those of that bin are sorted.
     """
-    low, high = long.agg(F.min(key), F.max(key)).first()
-    if low is None or not (math.isfinite(low) and math.isfinite(high)):
+    if low is None or not (math.isfinite(low) and math.isfinite(high)) or not low < high:
         return _first(long, n, F.col(key).desc())
-    upper, above = high, 0  # tokens with a key greater than upper: all taken
-    for _ in range(3):
-        if not low < upper:
-            break
-        width = (upper - low) / bins
-        # a key falls into the bin of its distance from the top
-        at = F.least(F.floor((F.lit(upper) - F.col(key)) / width), F.lit(bins - 1))
-        inside = long.filter((F.col(key) <= upper) & (F.col(key) >= low))
-        counts = {r.b: (r.n, r.x, r.y) for r in inside.groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.min(key).alias("x"), F.max(key).alias("y")).collect()}
-        for b in sorted(counts):
-            c, x, y = counts[b]
-            if above + c >= n:
-                low, upper = x, y
-                break
-            above += c
-        else:
-            return long
-    sure = long.filter(F.col(key) > upper)
-    between = _first(long.filter((F.col(key) <= upper) & (F.col(key) >= low)), n - above, F.col(key).desc())
-    return sure.unionByName(between.select(*long.columns))
+    # a key falls into the bin of its distance from the top
+    at = F.least(F.floor((F.lit(high) - F.col(key)) / ((high - low) / bins)), F.lit(bins - 1))
+    counts = {r.b: (r.n, r.x, r.y) for r in long.groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.min(key).alias("x"), F.max(key).alias("y")).collect()}
+    above = 0
+    for b in sorted(counts):
+        c, x, y = counts[b]
+        if above + c >= n:
+            between = _first(long.filter((F.col(key) <= y) & (F.col(key) >= x)), n - above, F.col(key).desc())
+            return long.filter(F.col(key) > y).unionByName(between.select(*long.columns))
+        above += c
+    return long
 
 
 @register("clip_cov")
@@ -162,8 +152,8 @@ def clip_cov(df: DataFrame, clip: float = 0.2, ratio: float = 0.0002, lower: flo
 def kl_cov(df: DataFrame, ratio: float = 0.0002, coef: float = 1.0) -> DataFrame:
     """token-mean loss in which the max(1, n * ratio) tokens of greatest covariance also pay coef * abs(kl)."""
     long = _covariance(df)
-    n = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1))).first()[0]
-    top = _greatest(long, n, "cov").select("_row", "pos", F.lit(coef).alias("c"))
+    n, low, high = long.agg(F.greatest((F.count("*") * ratio).cast("long"), F.lit(1)), F.min("cov"), F.max("cov")).first()
+    top = _greatest(long, n, "cov", low, high).select("_row", "pos", F.lit(coef).alias("c"))
     each = long.join(top, ["_row", "pos"], "left")
     loss = -F.col("a") * F.exp("d") + F.coalesce("c", F.lit(0.0)) * F.abs("d")
     return each.agg((F.sum(loss) / F.count("*")).alias("pg_loss"), F.avg(F.abs("d")).alias("ppo_kl"))

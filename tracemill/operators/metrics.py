@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tracemill.functions import tokens as t
-from tracemill.session import ship_by_value
+from tracemill.session import by_key, ship_by_value
 
 ship_by_value(sys.modules[__name__])
 
@@ -168,7 +168,8 @@ def validation(df: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
         m = prompt_metrics(pdf["value"].tolist(), votes, draws, seed)
         return pd.DataFrame({"source": pdf["source"].iloc[0], "var": pdf["var"].iloc[0], "metric": list(m), "value": list(m.values())})
 
-    per = df.select("source", "prompt", "var", "value", "vote", "order").groupBy("source", "prompt", "var").applyInPandas(one, "source string, var string, metric string, value double")
+    keyed = by_key(df.select("source", "prompt", "var", "value", "vote", "order"), "source", "prompt", "var")
+    per = keyed.groupBy("source", "prompt", "var").applyInPandas(one, "source string, var string, metric string, value double")
     return per.groupBy("source", "var", "metric").agg(F.avg("value").alias("value"))
 
 

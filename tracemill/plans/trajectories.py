@@ -133,7 +133,7 @@ _LEN = "l AS (SELECT CAST(floor(l_orderkey / 256) AS BIGINT) AS batch, CAST(l_qu
 _PARTS = f"WITH {_LEN} SELECT batch, count(*) AS n_rows, true AS each_row_once"
 
 
-def _parts(s, d, method="differencing", **options):
+def _parts(s, d, method="karmarkar_karp", **options):
     """Per batch: rows, whether each is in one part, and the rows of the greatest and the smallest part."""
     own = _lengths(s, d)
     parts = balance.partition(own, "batch", "row", "length", 8, method=method, **options)

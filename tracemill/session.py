@@ -104,6 +104,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if 0 < have < want else df
 
 
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of equal keys together, in as many partitions as a shuffle has or, if these are more, as there are cores.
+
+    For functions of groups that cost far more than their rows' bytes tell: a shuffle by number isn't
+    coalesced, so the groups stay spread over all cores.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def ship_by_value(*modules) -> None:
     """Lets Python workers run functions of these modules without importing them.
 
