@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracemill.session import materialize, ship_by_value
+from tracemill.session import by_key, materialize, ship_by_value
 
 CAPACITY, GROUP, NODES, TRIES, SLACK = 2048, 256, 2000, 8, 0.02
 
@@ -277,7 +277,7 @@ def _rounds(sizes: DataFrame, id_col: str, size_col: str, capacity: int, group:
     while True:
         total = todo.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         groups = max(1, -(-total // (capacity * group)))
-        done = materialize(_deal(todo, groups, no).groupBy("grp").applyInPandas(_packer(capacity, nodes, tries), _OUT), "packed")
+        done = materialize(by_key(_deal(todo, groups, no), "grp").groupBy("grp").applyInPandas(_packer(capacity, nodes, tries), _OUT), "packed")
         n_loose = done.filter(loose).select("grp", "seq").distinct().count()
         last = groups == 1 or (before is not None and n_loose * 2 > before)
         packed.append(done.withColumn("last", F.lit(True) if last else ~loose))
