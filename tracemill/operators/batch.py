@@ -132,15 +132,15 @@ def reorder(df: DataFrame, permutation: Sequence[int]) -> DataFrame:
 
 
 def union(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Columns of both; shared ones must be equal (null equals null, NaN equals NaN), else BatchError is raised at once."""
+    """Columns of both; shared ones must be equal (null equals null, NaN equals NaN), else this raises at once."""
     shared = [c for c in a.columns if c in b.columns and c != ROW]
     right = b.withColumnsRenamed({c: f"_b_{c}" for c in shared})
     both = a.join(right, ROW)
     same = F.lit(True)
     for c in shared:
         same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    if shared and both.filter(~same).select(ROW).first() is not None:
-        raise BatchError("shared columns differ")
+    if shared:
+        both.filter(~same).select(F.raise_error(F.lit("shared columns differ"))).first()
     return both.drop(*[f"_b_{c}" for c in shared])
 
 
