@@ -168,6 +168,16 @@ def concat(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def split_fixed(df: DataFrame, size: int, name: str = "batch") -> DataFrame:
+    """Adds the number of the batch of ``size`` neighbouring rows."""
+    return df.withColumn(name, F.floor(F.col(ROW) / size))
+
+
+def deal(df: DataFrame, workers: int, name: str = "worker") -> DataFrame:
+    """Adds the worker that gets the row, in turn."""
+    return df.withColumn(name, F.col(ROW) % workers)
+
+
 def chunk_no(n: int, chunks: int, even: bool = True) -> Column:
     """Number of the chunk of a row; chunks hold ceil(n / chunks) rows, the last fewer."""
     if chunks < 1 or (even and n % chunks):

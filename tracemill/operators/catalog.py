@@ -71,7 +71,10 @@ def add_usage(current: DataFrame, uses: DataFrame, key: Sequence[str] = KEY) ->
     return current.join(n, list(key), "left").withColumn("used", (F.coalesce("used", F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("int")).select(*current.columns)
 
 
-def delete_runs(current: DataFrame, run_ids: Sequence[str]) -> DataFrame:
+def delete_runs(current: DataFrame, run_ids: Sequence[str] | DataFrame) -> DataFrame:
+    """Rows of all other runs; the ids come as a list or as a table with run_id. Rows without a run stay."""
+    if isinstance(run_ids, DataFrame):
+        return current.join(run_ids.select("run_id"), "run_id", "left_anti")
     return current.filter(~F.col("run_id").isin(*run_ids) | F.col("run_id").isNull())
 
 
@@ -143,6 +146,11 @@ def serve(df: DataFrame, batches: int, batch: int, per_task: int, key: Sequence[
     return out, now
 
 
+def counts_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows per combination of states."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
 def queue_slot(index: Column, batch: int, queue_length: int) -> Column:
     """Place in the task queue that a read of this index serves."""
     return F.pmod(F.pmod(index, F.lit(batch)), F.lit(queue_length))

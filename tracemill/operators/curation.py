@@ -123,6 +123,18 @@ def newest_full_groups(df: DataFrame, n: int, task: str = "task_id") -> DataFram
     return top.join(full, top[task].eqNullSafe(F.col("_full")), "left_semi").drop("_rk")
 
 
+def newest_positive(df: DataFrame, positive: Column, task: str = "task_id") -> DataFrame:
+    """The newest positive row of each task."""
+    return df.filter(positive).withColumn("_rk", F.row_number().over(_newest(task))).filter("_rk = 1").drop("_rk")
+
+
+def best_gap(df: DataFrame, value: str, group: str, order: str) -> DataFrame:
+    """``group, gap``: the best value less the second best, of groups of two or more."""
+    two = df.withColumn("_rk", F.row_number().over(W.partitionBy(group).orderBy(F.col(value).desc(), order))).filter(F.col("_rk") <= 2)
+    per = two.groupBy(group).agg(F.count("*").alias("_n"), (F.max(F.when(F.col("_rk") == 1, F.col(value))) - F.max(F.when(F.col("_rk") == 2, F.col(value)))).alias("gap"))
+    return per.filter("_n = 2").drop("_n")
+
+
 def rotate(groups: DataFrame, last_task: str | None, task: str = "task_id") -> DataFrame:
     """Groups by ``group_at`` in a ring that starts after last_task: task, place (from 0)."""
     ranked = number_rows(groups.select(task, "group_at").distinct(), F.col("group_at").asc_nulls_last(), F.col(task))

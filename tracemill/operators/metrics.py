@@ -283,6 +283,40 @@ def spread(df: DataFrame, value: str) -> DataFrame:
     return df.agg(F.avg(value).alias("mean"), F.max(value).alias("max"), F.min(value).alias("min"), F.stddev_pop(value).alias("std"))
 
 
+def regressions(df: DataFrame, run: str, task: str, reward: str, order: str) -> DataFrame:
+    """``task, run_a, run_b``: tasks whose last row was solved in one run and failed in a later one."""
+    last = df.filter(F.col(reward).isNotNull()).groupBy(run, task).agg(F.max_by(reward, order).alias("_r"))
+    a, b = last.filter("_r = 1").select(task, F.col(run).alias("run_a")), last.filter("_r = 0").select(task, F.col(run).alias("run_b"))
+    return a.join(b, task).filter("run_a < run_b").select(task, "run_a", "run_b")
+
+
+def rates_compared(a: DataFrame, b: DataFrame, domain: str, reward: str) -> DataFrame:
+    """``domain, rate_a, rate_b, delta``: mean rewards of two sets per domain, 0 where a set has none."""
+    per = lambda df, n: df.groupBy(domain).agg(F.avg(reward).alias(n))
+    both = per(a, "rate_a").join(per(b, "rate_b"), domain, "full_outer").fillna(0.0, ["rate_a", "rate_b"])
+    return both.withColumn("delta", F.col("rate_b") - F.col("rate_a"))
+
+
+def group_sizes(df: DataFrame, group: str, member: str, name: str = "n_members") -> DataFrame:
+    """``name, n_groups``: how many groups have how many different members."""
+    return df.groupBy(group).agg(F.countDistinct(member).alias(name)).groupBy(name).agg(F.count("*").alias("n_groups"))
+
+
+def composition(df: DataFrame, by: str) -> DataFrame:
+    """Rows per value."""
+    return df.groupBy(by).agg(F.count("*").alias("n"))
+
+
+def merged(parts: DataFrame, n: str = "n", ok: str = "ok") -> DataFrame:
+    """Totals and rate of workers' counts."""
+    return parts.agg(F.sum(n).alias("n"), F.sum(ok).alias("ok")).withColumn("rate", rate(F.col("ok"), F.col("n")))
+
+
+def listed(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """``key, values``: each key's values as a list, in order."""
+    return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias("values"))
+
+
 def rank_timings(df: DataFrame, name: str = "name", rank: str = "rank", seconds: str = "seconds") -> DataFrame:
     """Accumulated seconds per rank, then their mean over ranks."""
     return df.groupBy(name, rank).agg(F.sum(seconds).alias("s")).groupBy(name).agg(F.avg("s").alias("seconds"))

@@ -49,8 +49,16 @@ CATALOG = """cat AS (SELECT id, run_id, trajectory_id, task_id, CASE WHEN isnan(
 """
 
 
+_ROLLOUT = ["id", "task_id", "reward", "num_chunks", "used", "model_version", "create_at"]
+
+
 def catalog(spark: SparkSession, d: str) -> DataFrame:
-    cols = ["id", "task_id", "reward", "num_chunks", "used", "model_version", "create_at"]
-    src = table(spark, d, "rollout_run", "run_id", "trajectory_id", *cols).filter("id is not null")
+    return current(table(spark, d, "rollout_run", "run_id", "trajectory_id", *_ROLLOUT))
+
+
+def current(rows: DataFrame) -> DataFrame:
+    """The current row of each rollout."""
+    cols = _ROLLOUT
+    src = rows.filter("id is not null")
     one = src.groupBy("run_id", "trajectory_id").agg(F.max_by(F.struct(*cols), "id").alias("r")).select("run_id", "trajectory_id", "r.*")
     return one.withColumn("reward", F.when(~F.isnan("reward"), F.col("reward")))

@@ -55,7 +55,7 @@ _reg(
     lambda x: b.unfold_column_chunks(x.withColumn("a", F.sequence("o_orderkey", F.col("o_orderkey") + 3)), 2, ["a"]).select("_row", "o_orderkey", F.array_join("a", ",").alias("part")),
 )
 _reg("batch_minibatches", "SELECT _row, o_orderkey, CAST(e.i AS INTEGER) AS epoch, CAST(floor(_row / 100) AS BIGINT) AS batch FROM o, (VALUES (0), (1)) e(i)", lambda x: b.minibatches(x, 100, 2).select("_row", "o_orderkey", "epoch", "batch"))
-_reg("batch_split_fixed", "SELECT _row, CAST(floor(_row / 64) AS BIGINT) AS batch FROM o", lambda x: x.select("_row", F.floor(F.col("_row") / 64).alias("batch")))
+_reg("batch_split_fixed", "SELECT _row, CAST(floor(_row / 64) AS BIGINT) AS batch FROM o", lambda x: b.split_fixed(x, 64).select("_row", "batch"))
 _reg(
     "batch_collate",
     "SELECT CAST(floor(_row / 512) AS BIGINT) AS batch, count(*) AS n, md5(string_agg(o_orderstatus, '' ORDER BY _row)) AS digest FROM o GROUP BY 1",
@@ -76,5 +76,5 @@ _reg(
     "SELECT CAST(row_number() OVER (ORDER BY e.i, md5('7|' || e.i || '|' || _row), _row) - 1 AS BIGINT) AS _row, _row AS _source_row, o_orderkey, CAST(e.i AS INTEGER) AS epoch, CAST(floor((row_number() OVER (PARTITION BY e.i ORDER BY md5('7|' || e.i || '|' || _row), _row) - 1) / 100) AS BIGINT) AS batch FROM o, (VALUES (0), (1)) e(i)",
     lambda x: b.minibatches(x, 100, 2, seed=7),
 )
-_reg("batch_mod_partition", "SELECT _row, _row % 5 AS worker FROM o", lambda x: x.select("_row", (F.col("_row") % 5).alias("worker")))
+_reg("batch_mod_partition", "SELECT _row, _row % 5 AS worker FROM o", lambda x: b.deal(x, 5).select("_row", "worker"))
 _reg("batch_head_tail_split", "SELECT _row, CASE WHEN _row < floor(n * 0.9) THEN 'train' ELSE 'test' END AS part FROM o, n", lambda x: x.select("_row", F.when(F.col("_row") < int(x.count() * 0.9), "train").otherwise("test").alias("part")))

@@ -11,6 +11,7 @@ from tracemill.operators import advantage as adv
 from tracemill.operators import curation, metrics
 from tracemill.operators import trajectory as tr
 from tracemill.plans.adapters import CATALOG, TOKENS, catalog, token_batch
+from tracemill.operators.batch import first_rows
 from tracemill.plans.registry import CORE
 from tracemill.plans.rollouts import _DOM, _domains
 from tracemill.session import shared_dir, table
@@ -33,7 +34,7 @@ CORE.query("done_flag_success", "WITH e AS (SELECT event_type, user_id, bool_or(
 )
 CORE.query("best_logged_reward", "SELECT max(value) AS best_reward FROM events")(lambda s, d: metrics.best_reward(table(s, d, "events", F.concat(F.lit("step 3 reward: "), F.col("value").cast("string"), F.lit(" done")).alias("line")), "line"))
 CORE.query("merged_worker_summaries", "WITH w AS (SELECT user_id % 4 AS worker, count(*) AS n, count(*) FILTER (value > 50) AS ok FROM events GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(ok) AS BIGINT) AS ok, round(sum(ok) * 1.0 / sum(n), 6) AS rate FROM w")(
-    lambda s, d: table(s, d, "events", "user_id", "value").groupBy(F.col("user_id") % 4).agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("ok")).agg(F.sum("n").alias("n"), F.sum("ok").alias("ok")).withColumn("rate", F.round(metrics.rate(F.col("ok"), F.col("n")), 6))
+    lambda s, d: table(s, d, "events", "user_id", "value").groupBy(F.col("user_id") % 4).agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("ok")).transform(metrics.merged).withColumn("rate", F.round("rate", 6))
 )
 CORE.query("value_spread", "SELECT round(avg(value), 6) AS mean, max(value) AS max, min(value) AS min, round(stddev_pop(value), 6) AS std FROM events")(lambda s, d: metrics.spread(table(s, d, "events", "value"), "value").withColumns({"mean": F.round("mean", 6), "std": F.round("std", 6)}))
 CORE.query("rank_timings", "WITH r AS (SELECT event_type AS name, user_id % 8 AS rank, sum(value) AS s FROM events GROUP BY 1, 2) SELECT name, round(avg(s), 6) AS seconds FROM r GROUP BY 1")(
@@ -107,12 +108,17 @@ def _rotated(c):
 
 
 CORE.query("batch_row_limit", f"{_C} SELECT id FROM cat ORDER BY id LIMIT 256")(lambda s, d: curation.cut_batch(catalog(s, d).select("id"), 32, 8, "id"))
-CORE.query("seeded_sample_size", f"{_C} SELECT least(count(*), 500) AS n FROM cat")(lambda s, d: catalog(s, d).select("id").orderBy(F.xxhash64(F.lit(42), "id"), "id").limit(500).agg(F.count("*").alias("n")))
+CORE.query("seeded_sample", f"{_C} SELECT id FROM cat ORDER BY md5('42|' || id), id LIMIT 500")(
+    lambda s, d: first_rows(catalog(s, d).select("id").withColumn("h", F.md5(F.concat_ws("|", F.lit("42"), F.col("id").cast("string")))), 500, "h", "id").select("id")
+)
+CORE.query("metrics_listed", "SELECT event_type AS name, md5(string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id)) AS digest FROM events GROUP BY 1")(
+    lambda s, d: metrics.listed(table(s, d, "events", F.col("event_type").alias("name"), "user_id", "event_id"), "name", "user_id", "event_id").select("name", F.md5(F.array_join("values", ",")).alias("digest"))
+)
 CORE.query("conditional_group_counts", f"{_C} SELECT run_id, count(*) FILTER (reward >= 0) AS n_scored, count(DISTINCT task_id) AS n_tasks, CAST(sum(CASE WHEN used > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_used FROM cat GROUP BY run_id")(
     lambda s, d: catalog(s, d).groupBy("run_id").agg(F.count_if(F.col("reward") >= 0).alias("n_scored"), F.countDistinct("task_id").alias("n_tasks"), F.sum(F.when(F.col("used") > 0, 1).otherwise(0)).alias("n_used"))
 )
 CORE.query("latest_positive_per_task", f"{_C} SELECT task_id, id FROM (SELECT task_id, id, row_number() OVER (PARTITION BY task_id ORDER BY create_at DESC NULLS LAST, id DESC) AS k FROM cat WHERE reward = 1) WHERE k = 1")(
-    lambda s, d: catalog(s, d).filter("reward = 1").withColumn("k", F.row_number().over(W.partitionBy("task_id").orderBy(F.col("create_at").desc_nulls_last(), F.col("id").desc()))).filter("k = 1").select("task_id", "id")
+    lambda s, d: curation.newest_positive(catalog(s, d), F.col("reward") == 1).select("task_id", "id")
 )
 
 

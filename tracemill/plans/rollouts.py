@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tracemill.operators import batch, catalog, curation, metrics
-from tracemill.plans.adapters import CATALOG
+from tracemill.plans.adapters import CATALOG, current
 from tracemill.plans.adapters import catalog as cat
 from tracemill.plans.registry import CORE
 from tracemill.session import table
+from tracemill.sources import readers
+from tracemill.streaming import monitor
 
 _C = "WITH " + CATALOG
 _NEW, _OLD = "create_at DESC NULLS LAST, id DESC", "create_at ASC NULLS FIRST, id ASC"
@@ -25,7 +27,7 @@ def _big_run(c):
 
 
 CORE.query("catalog_scan_by_run", f"{_C} SELECT id, trajectory_id, task_id, reward FROM cat WHERE run_id = {_BIG_RUN}")(
-    lambda s, d: (lambda c: c.join(F.broadcast(_big_run(c)), "run_id", "left_semi").select("id", "trajectory_id", "task_id", "reward"))(cat(s, d))
+    lambda s, d: current(readers.catalog_run(s, f"{d}/rollout_run.parquet", _big_run(cat(s, d)).first().run_id)).select("id", "trajectory_id", "task_id", "reward")
 )
 _V = f"""{_C}, v AS (SELECT run_id, model_version, max(create_at) AS last_at FROM cat WHERE model_version IS NOT NULL GROUP BY run_id, model_version),
 vr AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY last_at DESC NULLS LAST, model_version DESC) AS rank FROM v)"""
@@ -65,7 +67,7 @@ CORE.query(
     f"""{_C}, u AS (SELECT c.run_id, c.trajectory_id, count(*) AS n FROM cat c JOIN rollout_run r ON c.run_id = r.run_id AND c.trajectory_id = r.trajectory_id AND r.used > 1 GROUP BY 1, 2)
 SELECT c.run_id, c.trajectory_id, CAST(coalesce(c.used, 0) + coalesce(u.n, 0) AS INTEGER) AS used FROM cat c LEFT JOIN u ON c.run_id = u.run_id AND c.trajectory_id = u.trajectory_id""",
 )(lambda s, d: catalog.add_usage(cat(s, d), table(s, d, "rollout_run", *_K, "used").filter("used > 1")).select(*_K, "used"))
-CORE.query("delete_run", f"{_C} SELECT id FROM cat WHERE run_id <> {_BIG_RUN}")(lambda s, d: (lambda c: c.join(F.broadcast(_big_run(c)), "run_id", "left_anti").select("id"))(cat(s, d)))
+CORE.query("delete_run", f"{_C} SELECT id FROM cat WHERE run_id <> {_BIG_RUN}")(lambda s, d: (lambda c: catalog.delete_runs(c, [r.run_id for r in _big_run(c).collect()]).filter("run_id is not null").select("id"))(cat(s, d)))
 CORE.query("usage_running_total", f"{_C} SELECT id, CAST(sum(coalesce(used, 0)) OVER (PARTITION BY run_id, task_id ORDER BY id) AS BIGINT) AS total FROM cat")(
     lambda s, d: batch.running_total(cat(s, d).select("id", "run_id", "task_id", "used"), "used", ["run_id", "task_id"], "id").select("id", "total")
 )
@@ -109,7 +111,7 @@ CORE.query("distinct_tasks", "SELECT DISTINCT task_id FROM rollout_run")(lambda
 CORE.query(
     "newly_passing",
     f"""{_C}, p AS (SELECT id FROM cat WHERE reward = 1), sp AS (SELECT id FROM cat WHERE reward = 1 AND id % 3 = 0), added AS (SELECT id FROM cat WHERE id % 5 = 0) SELECT id FROM p EXCEPT SELECT id FROM sp EXCEPT SELECT id FROM added""",
-)(lambda s, d: (lambda c: c.filter("reward = 1").select("id").join(c.filter("reward = 1 and id % 3 = 0").select("id"), "id", "left_anti").join(c.filter("id % 5 = 0").select("id"), "id", "left_anti"))(cat(s, d)))
+)(lambda s, d: (lambda c: monitor.newly_passing(c.filter("reward = 1"), c.filter("reward = 1 and id % 3 = 0"), c.filter("id % 5 = 0")))(cat(s, d)))
 
 # curation ---------------------------------------------------------------------------------
 
@@ -212,10 +214,7 @@ SELECT a.task_id, a.run_id AS run_a, b.run_id AS run_b FROM e a JOIN e b ON a.ta
 
 
 def _regressions(c):
-    """Tasks solved in one run and failed in a later one; a task has at most one row per run here."""
-    last = c.filter("reward is not null").groupBy("run_id", "task_id").agg(F.max_by("reward", "id").alias("r"))
-    a, b = last.filter("r = 1").select("task_id", F.col("run_id").alias("run_a")), last.filter("r = 0").select("task_id", F.col("run_id").alias("run_b"))
-    return a.join(b, "task_id").filter("run_a < run_b").select("task_id", "run_a", "run_b")
+    return metrics.regressions(c, "run_id", "task_id", "reward", "id")
 
 
 _DOM = "m AS (SELECT task_id, min(domain) AS domain FROM (SELECT lower(trim(regexp_replace(trim(task_id), '\\.json$', ''))) AS task_id, domain FROM task_manifest) GROUP BY task_id)"
@@ -244,9 +243,8 @@ SELECT coalesce(a.domain, b.domain) AS domain, round(coalesce(a.r, 0), 6) + 0.0
 
 
 def _compared(j):
-    per = lambda df, n: df.groupBy("domain").agg(F.avg("reward").alias(n))
-    both = per(j.filter("id % 2 = 0 and domain <> 'os'"), "a").join(per(j.filter("id % 2 = 1 and domain <> 'writer'"), "b"), "domain", "full_outer").fillna(0.0, ["a", "b"])
-    return both.select("domain", r6("a", "rate_a"), r6("b", "rate_b"), r6(F.col("b") - F.col("a"), "delta"))
+    both = metrics.rates_compared(j.filter("id % 2 = 0 and domain <> 'os'"), j.filter("id % 2 = 1 and domain <> 'writer'"), "domain", "reward")
+    return both.select("domain", *[r6(c, c) for c in ("rate_a", "rate_b", "delta")])
 
 
 CORE.query("experiment_summary", f"{_C}, t AS (SELECT run_id, task_id, avg(reward) AS m, max(reward) AS b, sum(reward) AS s, count(*) AS n FROM cat WHERE {_SCORED} GROUP BY 1, 2) SELECT run_id, round(sum(s) / sum(n), 10) + 0.0 AS mean_reward, round(avg(m), 10) + 0.0 AS mean_task_reward, round(avg(b), 10) + 0.0 AS any_correct, count(*) AS n_tasks FROM t GROUP BY run_id")(
@@ -264,9 +262,10 @@ def _r(df, *cols):
 
 
 CORE.query("runs_per_task_histogram", f"{_C}, t AS (SELECT task_id, count(DISTINCT run_id) AS n_runs FROM cat GROUP BY task_id) SELECT n_runs, count(*) AS n_tasks FROM t GROUP BY n_runs")(
-    lambda s, d: cat(s, d).groupBy("task_id").agg(F.countDistinct("run_id").alias("n_runs")).groupBy("n_runs").agg(F.count("*").alias("n_tasks"))
+    lambda s, d: metrics.group_sizes(cat(s, d), "task_id", "run_id", "n_runs").withColumnRenamed("n_groups", "n_tasks")
 )
-CORE.query("batch_composition", f"{_C} SELECT model_version, count(*) AS n FROM cat GROUP BY model_version")(lambda s, d: cat(s, d).groupBy("model_version").agg(F.count("*").alias("n")))
+CORE.query("batch_composition", f"{_C} SELECT model_version, count(*) AS n FROM cat GROUP BY model_version")(lambda s, d: metrics.composition(cat(s, d), "model_version"))
+CORE.query("batch_composition_by_task", f"{_C} SELECT task_id, count(*) AS n FROM cat GROUP BY task_id")(lambda s, d: metrics.composition(cat(s, d), "task_id"))
 CORE.query("offline_eval_mean", f"{_C}, t AS (SELECT run_id, task_id, avg(reward) AS m FROM cat WHERE {_SCORED} GROUP BY 1, 2) SELECT run_id, round(avg(m), 6) + 0.0 AS reward FROM t GROUP BY run_id")(
     lambda s, d: metrics.mean_of_means(curation.scored(cat(s, d)), "run_id", "task_id", "reward").select("run_id", r6("reward", "reward"))
 )
@@ -275,7 +274,7 @@ CORE.query(
     f"""{_C}, v AS (SELECT task_id, reward, count(*) AS n, min(id) AS f FROM cat WHERE {_SCORED} GROUP BY 1, 2) SELECT task_id, reward FROM (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY n DESC, f) AS k FROM v) WHERE k = 1""",
 )(lambda s, d: metrics.majority_value(curation.scored(cat(s, d)).select("task_id", F.col("reward").alias("vote"), "reward", "id"), ["task_id"], "vote", "reward", "id"))
 CORE.query("pass_at_2_gap", f"{_C} SELECT task_id, round(max(CASE WHEN k = 1 THEN reward END) - max(CASE WHEN k = 2 THEN reward END), 6) + 0.0 AS gap FROM (SELECT task_id, reward, row_number() OVER (PARTITION BY task_id ORDER BY reward DESC, id) AS k FROM cat WHERE {_SCORED}) WHERE k <= 2 GROUP BY task_id HAVING count(*) = 2")(
-    lambda s, d: curation.scored(cat(s, d)).withColumn("k", F.row_number().over(W.partitionBy("task_id").orderBy(F.col("reward").desc(), "id"))).filter("k <= 2").groupBy("task_id").agg(F.count("*").alias("n"), r6(F.max(F.when(F.col("k") == 1, F.col("reward"))) - F.max(F.when(F.col("k") == 2, F.col("reward"))), "gap")).filter("n = 2").drop("n")
+    lambda s, d: curation.best_gap(curation.scored(cat(s, d)), "reward", "task_id", "id").select("task_id", r6("gap", "gap"))
 )
 CORE.query(
     "pair_accuracy",
@@ -345,4 +344,4 @@ CORE.query("registry_move_state", f"WITH {_UT} SELECT id, CASE WHEN id = 2 THEN
     lambda s, d: catalog.move_state(_ut(s, d).withColumns({"updated_at": F.lit(None).cast("timestamp_ntz"), "started_at": F.lit(None).cast("timestamp_ntz")}), 2, 1, F.lit("2026-06-01").cast("timestamp_ntz")).select("id", "status", "started_at")
 )
 CORE.query("registry_priority_rule", f"WITH {_UT} SELECT id, CASE WHEN type = 'system' THEN priority = 9 ELSE priority BETWEEN 0 AND 8 END AS valid FROM ut")(lambda s, d: _ut(s, d).select("id", catalog.priority_is_valid(F.col("type"), F.col("priority")).alias("valid")))
-CORE.query("registry_counts_by_state", f"WITH {_UT} SELECT status, type, count(*) AS n FROM ut GROUP BY status, type")(lambda s, d: _ut(s, d).groupBy("status", "type").agg(F.count("*").alias("n")))
+CORE.query("registry_counts_by_state", f"WITH {_UT} SELECT status, type, count(*) AS n FROM ut GROUP BY status, type")(lambda s, d: catalog.counts_by(_ut(s, d), "status", "type"))

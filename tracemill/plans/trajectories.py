@@ -59,13 +59,8 @@ CORE.query(
 
 
 def _chunk_files(s, d):
-    """Writes the windows as files, reads them back, and counts them per trajectory."""
-    folder = _folder(s, "chunks")
-    windows = materialize(tr.sliding(_messages(s, d), "msgs", 3, 2, 5).select("trajectory_id", "chunk_index", "window"), "windows")
-    # one table instead of a folder per trajectory, of which there may be many
-    windows.select("trajectory_id", "chunk_index", F.to_json("window").alias("messages")).write.mode("overwrite").json(folder)
-    back = s.read.schema("trajectory_id string, chunk_index int, messages string").json(folder)
-    return back.filter("messages is not null").groupBy("trajectory_id").agg(F.count("*").cast("int").alias("num_chunks"))
+    windows = tr.sliding(_messages(s, d), "msgs", 3, 2, 5).select("trajectory_id", "chunk_index", "window")
+    return writers.chunks(windows, _folder(s, "chunks")).drop("split_dir")
 
 
 CORE.query(
@@ -178,7 +173,7 @@ CORE.query("manifest_flattened", "SELECT domain AS task_type, task_id, count(*)
     lambda s, d: readers.manifest_rows(writers.regrouped(table(s, d, "task_manifest", "domain", "task_id").filter("domain is not null"), "domain", "task_id"), "manifest").groupBy("task_type", "task_id").agg(F.count("*").alias("n"))
 )
 CORE.query("feasible_tasks", "SELECT rec_no FROM task_config WHERE coalesce(evaluator.func, '') <> 'infeasible'")(lambda s, d: recipes.feasible(table(s, d, "task_config", "rec_no", F.col("evaluator.func").alias("func"))).select("rec_no"))
-CORE.query("task_config_defaults", "SELECT rec_no, id AS task_id, 'ubuntu' AS os FROM task_config")(lambda s, d: table(s, d, "task_config", "rec_no", "id").withColumns({"task_id": F.col("id"), "os": F.lit("ubuntu")}).drop("id"))
+CORE.query("task_config_defaults", "SELECT rec_no, id AS task_id, 'ubuntu' AS os FROM task_config")(lambda s, d: recipes.with_defaults(table(s, d, "task_config", "rec_no", "id")).drop("id"))
 _TK = "lower(trim(regexp_replace(trim({0}), '\\.json$', '')))"
 CORE.query("task_config_joined", f"WITH c AS (SELECT {_TK.format('task_id')} AS k, max(snapshot) AS snapshot FROM task_config WHERE task_id IS NOT NULL GROUP BY 1) SELECT m.entry_id, c.snapshot FROM task_manifest m JOIN c ON {_TK.format('m.task_id')} = c.k")(lambda s, d: _configs(s, d, "inner"))
 CORE.query("manifest_without_config", f"WITH c AS (SELECT DISTINCT {_TK.format('task_id')} AS k FROM task_config WHERE task_id IS NOT NULL) SELECT m.entry_id FROM task_manifest m WHERE m.task_id IS NOT NULL AND {_TK.format('m.task_id')} NOT IN (SELECT k FROM c)")(lambda s, d: _configs(s, d, "left_anti"))
@@ -194,8 +189,7 @@ def _task_key(c):
 def _configs(s, d, how):
     c = table(s, d, "task_config", "task_id", "snapshot").filter("task_id is not null").groupBy(_task_key("task_id").alias("k")).agg(F.max("snapshot").alias("snapshot"))
     m = table(s, d, "task_manifest", "entry_id", "task_id").filter("task_id is not null").withColumn("k", _task_key("task_id"))
-    out = m.join(c, "k", how)
-    return out.select("entry_id", "snapshot") if how == "inner" else out.select("entry_id")
+    return m.join(c, "k").select("entry_id", "snapshot") if how == "inner" else recipes.missing_files(m, c, "k").select("entry_id")
 
 
 CORE.query(

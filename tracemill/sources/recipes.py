@@ -141,6 +141,11 @@ def feasible(tasks: DataFrame, func: str = "func") -> DataFrame:
     return tasks.filter(F.coalesce(F.col(func), F.lit("")) != "infeasible")
 
 
+def with_defaults(tasks: DataFrame, os: str = "ubuntu") -> DataFrame:
+    """Adds ``task_id``, the config's id, and the operating system that runs use if none is named."""
+    return tasks.withColumns({"task_id": F.col("id"), "os": F.lit(os)})
+
+
 def missing_files(expected: DataFrame, present: DataFrame, on: str) -> DataFrame:
     return expected.join(present.select(on), on, "left_anti")
 

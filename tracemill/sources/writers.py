@@ -34,9 +34,13 @@ def with_responses(prompts: DataFrame, samples: DataFrame, key: str, order: str,
 
 
 def chunks(df: DataFrame, folder: str) -> DataFrame:
-    """Windows as JSON partitioned by trajectory; returns the manifest ``trajectory_id, num_chunks, split_dir``."""
-    df.select("trajectory_id", "chunk_index", F.to_json("window").alias("messages")).write.mode("overwrite").partitionBy("trajectory_id").json(folder)
-    return df.groupBy("trajectory_id").agg(F.count("*").cast("int").alias("num_chunks")).withColumn("split_dir", F.concat(F.lit(f"{folder}/trajectory_id="), "trajectory_id"))
+    """Windows as one table of JSON; returns the manifest ``trajectory_id, num_chunks, split_dir`` of what was written.
+
+    One table instead of a folder per trajectory, of which there may be many.
+    """
+    df.select("trajectory_id", "chunk_index", F.to_json("window").alias("messages")).write.mode("overwrite").json(folder)
+    back = df.sparkSession.read.schema("trajectory_id string, chunk_index int, messages string").json(folder)
+    return back.filter("messages is not null").groupBy("trajectory_id").agg(F.count("*").cast("int").alias("num_chunks")).withColumn("split_dir", F.lit(folder))
 
 
 def episodes(df: DataFrame, folder: str) -> None:
