@@ -207,6 +207,10 @@ def math_equal(prediction: str | None, reference: str | None, percent: bool = Tr
 DEGREE, TERMS = 64, 2000
 
 
+class TooLarge(ValueError):
+    """A power or product beyond DEGREE or TERMS."""
+
+
 class _Algebra:
     """Reads plain algebra as a quotient of polynomials: dicts from exponents per letter to a fraction."""
 
@@ -272,8 +276,10 @@ class _Algebra:
             self.take()
             n, d = self.factor()
             e = n.get((), Fraction(0)) / d[()] if set(n) <= {()} and set(d) == {()} else None
-            if e is None or e.denominator != 1 or abs(e) > DEGREE:
+            if e is None or e.denominator != 1:
                 raise ValueError("exponent")
+            if abs(e) > DEGREE:
+                raise TooLarge("exponent")
             if e < 0:
                 value, e = (value[1], value[0]), -e
                 if not value[1]:
@@ -294,13 +300,13 @@ def _times(a: dict, b: dict) -> dict:
             key = tuple(sorted(powers.items()))
             out[key] = out.get(key, 0) + x * y
         if len(out) > TERMS:
-            raise ValueError("too many terms")
+            raise TooLarge("terms")
     return {m: x for m, x in out.items() if x and all(e <= DEGREE for _, e in m) or _too_high(m)}
 
 
 def _too_high(m) -> bool:
     if any(e > DEGREE for _, e in m):
-        raise ValueError("degree")
+        raise TooLarge("degree")
     return False
 
 
@@ -393,6 +399,25 @@ def prime_score(solution: str | None, truth: str | None) -> float:
     return float(grade(answer, truth) or math_equal(answer, truth))
 
 
+def verify_score(solution: str | None, truth: str | None, timeout_score: float = 0.0) -> float:
+    """1 if the last boxed answer equals the truth, else 0; timeout_score where the comparison is too large to be made."""
+    boxed = last_boxed(solution) if solution else None
+    if boxed is None or truth is None:
+        return 0.0
+    try:
+        answer = unbox(boxed)
+    except ValueError:
+        return 0.0
+    try:
+        for t in (answer, truth):
+            _Algebra(t.replace(" ", "")).whole()
+    except TooLarge:
+        return timeout_score
+    except (ValueError, ZeroDivisionError, RecursionError, OverflowError):
+        pass
+    return float(math_equal(answer, truth))
+
+
 def geo_score(solution: str | None, truth: str | None) -> float:
     """0.9 of the accuracy and 0.1 of the think-then-box format."""
     if solution is None:

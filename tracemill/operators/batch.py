@@ -280,13 +280,23 @@ def iterate(df: DataFrame, size: int) -> Iterator[DataFrame]:
         yield slice_rows(df, k * size, (k + 1) * size)
 
 
+def hashed(seed: int, *columns: str) -> Column:
+    """Hash of seed and columns as text, for choices that repeat anywhere."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
+
+
+def hashed_number(seed: int, *columns: str) -> Column:
+    """The first 60 bits of :func:`hashed`."""
+    return F.conv(F.substring(hashed(seed, *columns), 1, 15), 16, 10).cast("long")
+
+
 def upsample(df: DataFrame, multiple: int, seed: int = 0) -> DataFrame:
     """Rows added, drawn by hash with replacement, until the count is a multiple."""
     n = df.count()
     extra = -n % multiple
     if not extra or not n:
         return df
-    picks = df.sparkSession.range(extra).select((F.lit(n) + F.col("id")).alias("_pos"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)).alias("_idx"))
+    picks = df.sparkSession.range(extra).select((F.lit(n) + F.col("id")).alias("_pos"), F.pmod(hashed_number(seed, "id"), F.lit(n)).alias("_idx"))
     return df.unionByName(gather(df, picks).select(*df.columns))
 
 
@@ -296,7 +306,7 @@ def fit_count(df: DataFrame, multiple: int, most: int = 768, seed: int = 0) -> D
     if n % multiple == 0:
         return df
     if n > most:
-        return _renumber(df.orderBy(F.xxhash64(F.lit(seed), ROW), ROW).limit(most))
+        return _renumber(df.orderBy(hashed(seed, ROW), ROW).limit(most))
     return upsample(df, multiple, seed)
 
 

@@ -16,7 +16,7 @@ def _b(s, d, *cols):
 
 
 def _reg(name, sql, f, *cols):
-    CORE.query(name, _O + sql)(lambda s, d: f(_b(s, d, *cols)))
+    CORE.query(name, _O.rstrip() + sql.removeprefix("{}") if sql.startswith("{}") else _O + sql)(lambda s, d: f(_b(s, d, *cols)))
 
 
 _reg("batch_number_rows", "SELECT _row, o_orderkey FROM o", lambda x: x.select("_row", "o_orderkey"))
@@ -63,12 +63,17 @@ _reg(
     "o_orderstatus",
 )
 _reg("batch_size_report", "SELECT unnest(['o_orderkey', 'o_orderstatus']) AS name, n AS n_values FROM n", b.size_report, "o_orderstatus")
-_reg("batch_upsample_count", "SELECT CAST(ceil(n / 768.0) * 768 AS BIGINT) AS n FROM n", lambda x: b.upsample(x, 768).agg(F.count("*").alias("n")))
-_reg("batch_fit_count", "SELECT CAST(768 AS BIGINT) AS n, CAST(0 AS BIGINT) AS first FROM n WHERE n % 7168 <> 0", lambda x: b.fit_count(x, 7168).agg(F.count("*").alias("n"), F.min("_row").alias("first")))
+_EXTRA = "e AS (SELECT n + i AS _row, ('0x' || substring(md5('0|' || i), 1, 15))::BIGINT % n AS src, i FROM n, range(768) t(i) WHERE i < (768 - n % 768) % 768)"
+_reg("batch_upsample", f"{{}}, {_EXTRA} SELECT _row, o_orderkey FROM o UNION ALL SELECT e._row, o.o_orderkey FROM e JOIN o ON o._row = e.src", lambda x: b.upsample(x, 768).select("_row", "o_orderkey"))
+_reg(
+    "batch_fit_count",
+    "{}, p AS (SELECT o_orderkey, _row FROM o ORDER BY md5('0|' || _row), _row LIMIT 768) SELECT CAST(row_number() OVER (ORDER BY _row) - 1 AS BIGINT) AS _row, o_orderkey FROM p",
+    lambda x: b.fit_count(x, 7168).select("_row", "o_orderkey"),
+)
 _reg(
     "batch_upsample_padding",
-    "SELECT count(*) FILTER (WHERE false) + CAST(ceil(any_value(n) / 768.0) * 768 - any_value(n) AS BIGINT) AS n_padding, round(sum(o_totalprice), 4) AS reward FROM o, n",
-    lambda x: b.upsample_with_padding(x.withColumnsRenamed({"o_orderstatus": "uid", "o_totalprice": "reward"}), 768)[0].agg(F.count_if(F.col("uid") == "padding").alias("n_padding"), F.round(F.sum("reward"), 4).alias("reward")),
+    f"{{}}, {_EXTRA} SELECT _row, o_orderstatus AS uid, o_totalprice AS reward FROM o UNION ALL SELECT e._row, 'padding', 0.0 FROM e",
+    lambda x: b.upsample_with_padding(x.withColumnsRenamed({"o_orderstatus": "uid", "o_totalprice": "reward"}), 768)[0].select("_row", "uid", "reward"),
     "o_orderstatus", "o_totalprice",
 )
 _reg(

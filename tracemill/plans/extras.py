@@ -89,6 +89,37 @@ def _same_matrices(keys):
     return pd.Series([mathscore.math_equal(left(int(n)), right(int(n)), percent=False, tolerance=1e-9) for n in keys])
 
 
+@CORE.query("verify_scores", _O + "SELECT k, CASE k % 3 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.0::DOUBLE ELSE 0.25::DOUBLE END AS score FROM o")
+def verify_scores(s, d):
+    """Right and wrong answers, and ones whose comparison is too large and scores 0.25."""
+    boxed = lambda x: F.concat(F.lit("so \\boxed{"), x, F.lit("}"))
+    k = F.col("k").cast("string")
+    text = F.when(F.col("k") % 3 == 0, boxed(F.concat(k, F.lit("x+x")))).when(F.col("k") % 3 == 1, boxed(F.concat(k, F.lit("y")))).otherwise(boxed(F.lit("(a+b)^9999")))
+    truth = F.concat((F.col("k") + 1).cast("string"), F.lit("x"))
+    return _orders(s, d).select("k", F.pandas_udf(_verify, "double")(text, truth).alias("score"))
+
+
+def _verify(text, truth):
+    import pandas as pd
+
+    return pd.Series([mathscore.verify_score(t, g, 0.25) for t, g in zip(text, truth)])
+
+
+@CORE.query("strict_box_scores", _O + "SELECT k, CASE WHEN k % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS score, CASE WHEN k % 4 < 3 THEN CAST(k + k % 2 AS VARCHAR) END AS pred FROM o")
+def strict_box_scores(s, d):
+    """The last box in the last 100 characters: right, wrong, and too far back."""
+    box = F.concat(F.lit("\\boxed{"), (F.col("k") + F.col("k") % 2).cast("string"), F.lit("}"))
+    text = F.when(F.col("k") % 4 < 3, F.concat(F.repeat(F.lit("z"), F.lit(200)), box)).otherwise(F.concat(box, F.repeat(F.lit("z"), F.lit(200))))
+    return _orders(s, d).select("k", F.pandas_udf(_strict, "score double, pred string")(text, F.col("k").cast("string")).alias("r")).select("k", "r.*")
+
+
+def _strict(text, truth):
+    import pandas as pd
+
+    found = [mathscore.dapo_score(t, g, strict=True) for t, g in zip(text, truth)]
+    return pd.DataFrame({"score": [f["score"] for f in found], "pred": [f["pred"] for f in found]})
+
+
 # rewards ------------------------------------------------------------------------------
 
 

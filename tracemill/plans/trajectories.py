@@ -146,6 +146,9 @@ CORE.query("balanced_partition_sizes", f"{_PARTS}, CAST(ceil(count(*) / 8) AS BI
 CORE.query("balanced_partitions_checked", f"{_PARTS}, true AS within_one_row FROM l GROUP BY batch")(
     lambda s, d: _parts(s, d).select("batch", F.col("n").alias("n_rows"), "each_row_once", (F.col("most") - F.col("least") <= 1).alias("within_one_row"))
 )
+CORE.query("balanced_order", f"WITH {_LEN}, n AS (SELECT batch, count(*) AS n FROM l GROUP BY batch) SELECT batch, CAST(i AS BIGINT) AS place FROM n, range(2000) t(i) WHERE i < n")(
+    lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8).select("batch", F.col("place").cast("long").alias("place"))
+)
 CORE.query("greedy_partitions_checked", f"{_PARTS} FROM l GROUP BY batch")(lambda s, d: _parts(s, d, "greedy").select("batch", F.col("n").alias("n_rows"), "each_row_once"))
 CORE.query("balanced_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8))
 CORE.query("greedy_partitions")(lambda s, d: balance.partition(_lengths(s, d), "batch", "row", "length", 8, method="greedy"))
