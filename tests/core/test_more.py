@@ -179,3 +179,22 @@ def test_greatest_tokens_by_thresholds(spark):
         got = {r._row for r in loss._greatest(df, n, "cov", 0.0, 9.99, 50).collect()}
         want = {r._row for r in df.orderBy(F.col("cov").desc(), "_row").limit(n).collect()}
         assert got == want
+
+
+def test_store_writes_only_parts_that_change(spark, tmp_path):
+    from tracemill.sources.store import TableStore
+
+    st = TableStore(spark, str(tmp_path / "st"))
+    for base in (0, 10, 20):
+        st.insert("t", spark.range(base, base + 3).withColumn("v", F.lit(0)))
+    before = st.tables()["t"]
+    assert len(before) == 3 and st.read("t").count() == 9
+    assert st.update("t", F.col("id") == 11, {"v": F.lit(7)}) == 1
+    after = st.tables()["t"]
+    assert [a == b for a, b in zip(before, after)] == [True, False, True]
+    assert st.delete("t", F.col("id") >= 20) == 3 and st.delete("t", F.col("id") > 99) == 0
+    assert {r.id: r.v for r in st.read("t").collect()} == {0: 0, 1: 0, 2: 0, 10: 0, 11: 7, 12: 0}
+    st.compact("t")
+    st.compact("t")
+    assert len(st.tables()["t"]) == 1 and len([p for p in (tmp_path / "st").iterdir() if p.name.startswith("t-")]) == 2
+    assert st.query("SELECT sum(v) AS s FROM {t} WHERE id < :n", n=12).first().s == 7
