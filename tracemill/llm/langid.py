@@ -283,7 +283,7 @@ class Counted:
         out = np.zeros((self.rows, dots.shape[1]))
         if len(self.row):
             starts = np.flatnonzero(np.diff(self.row, prepend=-1))
-            out[self.row[starts]] = np.add.reduceat(dots[self.run] * self.n.astype(np.float32)[:, None], starts, axis=0)
+            out[self.row[starts]] = np.add.reduceat(dots[self.run] * self.n.astype(np.float32)[:, None], starts, axis=0, dtype=np.float64)
         return out / np.maximum(self.norm * np.sqrt(DIM), 1e-9)[:, None]
 
     def totals(self, share: np.ndarray, width: int) -> np.ndarray:
