@@ -79,7 +79,7 @@ _QUOTED = re.compile(r"“[^”\n]{0,80}”|„[^“”\n]{0,80}[“”]|«[^»\
 # letters of scripts without spaces: an identifier or number ends at them, as no blank parts it from the sentence
 _KANA_HAN = r"\u3005-\u3007\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 # what is no sentence, in the order in which it is taken out; each begins at the start of a run of its letters,
-# so that a run is read once; the first column is a sign that a text must hold
+# so that a run is read once; the first column is a sign, or a pattern of one, that a text must hold
 _NOISE = [
     ("<", re.compile(r"<\|[^|>\n]{0,40}\|>|<[^<>\n]{1,80}>")),  # tags, special tokens
     ("(", re.compile(r"\b\w+\([^()\n]*\)")),  # calls
@@ -89,7 +89,7 @@ _NOISE = [
     ("@", re.compile(r"(?<!\S)\S[^\s@]*+@\S+")),
     (".", re.compile(r"(?<![\w\-])[\w\-]++\.[A-Za-z][A-Za-z0-9]{1,4}\b(?!\s*[A-Za-z]?\()")),  # file names
     ("", re.compile(r"(?<![^\W\d_%s])[^\W\d_%s]*+[\d_][^\W%s]*" % (_KANA_HAN, _KANA_HAN, _KANA_HAN))),  # identifiers and numbers
-    ("", re.compile(r"\b[A-Za-z]+[a-z][A-Z]\w*")),  # names in camel case
+    (re.compile(r"[a-z][A-Z]"), re.compile(r"\b[A-Za-z]+[a-z][A-Z]\w*")),  # names in camel case
 ]
 _END = re.compile("[.!?\u2026][\"'\u201d\u00bb)\\]]*\\s+|[\u3002\uff01\uff1f\u0964]|[\r\n\x0b\x0c\x85\u2028\u2029]+|(?<=\\s)[|\u2022\u00b7](?=\\s)|[;:]\\s{2,}")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -151,7 +151,7 @@ def segments(text: str, memo: Sentences | None = None) -> list[tuple[int, int, s
     t = _FENCE.sub(_blank, text) if "```" in text else text
     t = _QUOTED.sub(lambda m: m.group() if len(m.group().split()) > 5 else _blank(m), t)
     for sign, noise in _NOISE:
-        if sign in t:
+        if sign in t if isinstance(sign, str) else sign.search(t):
             t = noise.sub(_blank, t)
     out, start = [], 0
     for e in [*[m.end() for m in _END.finditer(t)], len(t)]:
